@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendgrain.functions.calendar import with_months, with_quarters
+from spendgrain.functions.measures import measures
 from spendgrain.operators import cleaning, cohorts, distributions, quality, statistics, views
 from spendgrain.operators import features as fs
 from spendgrain.plans.refresh import batch_log, stage_report
@@ -50,7 +51,7 @@ def _quarterly(spark: SparkSession, sf: str) -> DataFrame:
 def _quarterly_full(spark: SparkSession, sf: str) -> DataFrame:
     tx = transactions(spark, sf)
     counts = cohorts.cohort_counts(cohorts.customer_moves(tx, CUSTOMER))
-    return cohorts.with_cohorts(fs.quarterly_features(tx), counts)
+    return cohorts.full_quarterly(measures(with_quarters(tx), *fs.QUARTER_KEYS), counts)
 
 
 def _payment(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,14 +19,11 @@ def with_quarters(df: DataFrame, date_column: str = "transaction_date") -> DataF
     return df.withColumns({"year": F.year(date), "quarter": F.quarter(date)})
 
 
-def quarter_number(date: Column) -> Column:
-    """Quarters counted from year 0, so that consecutive quarters differ by one."""
-    return F.year(date) * 4 + F.quarter(date) - 1
+def quarter_number(date: str) -> str:
+    """SQL for quarters counted from year 0, so that consecutive quarters differ by one."""
+    return f"year({date}) * 4 + quarter({date}) - 1"
 
 
-def quarter_parts(number: Column) -> dict[str, Column]:
-    """Back from quarter_number to year and quarter."""
-    return {
-        "year": F.floor(number / 4).cast("int"),
-        "quarter": (F.pmod(number, F.lit(4)) + 1).cast("int"),
-    }
+def quarter_parts(number: str) -> dict[str, str]:
+    """SQL back from quarter_number to year and quarter."""
+    return {"year": f"CAST({number} DIV 4 AS INT)", "quarter": f"CAST({number} % 4 + 1 AS INT)"}

@@ -14,60 +14,66 @@ from pyspark.sql import functions as F
 
 from spendgrain.schema import MONEY_SQUARES, MONEY_SUM
 
-_SUMS = ("row_count", "id_count", "amount_count", "amount_sum", "amount_squares", "age_count", "age_sum", "referred")
-_MINIMA = ("amount_min", "first_date")
-_MAXIMA = ("amount_max", "last_date")
-
-
-def measures(df: DataFrame, *keys: str, referral_yes: tuple[str, ...] = ("Yes",)) -> DataFrame:
+_MONEY_SUM, _SQUARES = MONEY_SUM.simpleString(), MONEY_SQUARES.simpleString()
+
+# Name -> (how it is taken from transactions, how partial values are merged).
+MEASURES = {
+    "row_count": ("count(1)", "sum(row_count)"),
+    "id_count": ("count(transaction_id)", "sum(id_count)"),
+    "amount_count": ("count(amount_spent)", "sum(amount_count)"),
+    "amount_sum": (f"CAST(sum(amount_spent) AS {_MONEY_SUM})", f"CAST(sum(amount_sum) AS {_MONEY_SUM})"),
+    "amount_squares": (
+        f"sum(CAST(amount_spent * amount_spent AS {_SQUARES}))",
+        "sum(amount_squares)",
+    ),
+    "amount_min": ("min(amount_spent)", "min(amount_min)"),
+    "amount_max": ("max(amount_spent)", "max(amount_max)"),
+    "age_count": ("count(age)", "sum(age_count)"),
+    "age_sum": ("sum(age)", "sum(age_sum)"),
+    "referred": ("count_if(referral IN ({yes}))", "sum(referred)"),
+    "first_date": ("min(CAST(transaction_date AS DATE))", "min(first_date)"),
+    "last_date": ("max(CAST(transaction_date AS DATE))", "max(last_date)"),
+}
+
+
+def measures(df: DataFrame, *keys: str, referral_yes: Sequence[str] = ("Yes",)) -> DataFrame:
     """One row of additive measures per key; unused ones are pruned by the optimizer."""
-    amount, age = F.col("amount_spent"), F.col("age")
-    date = F.col("transaction_date").cast("date")
+    yes = ", ".join("'" + v.replace("'", "\\'") + "'" for v in referral_yes)
     return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count("transaction_id").alias("id_count"),
-        F.count(amount).alias("amount_count"),
-        F.sum(amount).cast(MONEY_SUM).alias("amount_sum"),
-        F.sum((amount * amount).cast(MONEY_SQUARES)).alias("amount_squares"),
-        F.min(amount).alias("amount_min"),
-        F.max(amount).alias("amount_max"),
-        F.count(age).alias("age_count"),
-        F.sum(age).alias("age_sum"),
-        F.count_if(F.col("referral").isin(*referral_yes)).alias("referred"),
-        F.min(date).alias("first_date"),
-        F.max(date).alias("last_date"),
+        *[F.expr(f"{take.replace('{yes}', yes)} AS {name}") for name, (take, _) in MEASURES.items()]
     )
 
 
 def merge_measures(parts: DataFrame, *keys: str, extra: Sequence[Column] = ()) -> DataFrame:
     """Roll measures up to coarser keys; `extra` aggregates ride along."""
     return parts.groupBy(*keys).agg(
-        *[F.sum(c).cast(parts.schema[c].dataType).alias(c) for c in _SUMS],
-        *[F.min(c).alias(c) for c in _MINIMA],
-        *[F.max(c).alias(c) for c in _MAXIMA],
-        *extra,
+        *[F.expr(f"{merge} AS {name}") for name, (_, merge) in MEASURES.items()], *extra
     )
 
 
-def ratio(numerator: Column, denominator: Column) -> Column:
+def ratio_sql(numerator: str, denominator: str) -> str:
     """Division as a double; NULL, never an error, when the denominator is zero or NULL."""
-    return F.try_divide(numerator.cast("double"), denominator.cast("double"))
-
-
-def sample_stddev() -> Column:
-    """Sample deviation of the amounts from their count, sum and sum of squares.
-
-    n·Σx² − (Σx)² is taken in decimals, so nothing cancels and the result does not depend on how
-    rows were split over tasks. Totals beyond 38 digits fall back to doubles.
-    """
-    n, total, squares = F.col("amount_count"), F.col("amount_sum"), F.col("amount_squares")
-    exact = F.try_subtract(F.try_multiply(n.cast("decimal(18,0)"), squares), F.try_multiply(total, total))
-    rounded = n.cast("double") * squares.cast("double") - total.cast("double") * total.cast("double")
-    spread = F.greatest(F.coalesce(exact.cast("double"), rounded), F.lit(0.0))
-    pairs = n.cast("double") * (n.cast("double") - 1)
-    return F.when(n > 1, F.sqrt(F.try_divide(spread, pairs)))
+    return f"try_divide(CAST({numerator} AS DOUBLE), CAST({denominator} AS DOUBLE))"
 
 
-def growth(current: Column, previous: Column) -> Column:
+def growth_sql(current: str, previous: str) -> str:
     """Relative change; 0 when there is no previous value, NULL when the previous value is 0."""
-    return F.when(previous.isNotNull(), ratio(current - previous, previous)).otherwise(F.lit(0.0))
+    change = ratio_sql(f"({current} - {previous})", previous)
+    return f"CASE WHEN {previous} IS NOT NULL THEN {change} ELSE CAST(0 AS DOUBLE) END"
+
+
+# Sample deviation from count, sum and sum of squares. n·Σx² − (Σx)² is taken in decimals, so
+# nothing cancels and the result does not depend on how rows were split over tasks. Totals beyond
+# 38 digits fall back to doubles.
+_EXACT_SPREAD = (
+    "CAST(try_subtract(try_multiply(CAST(amount_count AS DECIMAL(18,0)), amount_squares), "
+    "try_multiply(amount_sum, amount_sum)) AS DOUBLE)"
+)
+_DOUBLE_SPREAD = (
+    "CAST(amount_count AS DOUBLE) * CAST(amount_squares AS DOUBLE) "
+    "- CAST(amount_sum AS DOUBLE) * CAST(amount_sum AS DOUBLE)"
+)
+SAMPLE_STDDEV = (
+    f"CASE WHEN amount_count > 1 THEN sqrt(greatest(coalesce({_EXACT_SPREAD}, {_DOUBLE_SPREAD}), CAST(0 AS DOUBLE)) "
+    "/ (CAST(amount_count AS DOUBLE) * (CAST(amount_count AS DOUBLE) - 1))) END"
+)

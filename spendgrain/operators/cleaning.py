@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendgrain.functions.parsing import missing_to_null, to_money, to_number, to_timestamp_ntz
+from spendgrain.functions.parsing import amount_sql, missing_to_null, money_sql, number_sql, timestamp_ntz_sql
 from spendgrain.schema import MAX_AGE, MIN_AGE, MONEY, TEXT_DEFAULTS
 
 # Ages are counted by whole year; anything beyond this is far outside the accepted range, so one
@@ -35,15 +35,14 @@ def parse(df: DataFrame, date_format: str = "yyyy-MM-dd") -> DataFrame:
     age stays a double until it is filled. amount_value keeps the plain number for the sign and
     range rules, which must not see a rounded amount.
     """
-    named = standard_names(df)
-    amount = missing_to_null(F.col("amount_spent"))
-    return named.withColumns(
+    # No missing-value token reads as a date or number, so those columns need no look-up.
+    return standard_names(df).withColumns(
         {
-            **{c: missing_to_null(F.col(c)) for c in ("transaction_id", *TEXT_DEFAULTS)},
-            "transaction_date": to_timestamp_ntz(missing_to_null(F.col("transaction_date")), date_format),
-            "age": to_number(missing_to_null(F.col("age"))),
-            "amount_value": to_number(amount),
-            "amount_spent": to_money(amount),
+            **{c: missing_to_null(c) for c in ("transaction_id", *TEXT_DEFAULTS)},
+            "transaction_date": F.expr(timestamp_ntz_sql("transaction_date", date_format)),
+            "age": F.expr(number_sql("age")),
+            "amount_value": F.expr(amount_sql("amount_spent")),
+            "amount_spent": F.expr(money_sql("amount_spent")),
         }
     )
 
@@ -57,40 +56,37 @@ def age_profile(parsed: DataFrame) -> DataFrame:
     whatever their fractions, and middle values in different buckets are the largest age of one
     and the smallest of the other.
     """
-    bucket = F.when(F.col("age").isNotNull(), _clamp(F.col("age")).cast("int"))
     filled = [*TEXT_DEFAULTS, "transaction_id", "transaction_date", "age", "amount_value"]
-    by_year = parsed.groupBy(bucket.alias("bucket")).agg(
-        F.count(F.lit(1)).alias("rows_in"),
-        F.min("age").alias("lowest"),
-        F.max("age").alias("highest"),
-        *[F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in filled],
+    by_year = parsed.groupBy(F.expr(f"CAST({_clamp('age')} AS INT) AS bucket")).agg(
+        F.expr("count(1) AS rows_in"),
+        F.expr("min(age) AS lowest"),
+        F.expr("max(age) AS highest"),
+        *[F.expr(f"count_if({c} IS NULL) AS missing_{c}") for c in filled],
     )
     # One task, but over the bounded year buckets only.
-    up_to = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    known = F.when(F.col("bucket").isNotNull(), F.col("rows_in")).otherwise(0)
-    ranked = by_year.withColumns(
-        {"reached": F.sum(known).over(up_to), "ages": F.sum(known).over(Window.partitionBy())}
+    known = "sum(CASE WHEN bucket IS NOT NULL THEN rows_in END)"
+    ranked = by_year.selectExpr(
+        "*",
+        f"{known} OVER (ORDER BY bucket ROWS UNBOUNDED PRECEDING) AS reached",
+        f"{known} OVER () AS ages",
     )
-    has_age = F.col("bucket").isNotNull()
-    holds_low = has_age & (F.col("reached") * 2 >= F.col("ages"))
-    holds_high = has_age & (F.col("reached") * 2 > F.col("ages"))
-    at = lambda condition, value: F.min(F.when(condition, F.struct("bucket", value)))
+    holds_low = "FILTER (WHERE bucket IS NOT NULL AND reached * 2 >= ages)"
+    holds_high = "FILTER (WHERE bucket IS NOT NULL AND reached * 2 > ages)"
     summary = ranked.agg(
-        F.coalesce(F.sum("rows_in"), F.lit(0)).alias("rows_in"),
-        *[F.coalesce(F.sum(f"missing_{c}"), F.lit(0)).alias(f"missing_{c}") for c in filled],
-        at(holds_low, "highest").alias("low"),
-        at(holds_high, "lowest").alias("high"),
+        F.expr("coalesce(sum(rows_in), 0) AS rows_in"),
+        *[F.expr(f"coalesce(sum(missing_{c}), 0) AS missing_{c}") for c in filled],
+        F.expr(f"min(struct(bucket, highest)) {holds_low} AS low"),
+        F.expr(f"min(struct(bucket, lowest)) {holds_high} AS high"),
     )
-    middle = (F.col("low.highest") + F.col("high.lowest")) / 2
-    median = F.when(F.col("low.bucket") == F.col("high.bucket"), F.col("low.bucket")).otherwise(
-        F.when(middle.isNotNull(), _clamp(middle).cast("int"))
-    )
-    return summary.withColumn("median_age", median).drop("low", "high")
+    middle = _clamp("((low.highest + high.lowest) / 2)")
+    median = f"CASE WHEN low.bucket = high.bucket THEN low.bucket ELSE CAST({middle} AS INT) END"
+    return summary.withColumn("median_age", F.expr(median)).drop("low", "high")
 
 
-def _clamp(age: Column) -> Column:
-    limit = float(_AGE_BUCKET_LIMIT)
-    return F.greatest(F.least(age, F.lit(limit)), F.lit(-limit))
+def _clamp(age: str) -> str:
+    """SQL: the age, or the limit it lies beyond; NULL stays NULL."""
+    limit = f"CAST({_AGE_BUCKET_LIMIT} AS DOUBLE)"
+    return f"CASE WHEN {age} > {limit} THEN {limit} WHEN {age} < -{limit} THEN -{limit} ELSE {age} END"
 
 
 def fill_missing(parsed: DataFrame, median_age: int | Column | None = None) -> DataFrame:
@@ -104,17 +100,19 @@ def fill_missing(parsed: DataFrame, median_age: int | Column | None = None) -> D
         median_age = age_profile(parsed).select("median_age").scalar()
     elif not isinstance(median_age, Column):
         median_age = F.lit(median_age)
-    no_median = F.raise_error(F.lit("age is missing in every row: no median to fill it with"))
-    fill = F.coalesce(median_age.cast("double"), no_median.cast("double"))
     # An amount that parsed as a number but does not fit the money type stays NULL for `judge`.
-    amount = F.when(F.col("amount_value").isNull(), F.lit(0).cast(MONEY)).otherwise(F.col("amount_spent"))
-    return parsed.fillna(TEXT_DEFAULTS).withColumns(
+    return parsed.fillna(TEXT_DEFAULTS).withColumn("median_age", median_age.cast("double")).withColumns(
         {
-            "age": F.when(F.col("age").isNull(), fill).otherwise(F.col("age")).try_cast("int"),
-            "amount_spent": amount,
-            "amount_value": F.coalesce("amount_value", F.lit(0.0)),
+            "age": F.expr(
+                "try_cast(CASE WHEN age IS NOT NULL THEN age WHEN median_age IS NOT NULL THEN median_age "
+                "ELSE raise_error('age is missing in every row: no median to fill it with') END AS INT)"
+            ),
+            "amount_spent": F.expr(
+                f"CASE WHEN amount_value IS NULL THEN CAST(0 AS {MONEY.simpleString()}) ELSE amount_spent END"
+            ),
+            "amount_value": F.expr("coalesce(amount_value, CAST(0 AS DOUBLE))"),
         }
-    )
+    ).drop("median_age")
 
 
 def keep_first(df: DataFrame, order: Sequence[str | Column], key: str = "transaction_id") -> DataFrame:
@@ -129,15 +127,15 @@ def keep_first(df: DataFrame, order: Sequence[str | Column], key: str = "transac
 
 def judge(df: DataFrame) -> DataFrame:
     """Add reject_reason: NULL for a good row, else the first rule it fails."""
-    amount = F.col("amount_value")
-    age_ok = F.coalesce(F.col("age").between(MIN_AGE, MAX_AGE), F.lit(False))
-    reason = (
-        F.when(~age_ok, "age_out_of_range")
-        .when(amount < 0, "negative_amount")
-        .when(F.col("transaction_date").isNull(), "bad_date")
-        .when(F.col("amount_spent").isNull(), "amount_out_of_range")
+    return df.withColumn(
+        "reject_reason",
+        F.expr(
+            f"CASE WHEN NOT coalesce(age BETWEEN {MIN_AGE} AND {MAX_AGE}, false) THEN 'age_out_of_range' "
+            "WHEN amount_value < 0 THEN 'negative_amount' "
+            "WHEN transaction_date IS NULL THEN 'bad_date' "
+            "WHEN amount_spent IS NULL THEN 'amount_out_of_range' END"
+        ),
     )
-    return df.withColumn("reject_reason", reason)
 
 
 def clean(

@@ -8,21 +8,21 @@ combining, so a customer holding a large part of all rows costs one row per quar
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendgrain.functions.calendar import quarter_number, quarter_parts
-from spendgrain.functions.measures import growth, measures, ratio
-from spendgrain.operators.features import CUSTOMER_KEYS, QUARTER_KEYS, join_on_keys
+from spendgrain.functions.measures import growth_sql, measures, ratio_sql
+from spendgrain.operators.features import CUSTOMER_KEYS, QUARTER_KEYS, finish_quarterly, join_on_keys
 
 
 def customer_moves(df: DataFrame, customer_col: str = "transaction_id") -> DataFrame:
     """(segment, state, quarter_no, previous_no, customers). A group and quarter in which only
     unknown customers were active stays, with 0 customers."""
-    active = df.select(
-        *CUSTOMER_KEYS,
-        F.col(customer_col).alias("customer"),
-        quarter_number(F.col("transaction_date")).alias("quarter_no"),
+    active = df.selectExpr(
+        *CUSTOMER_KEYS, f"{customer_col} AS customer", f"{quarter_number('transaction_date')} AS quarter_no"
     ).distinct()
     own_quarters = Window.partitionBy(*CUSTOMER_KEYS, "customer").orderBy("quarter_no")
     return (
@@ -32,6 +32,17 @@ def customer_moves(df: DataFrame, customer_col: str = "transaction_id") -> DataF
     )
 
 
+def moves_of_unique_ids(parts: DataFrame) -> DataFrame:
+    """The same table when the customer is the transaction_id and no id occurs twice: nobody comes
+    back, so quarterly measures hold all of it and nothing is shuffled by customer."""
+    return parts.selectExpr(
+        *CUSTOMER_KEYS,
+        "year * 4 + quarter - 1 AS quarter_no",
+        "CAST(NULL AS INT) AS previous_no",
+        "id_count AS customers",
+    )
+
+
 def cohort_counts(moves: DataFrame) -> DataFrame:
     """Per group and quarter: unique, new, returning and retained customers, retention rate.
 
@@ -39,31 +50,27 @@ def cohort_counts(moves: DataFrame) -> DataFrame:
     customers of that quarter and is NULL in a group's first quarter.
     """
     in_order = Window.partitionBy(*CUSTOMER_KEYS).orderBy("quarter_no")
-    # Present quarters of a group, numbered per move row: a running maximum over earlier quarters.
+    # The group's previous present quarter: the largest number below the row's own.
     earlier = in_order.rangeBetween(Window.unboundedPreceding, -1)
     per_quarter = (
         moves.withColumn("group_previous_no", F.max("quarter_no").over(earlier))
-        .groupBy(*CUSTOMER_KEYS, "quarter_no", "group_previous_no")
+        .groupBy(*CUSTOMER_KEYS, "quarter_no")
         .agg(
-            F.sum("customers").alias("unique_customers"),
-            F.coalesce(F.sum(F.when(F.col("previous_no").isNull(), F.col("customers"))), F.lit(0)).alias(
-                "new_customers"
+            F.expr("sum(customers) AS unique_customers"),
+            F.expr("coalesce(sum(customers) FILTER (WHERE previous_no IS NULL), 0) AS new_customers"),
+            F.expr(
+                "coalesce(sum(customers) FILTER (WHERE previous_no = group_previous_no), 0) AS retained_customers"
             ),
-            F.coalesce(
-                F.sum(F.when(F.col("previous_no") == F.col("group_previous_no"), F.col("customers"))), F.lit(0)
-            ).alias("retained_customers"),
         )
     )
-    return per_quarter.select(
+    return per_quarter.withColumn("earlier_customers", F.lag("unique_customers").over(in_order)).selectExpr(
         *CUSTOMER_KEYS,
-        *[c.alias(name) for name, c in quarter_parts(F.col("quarter_no")).items()],
+        *[f"{sql} AS {name}" for name, sql in quarter_parts("quarter_no").items()],
         "unique_customers",
         "new_customers",
-        (F.col("unique_customers") - F.col("new_customers")).alias("returning_customers"),
+        "unique_customers - new_customers AS returning_customers",
         "retained_customers",
-        ratio(F.col("retained_customers"), F.lag("unique_customers").over(in_order)).alias(
-            "customer_retention_rate"
-        ),
+        f"{ratio_sql('retained_customers', 'earlier_customers')} AS customer_retention_rate",
     )
 
 
@@ -82,16 +89,27 @@ def customer_retention(df: DataFrame, customer_col: str = "transaction_id") -> D
 def transaction_growth(quarterly: DataFrame) -> DataFrame:
     """Add the growth of the transaction count to quarterly features."""
     in_order = Window.partitionBy(*CUSTOMER_KEYS).orderBy("year", "quarter")
-    count = F.col("quarterly_transactions")
-    return quarterly.withColumn("transaction_growth_rate", growth(count, F.lag(count).over(in_order)))
+    earlier = quarterly.withColumn("earlier_count", F.lag("quarterly_transactions").over(in_order))
+    rate = F.expr(growth_sql("quarterly_transactions", "earlier_count"))
+    return earlier.withColumn("transaction_growth_rate", rate).drop("earlier_count")
+
 
+def full_quarterly(parts: DataFrame, cohorts: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """Quarterly features with every declared column, from measures by QUARTER_KEYS and cohorts.
 
-def with_cohorts(quarterly: DataFrame, cohorts: DataFrame) -> DataFrame:
-    """Quarterly features with every declared column: cohorts, retention, volume growth."""
+    unique_customers counts the customers the cohorts are about, so it is always the sum of the
+    new and the returning ones.
+    """
     extra = cohorts.select(
-        *QUARTER_KEYS, "new_customers", "returning_customers", "customer_retention_rate"
+        *QUARTER_KEYS,
+        F.col("unique_customers").alias("distinct_ids"),
+        "new_customers",
+        "returning_customers",
+        "customer_retention_rate",
     )
-    return join_on_keys(transaction_growth(quarterly), extra, QUARTER_KEYS)
+    kept = ("new_customers", "returning_customers", "customer_retention_rate")
+    joined = join_on_keys(parts, extra, QUARTER_KEYS)
+    return transaction_growth(finish_quarterly(joined, as_of=as_of, extra=kept))
 
 
 def payment_usage(df: DataFrame) -> DataFrame:

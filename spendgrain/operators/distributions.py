@@ -29,24 +29,23 @@ def distribution_maps(df: DataFrame) -> DataFrame:
     The transactions are counted once by every dimension together; the four maps are made from
     those counts, so a list entry is a distinct value of a category, never a transaction.
     """
-    counts = df.groupBy(*CUSTOMER_KEYS, *DISTRIBUTIONS).agg(F.count(F.lit(1)).alias("n"))
-    entries = F.array(
-        *[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in DISTRIBUTIONS]
-    )
+    counts = df.groupBy(*CUSTOMER_KEYS, *DISTRIBUTIONS).agg(F.expr("count(1) AS n"))
+    entries = ", ".join(f"struct('{d}' AS dimension, {d} AS value)" for d in DISTRIBUTIONS)
     by_value = (
-        counts.select(*CUSTOMER_KEYS, "n", F.explode(entries).alias("entry"))
-        .groupBy(*CUSTOMER_KEYS, "entry.dimension", "entry.value")
-        .agg(F.sum("n").alias("n"))
+        counts.selectExpr(*CUSTOMER_KEYS, "n", f"inline(array({entries}))")
+        .groupBy(*CUSTOMER_KEYS, "dimension", "value")
+        .agg(F.expr("sum(n) AS n"))
     )
     return by_value.groupBy(*CUSTOMER_KEYS).agg(
-        *[value_map("dimension", dimension, "value", "n").alias(name) for dimension, name in DISTRIBUTIONS.items()]
+        *[F.expr(f"{value_map(dimension)} AS {name}") for dimension, name in DISTRIBUTIONS.items()]
     )
 
 
-def value_map(dimension_column: str, dimension: str, value: str, count: str):
-    """Aggregate: map of value -> count over the rows of one dimension; NULL values are left out."""
-    keep = (F.col(dimension_column) == dimension) & F.col(value).isNotNull()
-    return F.map_from_entries(F.sort_array(F.collect_list(F.when(keep, F.struct(value, count)))))
+def value_map(dimension: str) -> str:
+    """SQL aggregate over (dimension, value, n) rows: map of value -> n for one dimension, NULL
+    values left out."""
+    kept = f"FILTER (WHERE dimension = '{dimension}' AND value IS NOT NULL)"
+    return f"map_from_entries(sort_array(collect_list(struct(value, n)) {kept}))"
 
 
 def with_distributions(customer: DataFrame, df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendgrain.functions.calendar import with_quarters
-from spendgrain.functions.measures import growth, measures, merge_measures, ratio, sample_stddev
+from spendgrain.functions.measures import SAMPLE_STDDEV, growth_sql, measures, merge_measures, ratio_sql
 from spendgrain.functions.tagging import tag_features
 
 CUSTOMER_KEYS = ("segment", "state_names")
@@ -29,22 +29,22 @@ def customer_features(
 
 
 def finish_customer(parts: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    days = F.date_diff("last_date", "first_date")
-    result = parts.select(
+    days = "date_diff(last_date, first_date)"
+    result = parts.selectExpr(
         *CUSTOMER_KEYS,
-        F.col("id_count").alias("total_transactions"),
-        F.col("amount_sum").alias("total_amount_spent"),
-        ratio(F.col("amount_sum"), F.col("amount_count")).alias("avg_transaction_amount"),
-        F.col("amount_min").alias("min_transaction_amount"),
-        F.col("amount_max").alias("max_transaction_amount"),
-        sample_stddev().alias("std_transaction_amount"),
-        F.col("first_date").alias("first_transaction_date"),
-        F.col("last_date").alias("last_transaction_date"),
-        ratio(F.col("age_sum"), F.col("age_count")).alias("avg_age"),
-        ratio(F.col("referred"), F.col("row_count")).alias("referral_rate"),
-        days.alias("days_active"),
+        "id_count AS total_transactions",
+        "amount_sum AS total_amount_spent",
+        f"{ratio_sql('amount_sum', 'amount_count')} AS avg_transaction_amount",
+        "amount_min AS min_transaction_amount",
+        "amount_max AS max_transaction_amount",
+        f"{SAMPLE_STDDEV} AS std_transaction_amount",
+        "first_date AS first_transaction_date",
+        "last_date AS last_transaction_date",
+        f"{ratio_sql('age_sum', 'age_count')} AS avg_age",
+        f"{ratio_sql('referred', 'row_count')} AS referral_rate",
+        f"{days} AS days_active",
         # Divides by the number of transactions, not by the number of gaps between them.
-        ratio(days, F.col("id_count")).alias("avg_days_between_transactions"),
+        f"{ratio_sql(days, 'id_count')} AS avg_days_between_transactions",
     )
     return tag_features(result, as_of)
 
@@ -61,17 +61,22 @@ def quarterly_features(df: DataFrame, as_of: datetime | None = None, ids_unique:
 
 
 def finish_quarterly(
-    parts: DataFrame, distinct: DataFrame | None = None, as_of: datetime | None = None
+    parts: DataFrame,
+    distinct: DataFrame | None = None,
+    as_of: datetime | None = None,
+    extra: tuple[str, ...] = (),
 ) -> DataFrame:
+    """`extra` columns of `parts` are passed through."""
     parts = _with_distinct_ids(parts, distinct, QUARTER_KEYS)
-    by_time = Window.partitionBy("segment", "state_names").orderBy("year", "quarter")
-    result = parts.select(
+    by_time = Window.partitionBy(*CUSTOMER_KEYS).orderBy("year", "quarter")
+    result = parts.withColumn("previous_sum", F.lag("amount_sum").over(by_time)).selectExpr(
         *QUARTER_KEYS,
-        F.col("id_count").alias("quarterly_transactions"),
-        F.col("amount_sum").alias("quarterly_revenue"),
-        ratio(F.col("amount_sum"), F.col("amount_count")).alias("avg_quarterly_transaction"),
-        F.col("distinct_ids").alias("unique_customers"),
-        growth(F.col("amount_sum"), F.lag("amount_sum").over(by_time)).alias("revenue_growth_rate"),
+        "id_count AS quarterly_transactions",
+        "amount_sum AS quarterly_revenue",
+        f"{ratio_sql('amount_sum', 'amount_count')} AS avg_quarterly_transaction",
+        "distinct_ids AS unique_customers",
+        f"{growth_sql('amount_sum', 'previous_sum')} AS revenue_growth_rate",
+        *extra,
     )
     return tag_features(result, as_of)
 
@@ -83,12 +88,12 @@ def payment_features(df: DataFrame, as_of: datetime | None = None) -> DataFrame:
 
 def finish_payment(parts: DataFrame, total: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """`total` is a one-row, one-column table with the number of transactions."""
-    result = parts.select(
+    result = parts.withColumn("all_rows", total.scalar()).selectExpr(
         *PAYMENT_KEYS,
-        F.col("id_count").alias("total_transactions"),
-        F.col("amount_sum").alias("total_amount"),
-        ratio(F.col("amount_sum"), F.col("amount_count")).alias("avg_transaction_amount"),
-        ratio(F.col("id_count"), total.scalar()).alias("usage_percentage"),
+        "id_count AS total_transactions",
+        "amount_sum AS total_amount",
+        f"{ratio_sql('amount_sum', 'amount_count')} AS avg_transaction_amount",
+        f"{ratio_sql('id_count', 'all_rows')} AS usage_percentage",
     )
     return tag_features(result, as_of)
 
@@ -105,31 +110,28 @@ def finish_state(parts: DataFrame, distinct: DataFrame | None, as_of: datetime |
     Both tops come out of the same small pre-aggregate by window sums, so the transactions are
     not grouped three times.
     """
-    per_segment = Window.partitionBy("state_names", "segment")
-    per_payment = Window.partitionBy("state_names", "payment_method")
-    ranked = parts.withColumns(
-        {
-            "segment_rank": F.struct(-F.sum("id_count").over(per_segment), F.col("segment")),
-            "payment_rank": F.struct(-F.sum("id_count").over(per_payment), F.col("payment_method")),
-        }
+    ranked = parts.selectExpr(
+        "*",
+        "struct(-sum(id_count) OVER (PARTITION BY state_names, segment) AS n, segment AS value) AS segment_rank",
+        "struct(-sum(id_count) OVER (PARTITION BY state_names, payment_method) AS n, payment_method AS value) "
+        "AS payment_rank",
     )
     states = merge_measures(
         ranked,
         "state_names",
-        extra=[F.min("segment_rank").alias("segment_rank"), F.min("payment_rank").alias("payment_rank")],
+        extra=[F.expr("min(segment_rank) AS segment_rank"), F.expr("min(payment_rank) AS payment_rank")],
     )
-    # The most used values belong to named states only; the group without a state gets none.
-    named = F.col("state_names").isNotNull()
-    result = _with_distinct_ids(states, distinct, ("state_names",)).select(
+    result = _with_distinct_ids(states, distinct, ("state_names",)).selectExpr(
         "state_names",
-        F.col("distinct_ids").alias("total_customers"),
-        F.col("id_count").alias("total_transactions"),
-        F.col("amount_sum").alias("total_revenue"),
-        ratio(F.col("amount_sum"), F.col("amount_count")).alias("avg_transaction_size"),
-        ratio(F.col("age_sum"), F.col("age_count")).alias("avg_customer_age"),
-        ratio(F.col("amount_sum"), F.col("distinct_ids")).alias("avg_customer_value"),
-        F.when(named, F.col("segment_rank.segment")).alias("top_segment"),
-        F.when(named, F.col("payment_rank.payment_method")).alias("top_payment_method"),
+        "distinct_ids AS total_customers",
+        "id_count AS total_transactions",
+        "amount_sum AS total_revenue",
+        f"{ratio_sql('amount_sum', 'amount_count')} AS avg_transaction_size",
+        f"{ratio_sql('age_sum', 'age_count')} AS avg_customer_age",
+        f"{ratio_sql('amount_sum', 'distinct_ids')} AS avg_customer_value",
+        # The most used values belong to named states only; the group without a state gets none.
+        "CASE WHEN state_names IS NOT NULL THEN segment_rank.value END AS top_segment",
+        "CASE WHEN state_names IS NOT NULL THEN payment_rank.value END AS top_payment_method",
     )
     return tag_features(result, as_of)
 

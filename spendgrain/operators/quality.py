@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spendgrain.functions.measures import ratio
-from spendgrain.functions.parsing import missing_to_null, to_money, to_number, to_timestamp_ntz
+from spendgrain.functions.measures import ratio_sql
+from spendgrain.functions.parsing import missing_to_null, money_sql, number_sql, timestamp_ntz_sql
 from spendgrain.operators.cleaning import standard_names
 from spendgrain.schema import AMOUNT_LIMIT, CLEAN_SCHEMA, MAX_AGE, MIN_AGE, TEXT_LIMITS
 
@@ -65,7 +65,7 @@ def schema_check(text: DataFrame, date_format: str = "yyyy-MM-dd") -> DataFrame:
     named = standard_names(text)
     present = [f for f in CLEAN_SCHEMA.fields if f.name in named.columns]
     counted = named.agg(
-        *[F.count_if(_unreadable(F.col(f.name), f.dataType, date_format)).alias(f.name) for f in present]
+        *[F.count_if(_unreadable(f.name, f.dataType, date_format)).alias(f.name) for f in present]
     )
     long = counted.unpivot([], [f.name for f in present], "column_name", "unreadable_rows")
     expected = F.create_map(
@@ -80,17 +80,16 @@ def schema_check(text: DataFrame, date_format: str = "yyyy-MM-dd") -> DataFrame:
     )
 
 
-def _unreadable(value: Column, dtype: T.DataType, date_format: str) -> Column:
-    text = missing_to_null(value)
+def _unreadable(name: str, dtype: T.DataType, date_format: str) -> Column:
     if isinstance(dtype, T.TimestampNTZType):
-        parsed = to_timestamp_ntz(text, date_format)
+        parsed = timestamp_ntz_sql(name, date_format)
     elif isinstance(dtype, T.IntegerType):
-        parsed = to_number(text)
+        parsed = number_sql(name)
     elif isinstance(dtype, T.DecimalType):
-        parsed = to_money(text)
+        parsed = money_sql(name)
     else:
-        parsed = text
-    return text.isNotNull() & parsed.isNull()
+        return F.lit(False)
+    return missing_to_null(name).isNotNull() & F.expr(f"({parsed}) IS NULL")
 
 
 def unique_check(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
@@ -216,7 +215,7 @@ def feature_invariants(
         "referral_rate_is_a_share": F.col("by_customer.rates"),
         "first_quarter_growth_zero": F.col("first_growth"),
         # One, unless some rows have no id: the shares divide by all rows.
-        "usage_adds_up": F.abs(F.col("by_payment.share") - ratio(F.col("ids"), F.col("total_rows"))) < 1e-6,
+        "usage_adds_up": F.expr(f"abs(by_payment.share - {ratio_sql('ids', 'total_rows')}) < 1e-6"),
     }
     rows = [F.struct(F.lit(k).alias("invariant"), F.coalesce(v, F.lit(False)).alias("passed")) for k, v in checks.items()]
     return facts.select(F.inline(F.array(*rows)))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendgrain.functions.measures import measures, ratio
+from spendgrain.functions.measures import measures, ratio_sql
 from spendgrain.operators.distributions import value_map
+from spendgrain.schema import MONEY_SUM
 
 
 def ingestion_stats(df: DataFrame, ids_unique: bool = False) -> DataFrame:
@@ -19,33 +20,30 @@ def ingestion_stats(df: DataFrame, ids_unique: bool = False) -> DataFrame:
     """
     dimensions = ("segment", "payment_method", "state_names")
     groups = measures(df, *dimensions)
-    totals = F.struct(F.lit("all").alias("dimension"), F.lit(None).cast("string").alias("value"))
-    entries = [F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in dimensions]
+    entries = ", ".join(f"struct('{d}' AS dimension, {d} AS value)" for d in dimensions)
     by_value = (
-        groups.withColumn("entry", F.explode(F.array(totals, *entries)))
-        .groupBy("entry.dimension", "entry.value")
+        groups.selectExpr("*", f"inline(array(struct('all' AS dimension, CAST(NULL AS STRING) AS value), {entries}))")
+        .groupBy("dimension", "value")
         .agg(
-            F.sum("row_count").alias("n"),
-            F.sum("amount_sum").alias("amount_sum"),
-            F.sum("amount_count").alias("amount_count"),
-            F.min("first_date").alias("first_date"),
-            F.max("last_date").alias("last_date"),
+            F.expr("sum(row_count) AS n"),
+            F.expr("sum(amount_sum) AS amount_sum"),
+            F.expr("sum(amount_count) AS amount_count"),
+            F.expr("min(first_date) AS first_date"),
+            F.expr("max(last_date) AS last_date"),
         )
     )
-    whole = F.col("dimension") == "all"
+    whole = "FILTER (WHERE dimension = 'all')"
     summary = by_value.groupBy().agg(
-        F.coalesce(F.max(F.when(whole, F.col("n"))), F.lit(0)).alias("total_records"),
-        F.struct(
-            F.date_format(F.max(F.when(whole, F.col("first_date"))), "yyyy-MM-dd").alias("min"),
-            F.date_format(F.max(F.when(whole, F.col("last_date"))), "yyyy-MM-dd").alias("max"),
-        ).alias("date_range"),
-        F.max(F.when(whole, F.col("amount_sum"))).cast("decimal(28,2)").alias("total_revenue"),
-        ratio(
-            F.max(F.when(whole, F.col("amount_sum"))), F.max(F.when(whole, F.col("amount_count")))
-        ).alias("avg_transaction"),
-        F.count_if(F.col("dimension") == "state_names").alias("states_count"),
-        value_map("dimension", "segment", "value", "n").alias("segments"),
-        value_map("dimension", "payment_method", "value", "n").alias("payment_methods"),
+        F.expr(f"coalesce(max(n) {whole}, 0) AS total_records"),
+        F.expr(
+            f"struct(date_format(max(first_date) {whole}, 'yyyy-MM-dd') AS min, "
+            f"date_format(max(last_date) {whole}, 'yyyy-MM-dd') AS max) AS date_range"
+        ),
+        F.expr(f"CAST(max(amount_sum) {whole} AS {MONEY_SUM.simpleString()}) AS total_revenue"),
+        F.expr(f"{ratio_sql(f'max(amount_sum) {whole}', f'max(amount_count) {whole}')} AS avg_transaction"),
+        F.expr("count_if(dimension = 'state_names') AS states_count"),
+        F.expr(f"{value_map('segment')} AS segments"),
+        F.expr(f"{value_map('payment_method')} AS payment_methods"),
     )
     unique = F.col("total_records") if ids_unique else distinct_with_null(df, "transaction_id").scalar()
     return summary.withColumn("unique_customers", unique).select(

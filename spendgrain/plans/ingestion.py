@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spendgrain.operators.cleaning import REJECT_REASONS, age_profile, clean, parse
 from spendgrain.operators.statistics import ingestion_stats
@@ -34,23 +35,35 @@ def run_ingestion(
     as_of = as_of or started
     try:
         scan = read_csv(spark, csv_path)
-        profile = age_profile(parse(scan, date_format)).first()
+        # Only these two columns of the profile: the CSV parser then skips all fields but the age.
+        profile = age_profile(parse(scan, date_format)).select("rows_in", "median_age").first()
         batch_id = uuid.uuid4().hex
         cleaned = clean(scan, file_order(scan), date_format, profile["median_age"])
         write_monthly(cleaned.drop(*FILE_ORDER).withColumn("batch_id", F.lit(batch_id)), f"{root}/raw")
 
         written = read_stored(spark, f"{root}/raw").filter(F.col("batch_id") == batch_id)
-        counts = batch_counts(written).first()
         good = written.filter(F.col("year").isNotNull())
-        seconds = (datetime.now() - started).total_seconds()
-        document = metadata_document(ingestion_stats(good, ids_unique=True), as_of, csv_path, counts["months"], seconds)
-        row = document.first()
-        write_metadata(spark.createDataFrame([row], document.schema), f"{root}/processed")
+        stats = ingestion_stats(good, ids_unique=True)
+        # Both summaries in one query; Spark runs the subquery beside the main one.
+        summary = stats.select(
+            F.struct(*stats.columns).alias("statistics"),
+            batch_counts(written).select(F.struct("*")).scalar().alias("counts"),
+        )
+        row = summary.first()
+        counts = row["counts"]
+        document = {
+            "ingestion_date": as_of,
+            "source_file": csv_path,
+            "files_created": counts["months"],
+            "statistics": row["statistics"].asDict(recursive=True),
+            "execution_time_seconds": (datetime.now() - started).total_seconds(),
+        }
+        write_metadata(spark.createDataFrame([document], document_schema(summary)), f"{root}/processed")
     except Exception as error:
         append_log(spark, root, [log_entry(INGESTION, "failed", 0, started, datetime.now(), error=str(error)[:2000])])
         raise
     rejected = {r: counts[r] for r in REJECT_REASONS}
-    kept = row["statistics"]["total_records"]
+    kept = document["statistics"]["total_records"]
     append_log(
         spark,
         root,
@@ -68,10 +81,9 @@ def run_ingestion(
         ],
     )
     return {
-        **row.asDict(recursive=True),
+        **document,
         "rows_in": profile["rows_in"],
         "median_age": profile["median_age"],
-        "missing": {k.removeprefix("missing_"): v for k, v in profile.asDict().items() if k.startswith("missing_")},
         "duplicates_removed": profile["rows_in"] - kept - sum(rejected.values()),
         "rejected": rejected,
     }
@@ -92,14 +104,14 @@ def batch_counts(written: DataFrame) -> DataFrame:
     )
 
 
-def metadata_document(
-    stats: DataFrame, as_of: datetime, source_file: str, files_created: int, seconds: float
-) -> DataFrame:
-    """The nested ingestion document around one row of statistics."""
-    return stats.select(
-        F.lit(as_of).cast("timestamp").alias("ingestion_date"),
-        F.lit(source_file).alias("source_file"),
-        F.lit(files_created).cast("long").alias("files_created"),
-        F.struct(*stats.columns).alias("statistics"),
-        F.lit(seconds).alias("execution_time_seconds"),
+def document_schema(summary: DataFrame) -> T.StructType:
+    """Schema of the nested ingestion document."""
+    return T.StructType(
+        [
+            T.StructField("ingestion_date", T.TimestampType()),
+            T.StructField("source_file", T.StringType()),
+            T.StructField("files_created", T.LongType()),
+            T.StructField("statistics", summary.schema["statistics"].dataType),
+            T.StructField("execution_time_seconds", T.DoubleType()),
+        ]
     )

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from spendgrain.functions.calendar import with_quarters
 from spendgrain.functions.measures import measures, merge_measures
 from spendgrain.operators import features as feature_sets
-from spendgrain.operators.cohorts import cohort_counts, customer_moves, with_cohorts
+from spendgrain.operators.cohorts import cohort_counts, customer_moves, full_quarterly, moves_of_unique_ids
 from spendgrain.operators.distributions import with_distributions
 from spendgrain.plans.ingestion import run_ingestion
 from spendgrain.schema import STORE_KEYS, conform
-from spendgrain.sources.files import read_raw
+from spendgrain.sources.files import read_raw, read_stored
 from spendgrain.sources.store import (
     append_log,
     log_entry,
@@ -32,7 +32,7 @@ def run_features(
     spark: SparkSession,
     root: str,
     as_of: datetime | None = None,
-    ids_unique: bool = False,
+    ids_unique: bool | None = None,
     customer_col: str = "transaction_id",
     snapshot_date: date | None = None,
     jdbc_url: str | None = None,
@@ -44,6 +44,9 @@ def run_features(
     table is written; the feature sets are rolled up from it. What it cannot give (distinct ids,
     distributions, customer moves) reads only the columns it needs. Each table is computed once,
     by its write; later steps read it back.
+
+    `ids_unique` says whether any transaction_id occurs twice. Left open, it is taken from the
+    table: rows of a single ingestion run are unique by id, and then no id is ever shuffled.
     """
     started = datetime.now()
     out = f"{root}/features"
@@ -51,6 +54,8 @@ def run_features(
         df = read_raw(spark, f"{root}/raw")
         write_features(measures(with_quarters(df), *MEASURE_KEYS), out, "transaction_measures")
         parts = read_features(spark, out, "transaction_measures")
+        if ids_unique is None:
+            ids_unique = from_one_batch(read_stored(spark, f"{root}/raw"))
         for name, table in feature_tables(df, parts, as_of, ids_unique, customer_col).items():
             write_features(table, out, name)
         tables = {name: read_features(spark, out, name) for name in STORE_KEYS}
@@ -81,27 +86,44 @@ def feature_tables(
     customer_col: str = "transaction_id",
 ) -> dict[str, DataFrame]:
     """All four feature sets with every declared column, from transactions and their measures."""
-    dated = with_quarters(df)
-
-    def distinct(*keys: str) -> DataFrame | None:
-        return None if ids_unique else feature_sets.distinct_ids(dated, *keys)
-
-    quarter_keys = feature_sets.QUARTER_KEYS
+    quarter_parts = merge_measures(parts, *feature_sets.QUARTER_KEYS)
+    if ids_unique and customer_col == "transaction_id":
+        moves = moves_of_unique_ids(quarter_parts)
+    else:
+        moves = customer_moves(df, customer_col)
     customer = feature_sets.finish_customer(merge_measures(parts, *feature_sets.CUSTOMER_KEYS), as_of)
-    quarterly = feature_sets.finish_quarterly(merge_measures(parts, *quarter_keys), distinct(*quarter_keys), as_of)
-    total = parts.agg(F.sum("row_count").alias("total"))
     return {
         "customer_features": with_distributions(customer, df),
-        "quarterly_features": with_cohorts(quarterly, cohort_counts(customer_moves(df, customer_col))),
+        "quarterly_features": full_quarterly(quarter_parts, cohort_counts(moves), as_of),
         "payment_features": feature_sets.finish_payment(
-            merge_measures(parts, *feature_sets.PAYMENT_KEYS), total, as_of
+            merge_measures(parts, *feature_sets.PAYMENT_KEYS),
+            parts.agg(F.sum("row_count").alias("total")),
+            as_of,
         ),
         "state_features": feature_sets.finish_state(
-            merge_measures(parts, "state_names", "segment", "payment_method"), distinct("state_names"), as_of
+            merge_measures(parts, "state_names", "segment", "payment_method"),
+            None if ids_unique else feature_sets.distinct_ids(df, "state_names"),
+            as_of,
         ),
     }
 
 
+def from_one_batch(stored: DataFrame) -> bool:
+    """Whether all accepted rows were written by the same ingestion run, which keeps one row per id."""
+    if "batch_id" not in stored.columns:
+        return False
+    row = (
+        stored.filter(F.col("year").isNotNull())
+        .agg(
+            F.min("batch_id").alias("low"),
+            F.max("batch_id").alias("high"),
+            F.count_if(F.col("batch_id").isNull()).alias("unmarked"),
+        )
+        .first()
+    )
+    return row["unmarked"] == 0 and row["low"] == row["high"]
+
+
 def run_all(spark: SparkSession, csv_path: str, root: str, as_of: datetime | None = None, **options) -> dict:
     """Ingestion, then features."""
     return {

@@ -2,38 +2,44 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_stored_schema(spark, path)).parquet(path)
+
+
+@lru_cache(maxsize=64)
+def _stored_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Read a file footer once per table, not once per query."""
+    return spark.read.parquet(path).schema
 
 
 def orders_to_transactions(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """Works on a batch or a streaming orders table; join strategies are left to Spark."""
-    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
-        nation, F.col("c_nationkey") == F.col("n_nationkey")
+    """Join strategies are left to Spark, which broadcasts a side only below its size limit."""
+    joined = orders.join(customer, F.expr("o_custkey = c_custkey")).join(
+        nation, F.expr("c_nationkey = n_nationkey")
     )
-    cust, order = F.col("o_custkey"), F.col("o_orderkey")
-    return joined.select(
-        order.cast("string").alias("transaction_id"),
-        F.col("o_orderdate").cast("date").alias("transaction_date"),
-        F.when(cust % 3 == 0, "Male").when(cust % 3 == 1, "Female").otherwise("Unknown").alias("gender"),
-        (18 + cust % 63).cast("int").alias("age"),
-        F.when(cust % 2 == 0, "Married").otherwise("Single").alias("marital_status"),
-        F.col("n_name").alias("state_names"),
-        F.col("c_mktsegment").alias("segment"),
-        F.when(cust % 4 == 0, "Employed")
-        .when(cust % 4 == 1, "Self-employed")
-        .when(cust % 4 == 2, "Unemployed")
-        .otherwise("Unknown")
-        .alias("employees_status"),
-        F.col("o_orderpriority").alias("payment_method"),
-        F.when(order % 4 == 0, "Yes").otherwise("No").alias("referral"),
-        F.col("o_totalprice").cast("decimal(10,2)").alias("amount_spent"),
-        cust.alias("customer_key"),
-        order.alias("seq"),
+    return joined.selectExpr(
+        "CAST(o_orderkey AS STRING) AS transaction_id",
+        "CAST(o_orderdate AS DATE) AS transaction_date",
+        "CASE o_custkey % 3 WHEN 0 THEN 'Male' WHEN 1 THEN 'Female' ELSE 'Unknown' END AS gender",
+        "CAST(18 + o_custkey % 63 AS INT) AS age",
+        "CASE o_custkey % 2 WHEN 0 THEN 'Married' ELSE 'Single' END AS marital_status",
+        "n_name AS state_names",
+        "c_mktsegment AS segment",
+        "CASE o_custkey % 4 WHEN 0 THEN 'Employed' WHEN 1 THEN 'Self-employed' WHEN 2 THEN 'Unemployed' "
+        "ELSE 'Unknown' END AS employees_status",
+        "o_orderpriority AS payment_method",
+        "CASE WHEN o_orderkey % 4 = 0 THEN 'Yes' ELSE 'No' END AS referral",
+        "CAST(o_totalprice AS DECIMAL(10,2)) AS amount_spent",
+        "o_custkey AS customer_key",
+        "o_orderkey AS seq",
     )
 
 
@@ -46,37 +52,24 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows as CSV-like text under the CSV's header names, with faults put in by
     arithmetic on seq, and every tenth transaction repeated later with another amount."""
-    seq = F.col("seq")
-    rows = transactions(spark, sf_dir).select(
-        F.when(seq % 97 == 0, "not-a-date")
-        .otherwise(F.col("transaction_date").cast("string"))
-        .alias("Transaction_date"),
-        F.col("transaction_id").alias("Transaction_ID"),
-        F.col("gender").alias("Gender"),
-        F.when(seq % 17 == 0, None)
-        .when(seq % 101 == 0, "17")
-        .when(seq % 103 == 0, "121")
-        .otherwise(F.col("age").cast("string"))
-        .alias("Age"),
-        F.col("marital_status").alias("Marital_status"),
-        F.when(seq % 13 != 0, F.col("state_names")).alias("State_names"),
-        F.when(seq % 19 != 0, F.col("segment")).alias("Segment"),
-        F.col("employees_status").alias("Employees_status"),
-        F.col("payment_method").alias("Payment_method"),
-        F.col("referral").alias("Referral"),
-        F.when(seq % 29 == 0, "abc")
-        .when(seq % 31 == 0, "-5.00")
-        .when(seq % 37 == 0, None)
-        .otherwise(F.col("amount_spent").cast("string"))
-        .alias("Amount_spent"),
-        seq,
+    rows = transactions(spark, sf_dir).selectExpr(
+        "CASE WHEN seq % 97 = 0 THEN 'not-a-date' ELSE CAST(transaction_date AS STRING) END AS Transaction_date",
+        "transaction_id AS Transaction_ID",
+        "gender AS Gender",
+        "CASE WHEN seq % 17 = 0 THEN NULL WHEN seq % 101 = 0 THEN '17' WHEN seq % 103 = 0 THEN '121' "
+        "ELSE CAST(age AS STRING) END AS Age",
+        "marital_status AS Marital_status",
+        "CASE WHEN seq % 13 <> 0 THEN state_names END AS State_names",
+        "CASE WHEN seq % 19 <> 0 THEN segment END AS Segment",
+        "employees_status AS Employees_status",
+        "payment_method AS Payment_method",
+        "referral AS Referral",
+        "CASE WHEN seq % 29 = 0 THEN 'abc' WHEN seq % 31 = 0 THEN '-5.00' WHEN seq % 37 = 0 THEN NULL "
+        "ELSE CAST(amount_spent AS STRING) END AS first_amount",
+        "seq AS first_seq",
     )
-    # One scan gives both copies: an inline array of the row's amounts, one entry per copy.
-    copies = F.when(
-        seq % 10 == 0,
-        F.array(
-            F.struct(seq.alias("seq"), F.col("Amount_spent").alias("Amount_spent")),
-            F.struct((seq + 1_000_000_000).alias("seq"), F.lit("1.00").alias("Amount_spent")),
-        ),
-    ).otherwise(F.array(F.struct(seq.alias("seq"), F.col("Amount_spent").alias("Amount_spent"))))
-    return rows.withColumn("copy", F.explode(copies)).drop("seq", "Amount_spent").select("*", "copy.*").drop("copy")
+    # One scan gives both copies: an array with one entry per copy of the row.
+    first = "named_struct('Amount_spent', first_amount, 'seq', first_seq)"
+    second = "named_struct('Amount_spent', '1.00', 'seq', first_seq + 1000000000)"
+    copies = f"CASE WHEN first_seq % 10 = 0 THEN array({first}, {second}) ELSE array({first}) END"
+    return rows.selectExpr("* EXCEPT (first_amount, first_seq)", f"inline({copies})")
