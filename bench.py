@@ -12,7 +12,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,7 +82,6 @@ def main() -> None:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spendgrain-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendgrain.functions.calendar import with_months, with_quarters
-from spendgrain.functions.measures import measures
+from spendgrain.functions.measures import merge_measures
 from spendgrain.operators import cleaning, cohorts, distributions, quality, statistics, views
 from spendgrain.operators import features as fs
-from spendgrain.plans.refresh import batch_log, stage_report
+from spendgrain.plans.refresh import batch_log, stage_report, stored_measures
 from spendgrain.schema import conform
 from spendgrain.sources.files import FILE_ORDER, inventory, read_csv, read_raw, write_monthly
 from spendgrain.sources.scratch import scratch_folder
@@ -48,12 +48,6 @@ def _quarterly(spark: SparkSession, sf: str) -> DataFrame:
     return fs.quarterly_features(transactions(spark, sf))
 
 
-def _quarterly_full(spark: SparkSession, sf: str) -> DataFrame:
-    tx = transactions(spark, sf)
-    counts = cohorts.cohort_counts(cohorts.customer_moves(tx, CUSTOMER))
-    return cohorts.full_quarterly(measures(with_quarters(tx), *fs.QUARTER_KEYS), counts)
-
-
 def _payment(spark: SparkSession, sf: str) -> DataFrame:
     return fs.payment_features(transactions(spark, sf))
 
@@ -62,15 +56,37 @@ def _state(spark: SparkSession, sf: str) -> DataFrame:
     return fs.state_features(transactions(spark, sf))
 
 
+def _shared_measures(spark: SparkSession, tx: DataFrame) -> DataFrame:
+    """Measures for queries over several feature sets: the transactions are added up once."""
+    return stored_measures(spark, tx, scratch_folder(spark, "measures"))
+
+
 def _feature_sets(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    tx = transactions(spark, sf)
+    parts = _shared_measures(spark, tx)
+    quarterly = merge_measures(parts, *fs.QUARTER_KEYS)
     return {
-        "customer_features": _customer(spark, sf),
-        "quarterly_features": _quarterly(spark, sf),
-        "payment_features": _payment(spark, sf),
-        "state_features": _state(spark, sf),
+        "customer_features": fs.finish_customer(merge_measures(parts, *fs.CUSTOMER_KEYS)),
+        "quarterly_features": fs.finish_quarterly(quarterly, fs.distinct_ids(with_quarters(tx), *fs.QUARTER_KEYS)),
+        "payment_features": fs.finish_payment(
+            merge_measures(parts, *fs.PAYMENT_KEYS), parts.agg(F.expr("sum(row_count) AS total"))
+        ),
+        "state_features": fs.finish_state(parts, fs.distinct_ids(tx, "state_names")),
     }
 
 
+def _training_sets(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Customer, full quarterly (with retention) and state features."""
+    tx = transactions(spark, sf)
+    parts = _shared_measures(spark, tx)
+    counts = cohorts.cohort_counts(cohorts.customer_moves(tx, CUSTOMER))
+    return (
+        fs.finish_customer(merge_measures(parts, *fs.CUSTOMER_KEYS)),
+        cohorts.full_quarterly(merge_measures(parts, *fs.QUARTER_KEYS), counts),
+        fs.finish_state(parts, fs.distinct_ids(tx, "state_names")),
+    )
+
+
 def _judged(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.clean(dirty_transactions(spark, sf), ORDER)
 
@@ -193,18 +209,17 @@ def top_payment_per_state(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ml_training_features(spark: SparkSession, sf: str) -> DataFrame:
-    return _result(
-        views.ml_training_features(_customer(spark, sf), _quarterly_full(spark, sf), _state(spark, sf))
-    )
+    return _result(views.ml_training_features(*_training_sets(spark, sf)))
 
 
 def ml_training_latest(spark: SparkSession, sf: str) -> DataFrame:
-    return _result(views.ml_training_latest(_customer(spark, sf), _quarterly_full(spark, sf), _state(spark, sf)))
+    return _result(views.ml_training_latest(*_training_sets(spark, sf)))
 
 
 def ml_training_features_alt(spark: SparkSession, sf: str) -> DataFrame:
+    sets = _feature_sets(spark, sf)
     return views.ml_training_features_alt(
-        _customer(spark, sf), _quarterly(spark, sf), _payment(spark, sf), _state(spark, sf)
+        sets["customer_features"], sets["quarterly_features"], sets["payment_features"], sets["state_features"]
     )
 
 

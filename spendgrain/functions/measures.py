@@ -36,11 +36,14 @@ MEASURES = {
 }
 
 
-def measures(df: DataFrame, *keys: str, referral_yes: Sequence[str] = ("Yes",)) -> DataFrame:
-    """One row of additive measures per key; unused ones are pruned by the optimizer."""
+def measures(
+    df: DataFrame, *keys: str, referral_yes: Sequence[str] = ("Yes",), extra: Sequence[Column] = ()
+) -> DataFrame:
+    """One row of additive measures per key; unused ones are pruned by the optimizer, `extra`
+    aggregates ride along."""
     yes = ", ".join("'" + v.replace("'", "\\'") + "'" for v in referral_yes)
     return df.groupBy(*keys).agg(
-        *[F.expr(f"{take.replace('{yes}', yes)} AS {name}") for name, (take, _) in MEASURES.items()]
+        *[F.expr(f"{take.replace('{yes}', yes)} AS {name}") for name, (take, _) in MEASURES.items()], *extra
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from spendgrain.operators.cleaning import REJECT_REASONS, age_profile, clean, parse
 from spendgrain.operators.statistics import ingestion_stats
 from spendgrain.sources.files import FILE_ORDER, file_order, read_csv, read_stored, write_monthly
-from spendgrain.sources.store import append_log, log_entry, write_metadata
+from spendgrain.sources.store import append_log, log_entry, one_row, write_metadata
 
 INGESTION = "monthly_data_ingestion"
 
@@ -58,27 +58,25 @@ def run_ingestion(
             "statistics": row["statistics"].asDict(recursive=True),
             "execution_time_seconds": (datetime.now() - started).total_seconds(),
         }
-        write_metadata(spark.createDataFrame([document], document_schema(summary)), f"{root}/processed")
+        write_metadata(one_row(spark, document, document_schema(summary)), f"{root}/processed")
     except Exception as error:
-        append_log(spark, root, [log_entry(INGESTION, "failed", 0, started, datetime.now(), error=str(error)[:2000])])
+        append_log(spark, root, log_entry(INGESTION, "failed", 0, started, datetime.now(), error=str(error)[:2000]))
         raise
     rejected = {r: counts[r] for r in REJECT_REASONS}
     kept = document["statistics"]["total_records"]
     append_log(
         spark,
         root,
-        [
-            log_entry(
-                INGESTION,
-                "completed",
-                profile["rows_in"],
-                started,
-                datetime.now(),
-                inserted=kept,
-                failed=sum(rejected.values()),
-                metadata={"source_file": csv_path, "batch_id": batch_id},
-            )
-        ],
+        log_entry(
+            INGESTION,
+            "completed",
+            profile["rows_in"],
+            started,
+            datetime.now(),
+            inserted=kept,
+            failed=sum(rejected.values()),
+            metadata={"source_file": csv_path, "batch_id": batch_id},
+        ),
     )
     return {
         **document,

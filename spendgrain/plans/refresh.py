@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendgrain.functions.calendar import with_quarters
@@ -14,7 +16,7 @@ from spendgrain.operators.cohorts import cohort_counts, customer_moves, full_qua
 from spendgrain.operators.distributions import with_distributions
 from spendgrain.plans.ingestion import run_ingestion
 from spendgrain.schema import STORE_KEYS, conform
-from spendgrain.sources.files import read_raw, read_stored
+from spendgrain.sources.files import accepted_rows, read_stored
 from spendgrain.sources.store import (
     append_log,
     log_entry,
@@ -51,33 +53,57 @@ def run_features(
     started = datetime.now()
     out = f"{root}/features"
     try:
-        df = read_raw(spark, f"{root}/raw")
-        write_features(measures(with_quarters(df), *MEASURE_KEYS), out, "transaction_measures")
-        parts = read_features(spark, out, "transaction_measures")
+        stored = read_stored(spark, f"{root}/raw")
+        df = accepted_rows(stored)
+        marks = batch_marks(stored)
+        parts = stored_measures(spark, df, f"{out}/transaction_measures", marks)
+        facts = parts.agg(
+            F.expr("coalesce(sum(row_count), 0) AS records"),
+            F.expr("coalesce(min(low_batch) = max(high_batch) AND sum(unmarked) = 0, false) AS one_batch"),
+        ).first()
         if ids_unique is None:
-            ids_unique = from_one_batch(read_stored(spark, f"{root}/raw"))
-        for name, table in feature_tables(df, parts, as_of, ids_unique, customer_col).items():
-            write_features(table, out, name)
-        tables = {name: read_features(spark, out, name) for name in STORE_KEYS}
-        if jdbc_url:
-            for name, table in tables.items():
-                write_jdbc(conform(table, name), name, "overwrite", jdbc_url, jdbc_properties)
-        if snapshot_date:
-            for name, table in tables.items():
-                write_snapshot(table, f"{root}/snapshots", name, snapshot_date)
-        records = parts.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("n")).first()["n"]
+            ids_unique = facts["one_batch"]
+        computed = feature_tables(df, parts, as_of, ids_unique, customer_col)
+        # Independent jobs: run side by side, small ones fill the slots the large ones leave.
+        with ThreadPoolExecutor(len(computed)) as jobs:
+            list(jobs.map(lambda item: write_features(item[1], out, item[0]), computed.items()))
+        if jdbc_url or snapshot_date:
+            for name in STORE_KEYS:
+                table = read_features(spark, out, name)
+                if jdbc_url:
+                    write_jdbc(conform(table, name), name, "overwrite", jdbc_url, jdbc_properties)
+                if snapshot_date:
+                    write_snapshot(table, f"{root}/snapshots", name, snapshot_date)
     except Exception as error:
-        append_log(spark, root, [log_entry(FEATURES, "failed", 0, started, datetime.now(), error=str(error)[:2000])])
+        append_log(spark, root, log_entry(FEATURES, "failed", 0, started, datetime.now(), error=str(error)[:2000]))
         raise
     ended = datetime.now()
-    append_log(spark, root, [log_entry(FEATURES, "completed", records, started, ended)])
+    append_log(spark, root, log_entry(FEATURES, "completed", facts["records"], started, ended))
     return {
         "status": "success",
-        "records_processed": records,
+        "records_processed": facts["records"],
         "execution_time": (ended - started).total_seconds(),
     }
 
 
+def batch_marks(stored: DataFrame) -> list[Column]:
+    """Aggregates that tell whether all rows come from one ingestion run, which keeps one row per id."""
+    if "batch_id" not in stored.columns:
+        return [F.expr("CAST(NULL AS STRING) AS low_batch"), F.expr("CAST(NULL AS STRING) AS high_batch"), F.expr("count(1) AS unmarked")]
+    return [
+        F.expr("min(batch_id) AS low_batch"),
+        F.expr("max(batch_id) AS high_batch"),
+        F.expr("count_if(batch_id IS NULL) AS unmarked"),
+    ]
+
+
+def stored_measures(spark: SparkSession, df: DataFrame, path: str, extra: Sequence[Column] = ()) -> DataFrame:
+    """Measures of the transactions at MEASURE_KEYS, written once and read back, so that several
+    feature sets can be made from them without reading the transactions again."""
+    measures(with_quarters(df), *MEASURE_KEYS, extra=extra).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def feature_tables(
     df: DataFrame,
     parts: DataFrame,
@@ -108,22 +134,6 @@ def feature_tables(
     }
 
 
-def from_one_batch(stored: DataFrame) -> bool:
-    """Whether all accepted rows were written by the same ingestion run, which keeps one row per id."""
-    if "batch_id" not in stored.columns:
-        return False
-    row = (
-        stored.filter(F.col("year").isNotNull())
-        .agg(
-            F.min("batch_id").alias("low"),
-            F.max("batch_id").alias("high"),
-            F.count_if(F.col("batch_id").isNull()).alias("unmarked"),
-        )
-        .first()
-    )
-    return row["unmarked"] == 0 and row["low"] == row["high"]
-
-
 def run_all(spark: SparkSession, csv_path: str, root: str, as_of: datetime | None = None, **options) -> dict:
     """Ingestion, then features."""
     return {

@@ -103,8 +103,12 @@ def read_stored(spark: SparkSession, root: str) -> DataFrame:
 
 def read_raw(spark: SparkSession, root: str) -> DataFrame:
     """The accepted transactions; a filter on year or month prunes directories."""
-    df = read_stored(spark, root).filter(F.col("year").isNotNull())
-    return df.drop("reject_reason", "batch_id")
+    return accepted_rows(read_stored(spark, root)).drop("reject_reason", "batch_id")
+
+
+def accepted_rows(stored: DataFrame) -> DataFrame:
+    """Rows filed under a month; the default partition with the rejected ones is not read."""
+    return stored.filter(F.col("year").isNotNull())
 
 
 def read_month_files(spark: SparkSession, pattern: str) -> DataFrame:

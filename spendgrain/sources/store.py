@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from collections.abc import Mapping
@@ -77,16 +78,23 @@ def write_jdbc(
     jdbc_ready(df).coalesce(connections).write.jdbc(url, table, mode=mode, properties=dict(properties or {}))
 
 
-def write_metadata(df: DataFrame, root: str) -> None:
-    """Add one ingestion document; `df` has an ingestion_date timestamp column."""
+def write_metadata(document: DataFrame, root: str) -> None:
+    """Add one ingestion document; it has an ingestion_date timestamp column."""
     (
-        df.withColumn("ingest_day", F.to_date("ingestion_date"))
+        document.withColumn("ingest_day", F.to_date("ingestion_date"))
         .write.mode("append")
         .partitionBy("ingest_day")
         .json(f"{root}/ingestion_metadata")
     )
 
 
+def one_row(spark: SparkSession, values: Mapping[str, object], schema: T.StructType) -> DataFrame:
+    """A one-row table of literals under an explicit schema; absent fields are NULL. Unlike a table
+    made from Python objects it needs no Python worker."""
+    text = json.dumps(dict(values), default=str)
+    return spark.range(0, 1, 1, 1).select(F.from_json(F.lit(text), schema).alias("row")).select("row.*")
+
+
 def log_rows(spark: SparkSession, entries: list[dict]) -> DataFrame:
     """Execution log rows with the full declared schema; absent fields are NULL."""
     schema = STORE_TABLES[LOG_TABLE]
@@ -126,8 +134,9 @@ def log_entry(
     }
 
 
-def append_log(spark: SparkSession, root: str, entries: list[dict]) -> None:
-    log_rows(spark, entries).coalesce(1).write.mode("append").parquet(f"{root}/{LOG_TABLE}")
+def append_log(spark: SparkSession, root: str, entry: Mapping[str, object]) -> None:
+    row = one_row(spark, {"execution_id": str(uuid.uuid4()), **entry}, STORE_TABLES[LOG_TABLE])
+    row.write.mode("append").parquet(f"{root}/{LOG_TABLE}")
 
 
 def read_log(spark: SparkSession, root: str) -> DataFrame:
