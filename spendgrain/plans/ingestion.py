@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendgrain.operators.cleaning import REJECT_REASONS, age_profile, clean, parse
-from spendgrain.operators.statistics import ingestion_stats
+from spendgrain.operators.statistics import STATISTICS, batch_summary
 from spendgrain.sources.files import FILE_ORDER, file_order, read_csv, read_stored, write_monthly
 from spendgrain.sources.store import append_log, log_entry, one_row, write_metadata
 
@@ -39,22 +39,16 @@ def run_ingestion(
         profile = age_profile(parse(scan, date_format)).select("rows_in", "median_age").first()
         batch_id = uuid.uuid4().hex
         cleaned = clean(scan, file_order(scan), date_format, profile["median_age"])
-        write_monthly(cleaned.drop(*FILE_ORDER).withColumn("batch_id", F.lit(batch_id)), f"{root}/raw")
+        batch = cleaned.drop(*FILE_ORDER).withColumn("batch_id", F.lit(batch_id))
+        write_monthly(batch, f"{root}/raw")
 
-        written = read_stored(spark, f"{root}/raw").filter(F.col("batch_id") == batch_id)
-        good = written.filter(F.col("year").isNotNull())
-        stats = ingestion_stats(good, ids_unique=True)
-        # Both summaries in one query; Spark runs the subquery beside the main one.
-        summary = stats.select(
-            F.struct(*stats.columns).alias("statistics"),
-            batch_counts(written).select(F.struct("*")).scalar().alias("counts"),
-        )
+        written = read_stored(spark, f"{root}/raw", batch.schema).filter(F.col("batch_id") == batch_id)
+        summary = batch_summary(written).select(F.struct(*STATISTICS).alias("statistics"), "months", "rejected")
         row = summary.first()
-        counts = row["counts"]
         document = {
             "ingestion_date": as_of,
             "source_file": csv_path,
-            "files_created": counts["months"],
+            "files_created": row["months"],
             "statistics": row["statistics"].asDict(recursive=True),
             "execution_time_seconds": (datetime.now() - started).total_seconds(),
         }
@@ -62,7 +56,7 @@ def run_ingestion(
     except Exception as error:
         append_log(spark, root, log_entry(INGESTION, "failed", 0, started, datetime.now(), error=str(error)[:2000]))
         raise
-    rejected = {r: counts[r] for r in REJECT_REASONS}
+    rejected = {reason: row["rejected"].get(reason, 0) for reason in REJECT_REASONS}
     kept = document["statistics"]["total_records"]
     append_log(
         spark,
@@ -87,21 +81,6 @@ def run_ingestion(
     }
 
 
-def batch_counts(written: DataFrame) -> DataFrame:
-    """Months touched and rows per reject reason, in one row."""
-    return (
-        written.groupBy("year", "month", "reject_reason")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(
-            F.count_if(F.col("year").isNotNull()).alias("months"),
-            *[
-                F.coalesce(F.sum(F.when(F.col("reject_reason") == r, F.col("n"))), F.lit(0)).alias(r)
-                for r in REJECT_REASONS
-            ],
-        )
-    )
-
-
 def document_schema(summary: DataFrame) -> T.StructType:
     """Schema of the nested ingestion document."""
     return T.StructType(

@@ -15,6 +15,8 @@ from spendgrain.schema import MONEY, REQUIRED_COLUMNS
 # Columns that place a row within the scanned files, taken at the scan before any shuffle.
 FILE_ORDER = ("_file", "_block", "_row")
 
+_PARTITIONS = [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())]
+
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
     """Header names of the (first) CSV file; only its first line is read."""
@@ -95,10 +97,15 @@ def _filed(df: DataFrame) -> DataFrame:
     return dated.hint("rebalance", F.col("year"), F.col("month"))
 
 
-def read_stored(spark: SparkSession, root: str) -> DataFrame:
-    """Everything written by write_monthly, rejected rows included."""
-    df = spark.read.parquet(root)
-    return df.withColumns({"year": F.col("year").cast("int"), "month": F.col("month").cast("int")})
+def read_stored(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+    """Everything written by write_monthly, rejected rows included. A known schema of the written
+    rows saves reading one from a file."""
+    reader = spark.read
+    if schema is not None:
+        calendar = [T.StructField("year_month", T.StringType()), *_PARTITIONS]
+        reader = reader.schema(T.StructType([*schema.fields, *calendar]))
+    df = reader.parquet(root)
+    return df.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in _PARTITIONS})
 
 
 def read_raw(spark: SparkSession, root: str) -> DataFrame:
