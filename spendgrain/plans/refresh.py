@@ -14,13 +14,16 @@ from spendgrain.functions.measures import measures, merge_measures
 from spendgrain.operators import features as feature_sets
 from spendgrain.operators.cohorts import cohort_counts, customer_moves, full_quarterly, moves_of_unique_ids
 from spendgrain.operators.distributions import with_distributions
+from spendgrain.operators.views import ml_training_features, register_views
 from spendgrain.plans.ingestion import run_ingestion
 from spendgrain.schema import STORE_KEYS, conform
-from spendgrain.sources.files import accepted_rows, read_stored
+from spendgrain.sources.files import accepted_rows, read_raw, read_stored
 from spendgrain.sources.store import (
+    LOG_TABLE,
     append_log,
     log_entry,
     read_features,
+    read_log,
     write_features,
     write_jdbc,
     write_snapshot,
@@ -39,6 +42,7 @@ def run_features(
     snapshot_date: date | None = None,
     jdbc_url: str | None = None,
     jdbc_properties: dict[str, str] | None = None,
+    referral_yes: Sequence[str] = ("Yes",),
 ) -> dict:
     """Compute the four feature sets from root/raw into root/features.
 
@@ -55,8 +59,8 @@ def run_features(
     try:
         stored = read_stored(spark, f"{root}/raw")
         df = accepted_rows(stored)
-        marks = batch_marks(stored)
-        parts = stored_measures(spark, df, f"{out}/transaction_measures", marks)
+        path = f"{out}/transaction_measures"
+        parts = stored_measures(spark, df, path, referral_yes, batch_marks(stored))
         facts = parts.agg(
             F.expr("coalesce(sum(row_count), 0) AS records"),
             F.expr("coalesce(min(low_batch) = max(high_batch) AND sum(unmarked) = 0, false) AS one_batch"),
@@ -88,19 +92,25 @@ def run_features(
 
 def batch_marks(stored: DataFrame) -> list[Column]:
     """Aggregates that tell whether all rows come from one ingestion run, which keeps one row per id."""
-    if "batch_id" not in stored.columns:
-        return [F.expr("CAST(NULL AS STRING) AS low_batch"), F.expr("CAST(NULL AS STRING) AS high_batch"), F.expr("count(1) AS unmarked")]
+    batch = "batch_id" if "batch_id" in stored.columns else "CAST(NULL AS STRING)"
     return [
-        F.expr("min(batch_id) AS low_batch"),
-        F.expr("max(batch_id) AS high_batch"),
-        F.expr("count_if(batch_id IS NULL) AS unmarked"),
+        F.expr(f"min({batch}) AS low_batch"),
+        F.expr(f"max({batch}) AS high_batch"),
+        F.expr(f"count_if({batch} IS NULL) AS unmarked"),
     ]
 
 
-def stored_measures(spark: SparkSession, df: DataFrame, path: str, extra: Sequence[Column] = ()) -> DataFrame:
+def stored_measures(
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    referral_yes: Sequence[str] = ("Yes",),
+    extra: Sequence[Column] = (),
+) -> DataFrame:
     """Measures of the transactions at MEASURE_KEYS, written once and read back, so that several
     feature sets can be made from them without reading the transactions again."""
-    measures(with_quarters(df), *MEASURE_KEYS, extra=extra).write.mode("overwrite").parquet(path)
+    parts = measures(with_quarters(df), *MEASURE_KEYS, referral_yes=referral_yes, extra=extra)
+    parts.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -142,6 +152,20 @@ def run_all(spark: SparkSession, csv_path: str, root: str, as_of: datetime | Non
     }
 
 
+def open_store(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The store's tables in their declared shape, and the training view, also as temporary views
+    under the same names for spark.sql."""
+    tables = {name: conform(read_features(spark, f"{root}/features", name), name) for name in STORE_KEYS}
+    by_segment = {n: t.withColumnRenamed("customer_segment", "segment") for n, t in tables.items()}
+    tables["ml_training_features"] = ml_training_features(
+        by_segment["customer_features"], by_segment["quarterly_features"], by_segment["state_features"]
+    )
+    tables["raw_transactions"] = conform(read_raw(spark, f"{root}/raw"), "raw_transactions")
+    tables[LOG_TABLE] = read_log(spark, root)
+    register_views(tables)
+    return tables
+
+
 def stage_report(stages: dict[str, DataFrame]) -> DataFrame:
     """(stage, row_count, status) for the tables a run produced."""
     report = None

@@ -14,7 +14,7 @@ from spendgrain.functions.calendar import with_quarters
 from spendgrain.functions.measures import measures
 from spendgrain.operators.distributions import DISTRIBUTIONS, distribution
 from spendgrain.plans.ingestion import run_ingestion
-from spendgrain.plans.refresh import run_all, run_features
+from spendgrain.plans.refresh import open_store, run_all, run_features
 from spendgrain.schema import STORE_KEYS, STORE_TABLES, conform
 from spendgrain.sources import store
 from spendgrain.sources.files import inventory, read_month_files, read_raw, read_stored
@@ -211,17 +211,41 @@ def test_jdbc_sink_passes_a_flat_table(spark, run, monkeypatch):
     assert types["gender_distribution"] == "string" and partitions <= 2
 
 
-def test_views_by_name(spark, run):
+def test_store_by_name(spark, run):
+    """The queries a user of the store types."""
     _, root, _ = run
-    tables = {n: store.read_features(spark, f"{root}/features", n) for n in STORE_KEYS}
-    views.register_views({n: conform(df, n) for n, df in tables.items()})
-    rows = spark.sql(
-        "SELECT customer_segment, SUM(total_amount_spent) AS revenue FROM customer_features GROUP BY customer_segment"
-    ).collect()
-    assert {r["customer_segment"]: str(r["revenue"]) for r in rows} == {"Basic": "350.75", "Gold": "40.00", "Regular": "0.00"}
-    view = views.ml_training_features(tables["customer_features"], tables["quarterly_features"], tables["state_features"])
-    # One row per group and quarter.
-    assert view.count() == 6 and len(view.columns) == 14
+    open_store(spark, root)
+
+    def rows(query):
+        return [tuple(r) for r in spark.sql(query).collect()]
+
+    by_segment = "SELECT customer_segment, SUM(total_amount_spent) AS revenue FROM customer_features GROUP BY customer_segment"
+    assert {k: str(v) for k, v in rows(by_segment)} == {"Basic": "350.75", "Gold": "40.00", "Regular": "0.00"}
+    assert {k: str(v) for k, v in rows("SELECT state_names, total_revenue FROM state_features")} == {
+        "Ohio": "350.75",
+        "Unknown": "0.00",
+        "Utah": "40.00",
+    }
+    assert rows("SELECT COUNT(*) FROM raw_transactions") == [(7,)]
+    assert len(rows("SELECT * FROM pipeline_execution_log ORDER BY execution_date DESC LIMIT 10")) >= 2
+    # One training row per group and quarter, in 14 columns.
+    training = rows("SELECT * FROM ml_training_features LIMIT 10")
+    assert len(training) == 6 and len(training[0]) == 14
+    counts = rows(
+        "SELECT 'customer_features' AS table_name, COUNT(*) AS record_count FROM customer_features "
+        "UNION ALL SELECT 'quarterly_features', COUNT(*) FROM quarterly_features "
+        "UNION ALL SELECT 'payment_features', COUNT(*) FROM payment_features "
+        "UNION ALL SELECT 'state_features', COUNT(*) FROM state_features ORDER BY table_name"
+    )
+    assert counts == [("customer_features", 3), ("payment_features", 6), ("quarterly_features", 6), ("state_features", 3)]
+
+
+def test_referral_words(spark, run, tmp_path):
+    _, root, _ = run
+    raw = read_raw(spark, f"{root}/raw").withColumn("referral", F.expr("CASE referral WHEN 'Yes' THEN '1.0' ELSE '0.0' END"))
+    rates = {r["state_names"]: r["referral_rate"] for r in fs.customer_features(raw, referral_yes=("Yes", "1.0")).collect()}
+    assert rates == {"Ohio": 0.5, "Utah": 0.0, "Unknown": 0.0}
+    assert max(r["referral_rate"] for r in fs.customer_features(raw).collect()) == 0.0
 
 
 def test_month_files_from_elsewhere(spark, tmp_path):
