@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendgrain.functions.calendar import with_months, with_quarters
-from spendgrain.functions.measures import merge_measures
+from spendgrain.functions.measures import measures, merge_measures
 from spendgrain.operators import cleaning, cohorts, distributions, quality, statistics, views
 from spendgrain.operators import features as fs
 from spendgrain.plans.refresh import batch_log, stage_report, stored_measures
@@ -44,34 +44,22 @@ def _customer(spark: SparkSession, sf: str) -> DataFrame:
     return fs.customer_features(transactions(spark, sf))
 
 
-def _quarterly(spark: SparkSession, sf: str) -> DataFrame:
-    return fs.quarterly_features(transactions(spark, sf))
-
-
-def _payment(spark: SparkSession, sf: str) -> DataFrame:
-    return fs.payment_features(transactions(spark, sf))
-
-
-def _state(spark: SparkSession, sf: str) -> DataFrame:
-    return fs.state_features(transactions(spark, sf))
-
-
 def _shared_measures(spark: SparkSession, tx: DataFrame) -> DataFrame:
     """Measures for queries over several feature sets: the transactions are added up once."""
     return stored_measures(spark, tx, scratch_folder(spark, "measures"))
 
 
-def _feature_sets(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    tx = transactions(spark, sf)
-    parts = _shared_measures(spark, tx)
-    quarterly = merge_measures(parts, *fs.QUARTER_KEYS)
+def _sets_without_distinct_ids(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """All four feature sets for queries that look at no distinct count, so no id is shuffled."""
+    parts = _shared_measures(spark, transactions(spark, sf))
+    counts = ("unique_customers", "total_customers", "avg_customer_value")
     return {
         "customer_features": fs.finish_customer(merge_measures(parts, *fs.CUSTOMER_KEYS)),
-        "quarterly_features": fs.finish_quarterly(quarterly, fs.distinct_ids(with_quarters(tx), *fs.QUARTER_KEYS)),
+        "quarterly_features": fs.finish_quarterly(merge_measures(parts, *fs.QUARTER_KEYS)).drop(*counts),
         "payment_features": fs.finish_payment(
             merge_measures(parts, *fs.PAYMENT_KEYS), parts.agg(F.expr("sum(row_count) AS total"))
         ),
-        "state_features": fs.finish_state(parts, fs.distinct_ids(tx, "state_names")),
+        "state_features": fs.finish_state(parts, None).drop(*counts),
     }
 
 
@@ -187,15 +175,15 @@ def customer_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def quarterly_features(spark: SparkSession, sf: str) -> DataFrame:
-    return _result(_quarterly(spark, sf))
+    return _result(fs.quarterly_features(transactions(spark, sf)))
 
 
 def payment_features(spark: SparkSession, sf: str) -> DataFrame:
-    return _result(_payment(spark, sf))
+    return _result(fs.payment_features(transactions(spark, sf)))
 
 
 def state_features(spark: SparkSession, sf: str) -> DataFrame:
-    return _result(_state(spark, sf))
+    return _result(fs.state_features(transactions(spark, sf)))
 
 
 def top_segment_per_state(spark: SparkSession, sf: str) -> DataFrame:
@@ -217,14 +205,15 @@ def ml_training_latest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ml_training_features_alt(spark: SparkSession, sf: str) -> DataFrame:
-    sets = _feature_sets(spark, sf)
+    sets = _sets_without_distinct_ids(spark, sf)
     return views.ml_training_features_alt(
         sets["customer_features"], sets["quarterly_features"], sets["payment_features"], sets["state_features"]
     )
 
 
 def revenue_by_state(spark: SparkSession, sf: str) -> DataFrame:
-    return views.revenue_by_state(_state(spark, sf))
+    parts = measures(transactions(spark, sf), "state_names", "segment", "payment_method")
+    return views.revenue_by_state(fs.finish_state(parts, None))
 
 
 def revenue_by_segment(spark: SparkSession, sf: str) -> DataFrame:
@@ -236,7 +225,7 @@ def top_customer_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def store_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return views.store_counts(_feature_sets(spark, sf))
+    return views.store_counts(_sets_without_distinct_ids(spark, sf))
 
 
 def feature_snapshot(spark: SparkSession, sf: str) -> DataFrame:
@@ -283,7 +272,7 @@ def recent_executions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def run_report(spark: SparkSession, sf: str) -> DataFrame:
-    return stage_report({"raw_transactions": transactions(spark, sf), **_feature_sets(spark, sf)})
+    return stage_report({"raw_transactions": transactions(spark, sf), **_sets_without_distinct_ids(spark, sf)})
 
 
 # declared columns
@@ -320,7 +309,8 @@ def customer_retention(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def transaction_growth(spark: SparkSession, sf: str) -> DataFrame:
-    return cohorts.transaction_growth(_quarterly(spark, sf)).select(
+    parts = measures(with_quarters(transactions(spark, sf)), *fs.QUARTER_KEYS)
+    return cohorts.transaction_growth(fs.finish_quarterly(parts)).select(
         *fs.QUARTER_KEYS, "quarterly_transactions", "transaction_growth_rate"
     )
 
@@ -349,7 +339,7 @@ def dq_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_feature_invariants(spark: SparkSession, sf: str) -> DataFrame:
-    sets = _feature_sets(spark, sf)
+    sets = _sets_without_distinct_ids(spark, sf)
     return quality.feature_invariants(
         transactions(spark, sf),
         sets["customer_features"],
@@ -361,22 +351,29 @@ def dq_feature_invariants(spark: SparkSession, sf: str) -> DataFrame:
 
 def dq_unique(spark: SparkSession, sf: str) -> DataFrame:
     source = cleaning.standard_names(dirty_transactions(spark, sf))
+    sets = _sets_without_distinct_ids(spark, sf)
     return (
         quality.unique_check(source, "source", ["transaction_id"])
         .unionByName(quality.unique_check(transactions(spark, sf), "raw_transactions", ["transaction_id"]))
-        .unionByName(quality.unique_check(_quarterly(spark, sf), "quarterly_features", fs.QUARTER_KEYS))
-        .unionByName(quality.unique_check(_state(spark, sf), "state_features", ["state_names", "feature_version"]))
+        .unionByName(quality.unique_check(sets["quarterly_features"], "quarterly_features", fs.QUARTER_KEYS))
+        .unionByName(
+            quality.unique_check(sets["state_features"], "state_features", ["state_names", "feature_version"])
+        )
     )
 
 
 def dq_not_null(spark: SparkSession, sf: str) -> DataFrame:
     parsed = cleaning.parse(dirty_transactions(spark, sf))
-    return (
-        quality.not_null_check(parsed, "source", ["transaction_id", "transaction_date"])
-        .unionByName(quality.not_null_check(_quarterly(spark, sf), "quarterly_features", ["year", "quarter"]))
-        .unionByName(quality.not_null_check(_payment(spark, sf), "payment_features", ["payment_method"]))
-        .unionByName(quality.not_null_check(_state(spark, sf), "state_features", ["state_names"]))
-    )
+    checks = quality.not_null_check(parsed, "source", ["transaction_id", "transaction_date"])
+    sets = _sets_without_distinct_ids(spark, sf)
+    required = {
+        "quarterly_features": ["year", "quarter"],
+        "payment_features": ["payment_method"],
+        "state_features": ["state_names"],
+    }
+    for name, columns in required.items():
+        checks = checks.unionByName(quality.not_null_check(sets[name], name, columns))
+    return checks
 
 
 def dq_limits(spark: SparkSession, sf: str) -> DataFrame:
