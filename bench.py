@@ -81,6 +81,8 @@ def main() -> None:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cpus)
+        # Skips recording the Python call site of every column operation.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

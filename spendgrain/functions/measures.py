@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spendgrain.functions.literals import sql_text
 from spendgrain.schema import MONEY_SQUARES, MONEY_SUM
 
 _MONEY_SUM, _SQUARES = MONEY_SUM.simpleString(), MONEY_SQUARES.simpleString()
@@ -41,7 +42,7 @@ def measures(
 ) -> DataFrame:
     """One row of additive measures per key; unused ones are pruned by the optimizer, `extra`
     aggregates ride along."""
-    yes = ", ".join("'" + v.replace("'", "\\'") + "'" for v in referral_yes)
+    yes = ", ".join(sql_text(v) for v in referral_yes)
     return df.groupBy(*keys).agg(
         *[F.expr(f"{take.replace('{yes}', yes)} AS {name}") for name, (take, _) in MEASURES.items()], *extra
     )

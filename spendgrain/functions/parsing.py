@@ -9,13 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from spendgrain.functions.literals import sql_text
 from spendgrain.schema import MONEY, NA_TOKENS
 
 # Plain decimal or exponent notation, or a signed infinity. Spark's own cast also takes 'NaN' and
 # Java suffixes such as '1.5f' and '12D', which the intake rules treat as bad numbers.
 NUMBER_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 
-_TOKENS = ", ".join(f"'{t}'" for t in NA_TOKENS)
+_TOKENS = ", ".join(sql_text(t) for t in NA_TOKENS)
 
 
 def missing_to_null(name: str) -> Column:
@@ -49,4 +50,4 @@ def timestamp_ntz_sql(name: str, pattern: str) -> str:
         day = f"try_cast({name} AS DATE)"
         return f"CASE WHEN CAST({day} AS STRING) = {name} THEN CAST({day} AS TIMESTAMP_NTZ) END"
     reader = "try_to_timestamp" if "h" in pattern.lower() else "try_to_date"
-    return f"CAST({reader}({name}, '{pattern}') AS TIMESTAMP_NTZ)"
+    return f"CAST({reader}({name}, {sql_text(pattern)}) AS TIMESTAMP_NTZ)"

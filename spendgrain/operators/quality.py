@@ -71,7 +71,8 @@ def schema_check(text: DataFrame, date_format: str = "yyyy-MM-dd") -> DataFrame:
     expected = F.create_map(
         *[F.lit(x) for f in CLEAN_SCHEMA.fields for x in (f.name, f.dataType.simpleString())]
     )
-    every = long.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("column_name", "unreadable_rows"))).alias("m"))
+    pairs = F.collect_list(F.struct("column_name", "unreadable_rows"))
+    every = long.groupBy().agg(F.map_from_entries(pairs).alias("m"))
     return every.select(F.explode(expected).alias("column_name", "expected_type"), "m").select(
         "column_name",
         "expected_type",
@@ -217,7 +218,10 @@ def feature_invariants(
         # One, unless some rows have no id: the shares divide by all rows.
         "usage_adds_up": F.expr(f"abs(by_payment.share - {ratio_sql('ids', 'total_rows')}) < 1e-6"),
     }
-    rows = [F.struct(F.lit(k).alias("invariant"), F.coalesce(v, F.lit(False)).alias("passed")) for k, v in checks.items()]
+    rows = [
+        F.struct(F.lit(k).alias("invariant"), F.coalesce(v, F.lit(False)).alias("passed"))
+        for k, v in checks.items()
+    ]
     return facts.select(F.inline(F.array(*rows)))
 
 

@@ -217,6 +217,9 @@ def test_date_texts(spark):
     timed = spark.createDataFrame([("2018-01-05 13:45:00",)], "t string")
     found = timed.selectExpr(f"{timestamp_ntz_sql('t', 'yyyy-MM-dd HH:mm:ss')} d").first()["d"]
     assert found == datetime(2018, 1, 5, 13, 45)
+    quoted = spark.createDataFrame([("2018-01-05T13:45",)], "t string")
+    found = quoted.selectExpr(f"{timestamp_ntz_sql('t', "yyyy-MM-dd'T'HH:mm")} d").first()["d"]
+    assert found == datetime(2018, 1, 5, 13, 45)
 
 
 def raw_rows(spark, rows):
