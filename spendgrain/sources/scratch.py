@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A new folder name under spark.checkpoint.dir. In local mode, where that may be unset, a
-    temporary folder serves."""
+def scratch_base(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; where that is unset, a folder in the warehouse, which all executors share too."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="spendgrain-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return (base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
+
+
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new folder name for one run's tables."""
+    return f"{scratch_base(spark)}/{label}-{uuid.uuid4().hex}"
