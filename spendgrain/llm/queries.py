@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendgrain.llm import chat, mixing, url_filter
+from spendgrain.llm import chat, mixing, quality, url_filter
 from spendgrain.sources.testdata import table
 
 #: Names of hosts that the URL list is made of. Fixed values.
@@ -33,12 +33,17 @@ def op6_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(documents).select("doc_id", "size", "source_size", "target", taken, "shards")
 
 
+def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.judge(table(spark, sf, "documents")).drop("lang", "source")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
         op1_url_filter,
         op4_chat_format,
         op6_mix,
+        op9_quality,
     )
 }
 
