@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendgrain.llm import chat, mixing, quality, url_filter
+from spendgrain.llm import chat, mixing, quality, secret_scan, url_filter
 from spendgrain.sources.testdata import table
 
 #: Names of hosts that the URL list is made of. Fixed values.
@@ -23,6 +23,18 @@ def op1_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return url_filter.filter_urls(pages, listed, RULES)
 
 
+def labelled_findings(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """The tables hold no reviewed findings, so those of the documents in `labels` are labelled by
+    format. Labels share their ids with the documents; repeated ones count once."""
+    known = documents.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
+    return secret_scan.label_by_format(secret_scan.with_features(secret_scan.candidates(known)))
+
+
+def op2_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents").select("doc_id", "text", "source")
+    return secret_scan.scan(documents, labelled_findings(documents, table(spark, sf, "labels")))
+
+
 def op4_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     return chat.format_chats(table(spark, sf, "conversations"))
 
@@ -41,6 +53,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
         op1_url_filter,
+        op2_secret_scan,
         op4_chat_format,
         op6_mix,
         op9_quality,
