@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +47,8 @@ def empty(spark: SparkSession, schema: str) -> DataFrame:
 def any_of(words: tuple[str, ...]) -> str:
     """A pattern that matches any of the words as plain text."""
     return "|".join(re.escape(w) for w in words)
+
+
+def ship(module: str) -> None:
+    """Functions of this module go to Python workers by value, so that executors need no copy of the package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])

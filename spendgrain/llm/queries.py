@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendgrain.llm import chat, mixing, quality, secret_scan, url_filter
+from spendgrain.llm import chat, decontaminate, language, mixing, quality, secret_scan, spans, url_filter
 from spendgrain.sources.testdata import table
 
 #: Names of hosts that the URL list is made of. Fixed values.
@@ -35,10 +35,19 @@ def op2_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secret_scan.scan(documents, labelled_findings(documents, table(spark, sf, "labels")))
 
 
+def op3_span_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return spans.dedup_spans(table(spark, sf, "documents"))
+
+
 def op4_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     return chat.format_chats(table(spark, sf, "conversations"))
 
 
+def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    return decontaminate.find(documents, table(spark, sf, "benchmark")).drop("text")
+
+
 def op6_mix(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents").select("doc_id", "text", "source")
     taken = (F.size("shards") * F.col("size")).cast("long").alias("taken")
@@ -49,14 +58,26 @@ def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(table(spark, sf, "documents")).drop("lang", "source")
 
 
+def op10_language(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents whose id has a checksum of 2 modulo 4 are held out; all others train."""
+    documents = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = language.learn(documents.where(~held_out))
+    found = language.predict(documents.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
         op1_url_filter,
         op2_secret_scan,
+        op3_span_dedup,
         op4_chat_format,
+        op5_decontaminate,
         op6_mix,
         op9_quality,
+        op10_language,
     )
 }
 
