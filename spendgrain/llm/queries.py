@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendgrain.llm import chat, decontaminate, language, mixing, quality, secret_scan, spans, url_filter
+from spendgrain.llm import chat, decontaminate, language, mixing, order_minhash, quality, secret_scan, spans, url_filter
 from spendgrain.sources.testdata import table
 
 #: Names of hosts that the URL list is made of. Fixed values.
@@ -54,6 +54,10 @@ def op6_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(documents).select("doc_id", "size", "source_size", "target", taken, "shards")
 
 
+def op8_order_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return order_minhash.near_duplicates(table(spark, sf, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(table(spark, sf, "documents")).drop("lang", "source")
 
@@ -76,6 +80,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_chat_format,
         op5_decontaminate,
         op6_mix,
+        op8_order_minhash,
         op9_quality,
         op10_language,
     )
