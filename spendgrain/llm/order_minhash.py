@@ -70,7 +70,7 @@ def labelled_kmers(words: np.ndarray, k: int) -> np.ndarray:
     if len(run) < len(h):
         seen = np.empty(len(h), np.uint64)
         seen[order] = np.arange(len(h)) - np.repeat(run, np.diff(np.append(run, len(h))))
-        h = mixed(h + seen * np.uint64(0xA24BAED4963EE407))
+        h = np.where(seen > 0, mixed(h + seen * np.uint64(0xA24BAED4963EE407)), h)
     return h
 
 
