@@ -5,8 +5,9 @@ takes the labelled k-mers with the smallest hashes and keeps them in the order o
 agree in one with a probability that falls with their edit distance. Texts that agree in a sketch, or in two
 neighbouring ones, form a bucket; each links to the bucket's smallest text as a candidate, so candidates grow
 with the number of texts and never with the square of a bucket. A banded alignment of the words verifies each
-candidate: a link needs at most 1 - SIMILARITY edits per word of the longer text. Classes are the
-connected components of the links.
+candidate: a link needs at most 1 - SIMILARITY edits per word of the longer text. An alignment through shared
+k-mers within the band is tried first; where it needs too many edits, all alignments within bands up to that
+width are. Classes are the connected components of the links.
 
 Equal texts are one node, 64 bits of hash, from the start, so a group of copies of any size costs one sketch.
 
@@ -32,6 +33,8 @@ from spendgrain.llm.graph import components
 ship(__name__)
 
 K, SIMILARITY = 5, 0.8
+#: Words of the k-mers that an alignment is first tried through.
+ANCHOR = 3
 #: Sketches of a text, and k-mers in each.
 SKETCHES, KEPT = 24, 2
 #: Cells of a matrix of hashes or alignments that is worked on at a time.
@@ -124,6 +127,29 @@ def aligned(pairs: list[tuple[np.ndarray, np.ndarray]], reach: int) -> np.ndarra
     return edits
 
 
+def anchored(a: np.ndarray, b: np.ndarray, reach: int) -> int:
+    """Edits of the alignment through the k-mers that both have, in order and on diagonals within reach:
+    no fewer than the fewest possible."""
+    if min(len(a), len(b)) < ANCHOR:
+        return max(len(a), len(b))
+    with np.errstate(over="ignore"):
+        _, at_a, at_b = np.intersect1d(labelled_kmers(a, ANCHOR), labelled_kmers(b, ANCHOR), assume_unique=True, return_indices=True)
+    order = np.argsort(at_a)
+    at_a, at_b = at_a[order], at_b[order]
+    near = np.abs(at_b - at_a) <= reach
+    at_a, at_b = at_a[near], at_b[near]
+    highest = np.maximum.accumulate(np.append(-1, at_b))
+    rising = at_b > highest[:-1]
+    at_a, at_b = at_a[rising], at_b[rising]
+    if not len(at_a):
+        return max(len(a), len(b))
+    # Words between two anchors are replaced, and added or left out; anchors may overlap.
+    step_a, step_b = np.diff(at_a), np.diff(at_b)
+    between = np.maximum(step_a, step_b) - np.minimum(ANCHOR, np.minimum(step_a, step_b))
+    ends = max(at_a[0], at_b[0]) + max(len(a) - at_a[-1], len(b) - at_b[-1]) - ANCHOR
+    return int(between.sum() + ends)
+
+
 def linked(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float) -> np.ndarray:
     """Whether the words of each pair align with at most (1 - similarity) edits per word of the longer one."""
     longest = np.array([max(len(a), len(b)) for a, b in pairs])
@@ -133,6 +159,9 @@ def linked(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float) -> np.
     for i, (a, b) in enumerate(pairs):
         if abs(len(a) - len(b)) > budget[i]:
             continue
+        if anchored(a, b, int(budget[i])) <= budget[i]:
+            found[i] = True
+            continue
         if sum((Counter(a.tolist()) & Counter(b.tolist())).values()) < longest[i] - budget[i]:
             continue  # words in common are too few, whatever their order
         same = min(len(a), len(b))
@@ -181,7 +210,7 @@ def sketch_rows(noded: DataFrame, k: int, sketches: int, kept: int) -> DataFrame
             yield pd.DataFrame({"omh_node": np.array(nodes, np.int64), "keys": pd.Series(keys, dtype=object)})
 
     rows = noded.select("omh_node", "text").mapInPandas(sketched, "omh_node long, keys array<long>")
-    return rows.dropDuplicates(["omh_node"]).select("omh_node", F.explode("keys").alias("key"))
+    return cut(rows.dropDuplicates(["omh_node"])).select("omh_node", F.explode("keys").alias("key"))
 
 
 def candidates(rows: DataFrame) -> DataFrame:

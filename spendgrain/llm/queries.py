@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendgrain.llm import chat, decontaminate, language, mixing, order_minhash, quality, secret_scan, spans, url_filter
+from spendgrain.llm import brown, chat, decontaminate, language, mixing, order_minhash, quality, secret_scan, spans, url_filter
 from spendgrain.sources.testdata import table
 
 #: Names of hosts that the URL list is made of. Fixed values.
@@ -54,6 +54,14 @@ def op6_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(documents).select("doc_id", "size", "source_size", "target", taken, "shards")
 
 
+def op7_brown_lm(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents whose id has a checksum of 2 modulo 7 are held out; all others train."""
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    model, counts = brown.learn(documents.where(~held_out))
+    return brown.score(documents, model, counts).withColumn("held_out", held_out)
+
+
 def op8_order_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return order_minhash.near_duplicates(table(spark, sf, "documents"))
 
@@ -80,6 +88,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_chat_format,
         op5_decontaminate,
         op6_mix,
+        op7_brown_lm,
         op8_order_minhash,
         op9_quality,
         op10_language,
