@@ -99,6 +99,7 @@ class Index:
     def __init__(self, items: list[tuple], table: np.ndarray, q: int, share: float) -> None:
         """items: id, text."""
         self.table, self.q = table, q
+        items = items or [(None, "")]
         chars, starts = normalised([text or "" for _, text in items], table)
         spelled = [(i, chars[a : b - 1]) for (i, _), a, b in zip(items, starts[:-1], starts[1:], strict=True)]
         spelled = [(i, c) for i, c in spelled if len(c) >= q]

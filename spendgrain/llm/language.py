@@ -100,7 +100,8 @@ class Model:
         for lang in self.langs:
             spaced = "".join(c if c.isalpha() else " " for c in texts[lang])
             to = automaton([symbols.get(c, SPACE) for c in " ".join(spaced.split())])
-            table = np.full((len(to), self.width), -1, np.int64)
+            # One state more, in which the next phrase has yet to begin: at first, and after an unknown symbol.
+            table = np.full((len(to) + 1, self.width), -1 - len(to) * self.width, np.int64)
             for symbol, state in to[0].items():
                 table[:, symbol] = -1 - state * self.width
             for state, reached in enumerate(to):
@@ -114,7 +115,8 @@ class Model:
         ends = np.cumsum([len(t) + 1 for t in texts])
         keep = codes != SPACE
         letters = np.concatenate(([0], np.cumsum(keep)))[np.concatenate(([0], ends))]
-        keep[:-1] |= codes[1:] != SPACE  # a space stays before a letter
+        keep[:-1] |= codes[1:] != SPACE  # a space stays before a letter of the same text
+        keep[ends - 1] = False
         kept = np.concatenate(([0], np.cumsum(keep)))[np.concatenate(([0], ends))]
         symbols, sizes = codes[keep], np.diff(kept)
         pieces = -(-sizes // PIECE)
@@ -124,8 +126,8 @@ class Model:
         length = np.minimum(sizes[owner] - place * PIECE, PIECE)
         order = np.argsort(-length, kind="stable")
         owner, start, length = owner[order], start[order], length[order]
-        state = np.zeros((len(self.langs), len(owner)), np.int32)
-        count = np.ones((len(self.langs), len(owner)), np.int32)
+        state = np.array([[len(table) - self.width] * len(owner) for table in self.tables], np.int32)
+        count = np.zeros((len(self.langs), len(owner)), np.int32)
         open_at = np.searchsorted(-length, -np.arange(PIECE), side="left")
         for t in range(int(length.max(initial=0))):
             n = open_at[t]

@@ -1,0 +1,386 @@
+"""Each operator on small inputs: brute force, planted cases, and nulls, empty tables, repeats and clashing names."""
+
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from spendgrain.llm import brown, chat, decontaminate, language, mixing, order_minhash, quality, secret_scan, spans, url_filter
+from spendgrain.llm.graph import components
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def documents(spark, texts, extra=""):
+    rows = [(i, t, "en", f"s{i % 2}", len(t or "")) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def prose(seed, n=80):
+    r = random.Random(seed)
+    words = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 8))) for _ in range(n)]
+    return " ".join(w + "." * (i % 9 == 8) for i, w in enumerate(words))
+
+
+ODD = [None, "", "   \n ", "a", prose(1), prose(1), "é " * 3000, "!!! ???", "x" * 5000]
+
+
+# --- 1: URL filter
+
+RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def test_url_rules_and_list(spark):
+    urls = [
+        (1, "HTTP://WWW.Example.NET/en/1", "example.net/en/", "allow"),
+        (2, "http://a.example.net/de", "net/", "block"),
+        (3, "http://notexample.com/de/x", None, "allow"),
+        (4, "http://example.com/de/x?y", "example.com/de/", "block"),
+        (5, "http://x.org/fr", None, "allow"),
+        (6, "http://bad.example.com/p/?utm_source=a&b=1#f", None, "block"),
+        (7, "https://www.bad.example.com:443/p?b=1", None, "block"),
+        (8, "https://bad.example.com/p?b=2", None, "allow"),
+        (9, None, None, "allow"),
+        (10, "no scheme", None, "allow"),
+        (11, "http://foo.net", None, "allow"),
+    ]
+    pages = spark.createDataFrame([u[:2] for u in urls], "page_id long, url string").withColumn("host", F.lit("clash"))
+    listed = spark.createDataFrame([("bad.example.com/p?b=1",), (None,), ("bad.example.com/p?b=1",)], "canonical string")
+    found = {r.page_id: (r.rule, r.verdict) for r in url_filter.filter_urls(pages, listed, RULES).collect()}
+    assert found == {u[0]: u[2:] for u in urls}
+    # A full filter passes everything, and the exact join still decides.
+    found = {r.page_id: (r.rule, r.verdict) for r in url_filter.filter_urls(pages, listed, RULES, blocks=1).collect()}
+    assert found == {u[0]: u[2:] for u in urls}
+    assert url_filter.filter_urls(pages.limit(0), listed, RULES).count() == 0
+    assert url_filter.filter_urls(pages, listed.limit(0), RULES).where("verdict = 'block'").count() == 2
+
+
+def test_bloom_filter_has_no_false_negatives(spark):
+    listed = spark.range(3000).select(F.concat(F.lit("h/"), "id").alias("canonical"))
+    pages = spark.range(6000).select(F.col("id").alias("page_id"), F.concat(F.lit("x://h/"), "id").alias("url"))
+    assert url_filter.filter_urls(pages, listed, [], blocks=64).where("listed").count() == 3000
+
+
+# --- 2: secrets
+
+
+def test_forest_learns_and_masks(spark):
+    r = random.Random(5)
+    hexes = ["".join(r.choice("0123456789abcdef") for _ in range(40)) for _ in range(60)]
+    texts = [f'some words token = "{h}" more' for h in hexes] + [f"card {r.randint(10**15, 10**16 - 1)} and page" for _ in range(60)]
+    docs = documents(spark, texts + ODD)
+    labelled = secret_scan.label_by_format(secret_scan.with_features(secret_scan.candidates(docs)))
+    found = secret_scan.scan(docs, labelled).collect()
+    assert {x.value for x in found if x.is_secret} == set(hexes)
+    assert sum(not x.is_secret for x in found) >= 60
+    masked = {x.doc_id: x for x in secret_scan.redact(docs, labelled).collect()}
+    assert all(h not in masked[i].text and secret_scan.MASK in masked[i].text for i, h in enumerate(hexes))
+    assert [masked[120 + i].text for i in range(len(ODD))] == ODD
+    assert masked[0].n_chars == len(masked[0].text)
+    # Nothing to learn from: every candidate counts.
+    assert all(x.is_secret and x.score == 0.5 for x in secret_scan.scan(docs, labelled.limit(0)).collect())
+    assert secret_scan.redact(docs.limit(0), labelled).count() == 0
+
+
+# --- 3: spans
+
+
+def test_repeated_passages_go_once(spark):
+    passage = prose(7, 60)
+    texts = [prose(10) + ". " + passage + " " + prose(11), prose(12) + ". " + passage + " " + prose(13), prose(14), prose(14), *ODD[:4]]
+    rows = {r.doc_id: r for r in spans.dedup_spans(documents(spark, texts)).collect()}
+    inner = " ".join(passage.split()[10:50])
+    assert inner in rows[0].text and inner not in rows[1].text
+    assert prose(12)[:100] in rows[1].text
+    assert rows[2].text == texts[2] and not rows[3].text.strip()
+    assert [rows[i].text for i in range(4, 8)] == ODD[:4]
+    assert spans.dedup_spans(documents(spark, texts).limit(0)).count() == 0
+
+
+def test_spans_against_brute_force(spark):
+    r = random.Random(3)
+    stock = [prose(100 + i, r.randint(3, 14)) + "." for i in range(25)]
+    texts = [" ".join(r.choice(stock) for _ in range(r.randint(1, 12))) for _ in range(30)]
+    seen, expected = set(), {}
+    for i, text in enumerate(texts):
+        gone = set()
+        for first, n, digest in spans.spans_of(text, 2, 20):
+            if digest in seen:
+                gone |= set(range(first, first + n))
+            seen.add(digest)
+        expected[i] = "".join(p for k, (p, _) in enumerate(spans.sentences_of(text)) if k not in gone)
+    found = {x.doc_id: x.text for x in spans.dedup_spans(documents(spark, texts)).collect()}
+    assert found == expected
+    assert all("".join(p for p, _ in spans.sentences_of(t)) == t for t in texts + ODD[1:])
+
+
+def test_rows_with_null_ids_and_repeats(spark):
+    rows = [(None, prose(20)), (3, prose(20)), (3, prose(20)), (5, prose(20))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit(1)).withColumn("first", F.lit(2))
+    left = sorted((str(x.doc_id), bool(x.text.strip())) for x in spans.dedup_spans(docs).collect())
+    assert left == [("3", True), ("3", True), ("5", False), ("None", False)]
+
+
+# --- 4: chats
+
+
+def test_snapshots_collapse(spark):
+    talks = {1: ["a", "b"], 2: ["a", "b", "c"], 3: ["a", "b", "c"], 4: ["a", "x"], 5: [None], 6: [""], 7: ["a<|im_end|>"]}
+    rows = [(c, i, "user" if i % 2 == 0 else None, t) for c, said in talks.items() for i, t in enumerate(said)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("place", F.lit(9))
+    found = {r.conv_id: r for r in chat.format_chats(turns).collect()}
+    assert set(found) == {2, 4, 5, 6, 7} and found[2].n_equal == 2
+    assert found[4].text == "<|im_start|>user\na<|im_end|>\n<|im_start|>unknown\nx<|im_end|>\n"
+    assert found[7].text == "<|im_start|>user\na<|im_end|>\n"
+    assert chat.format_chats(turns.limit(0)).count() == 0
+
+
+# --- 5: decontamination
+
+
+def edited(text, edits, r):
+    s = list(text)
+    for _ in range(edits if s else 0):
+        i = r.randrange(len(s))
+        s[i : i + 1] = r.choice([[], ["q"], [s[i], "z"]]) if len(s) > 1 else ["q"]
+    return "".join(s)
+
+
+def test_passages_within_the_budget_are_found(spark):
+    r = random.Random(2)
+    items = [(i, prose(200 + i, 20 + i % 30)) for i in range(40)]
+    plain = [" ".join(w.strip(".") for w in t.split()) for _, t in items]
+    texts, holds = [], []
+    for i, t in enumerate(plain):
+        texts.append(prose(300 + i) + " " + edited(t, min(int(len(t) * 0.08), len(t) // 10 - 1), r) + " " + prose(400 + i))
+        holds.append([i])
+    texts += [prose(500 + i, 300) for i in range(20)] + ODD
+    docs = documents(spark, texts).withColumn("edits", F.lit("clash"))
+    bench = spark.createDataFrame([*items, (90, None), (91, ""), (92, "ab")], "item_id long, text string")
+    for chars in (1_000_000, 1000):
+        found = {x.doc_id: x.items for x in decontaminate.find(docs, bench, block_chars=chars).collect()}
+        assert [found[i] for i in range(40)] == holds
+        assert not any(found[i] for i in range(40, len(texts)) if i not in (64, 65))
+    assert decontaminate.find(docs, bench.limit(0)).where("n_items > 0").count() == 0
+    assert decontaminate.find(docs.limit(0), bench).count() == 0
+
+
+def test_alignment_is_the_edit_distance():
+    index = decontaminate.Index([(1, "the quick brown fox jumps over the lazy dog")], decontaminate.lower_table(), 10, 0.08)
+    assert index.search(["x The quick, brown FOX jumps over a lazy dog!"]) == [[(0, 3)]]
+    assert index.search(["the quick brown cat jumps over a lazy dog"]) == [[]]
+
+
+# --- 6: mixing
+
+
+def test_targets_and_copies(spark):
+    r = random.Random(4)
+    rows = [(i, " ".join(["w"] * r.randint(0, 40)), r.choice(["a", "b", "c", "d", None])) for i in range(800)]
+    docs = spark.createDataFrame([*rows, (None, None, "a")], "doc_id long, text string, source string").withColumn("size", F.lit("clash"))
+    size = Counter()
+    for _, text, source in rows:
+        size[source] += len(text.split())
+    order = sorted([s for s in size if s]) + [None]
+    weight = dict(zip(order, [3, 1, 2, 3, 1], strict=True))
+    target, open_sources, rest = {}, set(order), 1.5 * sum(size.values())
+    while True:
+        level = rest / sum(weight[s] for s in open_sources)
+        full = {s for s in open_sources if level * weight[s] > 2 * size[s]}
+        if not full:
+            break
+        rest -= sum(2 * size[s] for s in full)
+        target |= {s: 2 * size[s] for s in full}
+        open_sources -= full
+    target |= {s: level * weight[s] for s in open_sources}
+    mixed = mixing.mix(docs)
+    found = mixed.collect()
+    taken = Counter()
+    for x in found:
+        assert abs(x.target - target[x.source]) < 1e-6 and x.source_size == size[x.source] and len(x.shards) <= 2
+        taken[x.source] += x.size * len(x.shards)
+    assert all(abs(taken[s] - target[s]) <= 0.02 * size[s] for s in order)
+    assert sorted(map(str, found)) == sorted(map(str, mixing.mix(docs.repartition(5)).collect()))
+    drawn = mixing.draw(mixed)
+    assert drawn.count() == sum(len(x.shards) for x in found)
+    per_shard = [x["n"] for x in drawn.groupBy("shard").agg(F.count("*").alias("n")).collect()]
+    assert len(per_shard) == 16 and max(per_shard) < 2 * min(per_shard)
+    assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_hypergeometric_draws(spark):
+    sql = mixing.hypergeometric("50L", "20L", "25L", "(pmod(xxhash64(id), 1000003L) / 1000003D)")
+    drawn = [r[0] for r in spark.range(20000).selectExpr(sql).collect()]
+    exact = np.random.default_rng(1).hypergeometric(20, 30, 25, 20000)
+    assert abs(np.mean(drawn) - 10) < 0.05 and abs(np.var(drawn) - np.var(exact)) < 0.2
+    quota = spark.createDataFrame([(0, 700), (1, 0), (2, 299)], "source_index int, quota long")
+    leaves = mixing.split_tree(quota, 4, 3).collect()
+    total = Counter()
+    for x in leaves:
+        total[x.source_index] += x.n
+    assert total == {0: 700, 1: 0, 2: 299}
+    sizes = Counter()
+    for x in leaves:
+        sizes[x.shard] += x.n
+    assert len(sizes) == 16 and max(sizes.values()) - min(sizes.values()) <= 1
+
+
+# --- 7: Brown model
+
+
+def test_counts_and_base_score(spark):
+    texts = [prose(i, 60) for i in range(30)] + ODD
+    docs = documents(spark, texts).withColumn("n", F.lit("clash"))
+    train = docs.where("doc_id % 3 <> 0")
+    model, counts = brown.learn(train, known=50, head=20, rare=16, classes=6)
+    seen = Counter(w for i, t in enumerate(texts) if i % 3 for w in brown.tokens(t))
+    total, words = sum(seen.values()), len(seen)
+    for x in brown.score(docs, model, counts).collect():
+        said = brown.tokens(texts[x.doc_id])
+        assert (x.n_tokens, x.n_known, x.train_tokens) == (len(said), sum(seen[w] > 0 for w in said), total)
+        assert x.base_score == pytest.approx(sum(np.log10((seen[w] + 1) / (total + words + 1)) for w in said))
+        assert np.isfinite(x.score) and x.score < 0
+    model, counts = brown.learn(train.limit(0))
+    assert all(x.n_known == 0 for x in brown.score(docs, model, counts).collect())
+    assert brown.score(docs.limit(0), model, counts).count() == 0
+
+
+def likelihood(counts, of, classes):
+    member = np.eye(classes)[of]
+    pairs = member.T @ counts @ member
+    return sum(float((x * np.log(np.maximum(x, 1))).sum()) * sign for x, sign in ((pairs, 1), (pairs.sum(0), -1), (pairs.sum(1), -1)))
+
+
+def test_no_single_exchange_makes_pairs_likelier():
+    r = np.random.default_rng(2)
+    counts = r.integers(0, 6, (24, 24)) * (r.random((24, 24)) < 0.4) + 20.0 * (np.arange(24)[:, None] // 8 == np.arange(24) // 8)
+    of = brown.exchange(counts, 3, 50)
+    best = likelihood(counts, of, 3)
+    assert best > likelihood(counts, np.arange(24) % 3, 3)
+    for s in range(24):
+        for c in range(3):
+            other = of.copy()
+            other[s] = c
+            assert likelihood(counts, other, 3) <= best + 1e-6
+
+
+# --- 8: Order MinHash
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        new = [i + 1]
+        for j, y in enumerate(b):
+            new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return row[-1]
+
+
+def test_links_against_edit_distance():
+    r = random.Random(1)
+    for _ in range(200):
+        a = [r.randrange(9) for _ in range(r.randrange(0, 50))]
+        b = edited("".join(map(chr, a)), r.randrange(0, 12), r) if a else ""
+        b = [ord(c) for c in b]
+        x, y = np.array(a, np.uint64), np.array(b, np.uint64)
+        assert order_minhash.linked([(x, y)], 0.8)[0] == (distance(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9))
+
+
+def test_near_copies_form_classes(spark):
+    r = random.Random(6)
+    texts, group = [], []
+    for g in range(12):
+        words = prose(600 + g, 200).split()
+        for _ in range(g + 1):
+            copy = [w if r.random() > 0.02 else "changed" for w in words]
+            texts.append(" ".join(copy))
+            group.append(g)
+    docs = documents(spark, texts + ODD).withColumn("key", F.lit(1)).withColumn("class_id", F.lit(2))
+    found = {x.doc_id: x for x in order_minhash.near_duplicates(docs).collect()}
+    n = len(texts)
+    assert [found[i].class_id for i in range(n)] == [group.index(g) for g in group]
+    assert found[n].class_id == found[n + 1].class_id == n and found[n + 4].class_id == found[n + 5].class_id
+    kept = order_minhash.keep_first(docs.unionByName(docs))
+    assert sorted(x.doc_id for x in kept.collect()) == sorted({x.class_id for x in found.values()})
+    assert kept.columns == docs.columns
+    assert order_minhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_components_of_a_chain(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(40) if i != 20], "a long, b long")
+    found = {r.node: r.component for r in components(links).collect()}
+    assert found == {i: 0 if i <= 20 else 21 for i in range(1, 41) if i != 21}
+
+
+# --- 9: quality
+
+
+def test_counts_by_brute_force_and_outliers(spark):
+    r = random.Random(8)
+    texts = [prose(i, r.randint(80, 120)) for i in range(200)] + [" ".join(w + "#%&*" for w in prose(i).split()) for i in range(5)] + ODD
+    texts += ["\n".join(["same line of words here"] * 5 + [prose(900 + i, 40)]) for i in range(3)]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([*rows, (None, None, None, None, None)], DOCS).withColumn("x0", F.lit("clash"))
+    found = {x.doc_id: x for x in quality.judge(docs).collect()}
+    for i, text in enumerate(texts):
+        words = [w for w in __import__("re").findall(r"[^\x20\x09-\x0D]+", text or "")]
+        windows = Counter(tuple(words[k : k + 5]) for k in range(len(words) - 4))
+        covered = {k + j for k in range(len(words) - 4) if windows[tuple(words[k : k + 5])] > 1 for j in range(5)}
+        lines = [x for x in (text or "").split("\n") if x.strip(" \t\n\v\f\r")]
+        x = found[i]
+        assert (x.n_words, x.word_chars, x.n_dup_lines, x.n_repeat_words) == (len(words), sum(map(len, words)), len(lines) - len(set(lines)), len(covered))
+        assert x.n_symbols == sum(c in "#*$%&|<>" for c in text or "")
+        assert x.base_failed == (len(words) < 10 or 100 * len(covered) > 20 * len(words))
+    assert all(found[i].kept for i in range(200)) and not any(found[i].kept for i in range(200, 205))
+    assert not found[None].kept
+    assert quality.judge(docs.limit(0)).count() == 0
+
+
+# --- 10: language
+
+
+def test_cross_parsing(spark):
+    def text(letters, seed, n=400):
+        r = random.Random(seed)
+        return " ".join("".join(r.choice(letters) for _ in range(r.randint(1, 3))) for _ in range(n))
+
+    rows = [(i, text(s, i), lang) for i in range(60) for lang, s in (("aa", ["ba", "de", "ki"]), ("bb", ["mo", "ru", "zé"]))]
+    docs = spark.createDataFrame([*rows, (900, None, "aa"), (901, "12 !!", "bb"), (902, "ZÉ RU mo", None)], "doc_id long, text string, lang string")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = language.learn(docs.where(~held_out))
+    found = language.predict(docs.withColumn("score", F.lit("clash")), model).collect()
+    assert all(x.lang_pred == x.lang and 0 < x.score <= 1 for x in found if x.doc_id < 900)
+    odd = {x.doc_id: (x.lang_pred, x.score) for x in found if x.doc_id >= 900}
+    assert odd[900] == odd[901] == ("und", 0.0) and odd[902][0] == "bb"
+    nothing = language.learn(docs.limit(0))
+    assert {x.lang_pred for x in language.predict(docs, nothing).collect()} == {"und"}
+    assert language.predict(docs.limit(0), model).count() == 0
+
+
+def test_phrases_against_plain_parsing():
+    model = language.Model([("aa", "abcabd dab cab", 1), ("bb", "xyz zyx abx", 1)], 1000)
+
+    def parse(text, sample):
+        n, at = 0, 0
+        while at < len(text):
+            end = at + 1
+            while end < len(text) and text[at : end + 1] in sample:
+                end += 1
+            n, at = n + 1, end
+        return n
+
+    r = random.Random(3)
+    texts = [" ".join("".join(r.choice("abcdxyz") for _ in range(r.randint(1, 5))) for _ in range(30)) for _ in range(20)]
+    totals, _, _ = model.phrases(texts)
+    for i, text in enumerate(texts):
+        for k, lang in enumerate(model.langs):
+            assert totals[i, k] == parse(text, {"aa": "abcabd dab cab", "bb": "xyz zyx abx"}[lang])
+
+
+def test_checksum_of_ids(spark):
+    found = [r[0] for r in spark.range(50).select(F.crc32(F.col("id").cast("string")) % 4).collect()]
+    assert found == [zlib.crc32(str(i).encode()) % 4 for i in range(50)]
