@@ -379,7 +379,7 @@ ORACLE: dict[str, str] = {
     ),
     "ml_training_features_alt": _with(
         _SETS,
-        "select sha256(concat_ws('|', f1.segment, f1.state_names)) as feature_id, f1.segment as customer_segment, "
+        "select sha256(coalesce(length(f1.segment) || ':' || f1.segment, 'N') || coalesce(length(f1.state_names) || ':' || f1.state_names, 'N')) as feature_id, f1.segment as customer_segment, "
         "f1.state_names, f1.total_transactions, f1.total_amount_spent, f1.avg_transaction_amount, f1.days_active, "
         "f1.avg_age, f1.referral_rate, f2.revenue_growth_rate as qoq_revenue_growth, "
         "f3.usage_percentage as payment_method_diversity, f4.total_revenue as state_revenue "

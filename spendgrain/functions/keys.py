@@ -7,4 +7,8 @@ from pyspark.sql import functions as F
 
 
 def stable_key(*columns: str) -> Column:
-    return F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in columns]), 256)
+    """SHA-256 of the values, each behind its length, so that no two different rows make the same text.
+    N stands for NULL."""
+    parts = [F.col(c).cast("string") for c in columns]
+    spelled = [F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("N")) for p in parts]
+    return F.sha2(F.concat(*spelled), 256)

@@ -24,8 +24,12 @@ MEASURES = {
     "amount_count": ("count(amount_spent)", "sum(amount_count)"),
     "amount_sum": (f"CAST(sum(amount_spent) AS {_MONEY_SUM})", f"CAST(sum(amount_sum) AS {_MONEY_SUM})"),
     "amount_squares": (
-        f"sum(CAST(amount_spent * amount_spent AS {_SQUARES}))",
-        "sum(amount_squares)",
+        f"try_sum(CAST(amount_spent * amount_spent AS {_SQUARES}))",
+        "CASE WHEN count_if(amount_squares IS NULL AND amount_count > 0) = 0 THEN try_sum(amount_squares) END",
+    ),
+    "amount_squares_wide": (
+        "sum(CAST(amount_spent AS DOUBLE) * CAST(amount_spent AS DOUBLE))",
+        "sum(amount_squares_wide)",
     ),
     "amount_min": ("min(amount_spent)", "min(amount_min)"),
     "amount_max": ("max(amount_spent)", "max(amount_max)"),
@@ -74,7 +78,7 @@ _EXACT_SPREAD = (
     "try_multiply(amount_sum, amount_sum)) AS DOUBLE)"
 )
 _DOUBLE_SPREAD = (
-    "CAST(amount_count AS DOUBLE) * CAST(amount_squares AS DOUBLE) "
+    "CAST(amount_count AS DOUBLE) * amount_squares_wide "
     "- CAST(amount_sum AS DOUBLE) * CAST(amount_sum AS DOUBLE)"
 )
 SAMPLE_STDDEV = (

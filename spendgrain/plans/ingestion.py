@@ -54,7 +54,7 @@ def run_ingestion(
         }
         write_metadata(one_row(spark, document, document_schema(summary)), f"{root}/processed")
     except Exception as error:
-        append_log(spark, root, log_entry(INGESTION, "failed", 0, started, datetime.now(), error=str(error)[:2000]))
+        append_log(spark, root, log_entry(INGESTION, "failed", 0, started, datetime.now(), error=str(error)))
         raise
     rejected = {reason: row["rejected"].get(reason, 0) for reason in REJECT_REASONS}
     kept = document["statistics"]["total_records"]

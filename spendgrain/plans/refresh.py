@@ -79,7 +79,7 @@ def run_features(
                 if snapshot_date:
                     write_snapshot(table, f"{root}/snapshots", name, snapshot_date)
     except Exception as error:
-        append_log(spark, root, log_entry(FEATURES, "failed", 0, started, datetime.now(), error=str(error)[:2000]))
+        append_log(spark, root, log_entry(FEATURES, "failed", 0, started, datetime.now(), error=str(error)))
         raise
     ended = datetime.now()
     append_log(spark, root, log_entry(FEATURES, "completed", facts["records"], started, ended))

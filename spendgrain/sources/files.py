@@ -63,8 +63,8 @@ def with_file_order(scan: DataFrame) -> DataFrame:
 
 
 def file_order(df: DataFrame) -> list[str]:
-    """Order columns of a CSV scan. A single file needs no path, which keeps it out of the shuffle."""
-    return list(FILE_ORDER[1:] if len(df.inputFiles()) == 1 else FILE_ORDER)
+    """Order columns of a CSV scan."""
+    return list(FILE_ORDER)
 
 
 def write_monthly(df: DataFrame, root: str) -> None:

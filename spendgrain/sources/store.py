@@ -67,7 +67,8 @@ def write_jdbc(
     properties: Mapping[str, str] | None = None,
     connections: int = 8,
 ) -> None:
-    """Write a conformed table over at most `connections` parallel connections.
+    """Write a conformed table over at most `connections` parallel connections. Overwriting empties the
+    target and keeps its definition, primary key included.
 
     A task that is run again sends its rows again; the stable key column lets a primary key on
     the target refuse them.
@@ -75,7 +76,9 @@ def write_jdbc(
     if url is None:
         url, defaults = jdbc_settings()
         properties = {**defaults, **(properties or {})}
-    jdbc_ready(df).coalesce(connections).write.jdbc(url, table, mode=mode, properties=dict(properties or {}))
+    properties = {**({"truncate": "true"} if mode == "overwrite" else {}), **(properties or {})}
+    # A shuffle, so that what comes before the write keeps its own parallelism.
+    jdbc_ready(df).repartition(connections).write.jdbc(url, table, mode=mode, properties=properties)
 
 
 def write_metadata(document: DataFrame, root: str) -> None:

@@ -291,3 +291,24 @@ def test_missing_tokens(spark):
     found = {values[int(r["transaction_id"])]: r["segment"] for r in filled.collect()}
     assert all(found[t] == "Regular" for t in NA_TOKENS)
     assert (found[" n/a"], found["Missing"], found["none"]) == (" n/a", "Missing", "none")
+
+
+def test_keys_tell_nulls_and_separators_apart(spark):
+    from spendgrain.functions.keys import stable_key
+
+    rows = [(None, "X"), ("X", None), ("a|b", "c"), ("a", "b|c"), ("1:a", ""), ("", "1:a"), (None, None), ("N", None)]
+    keyed = spark.createDataFrame(rows, "a string, b string").select(stable_key("a", "b").alias("key"))
+    assert keyed.distinct().count() == len(rows)
+
+
+def test_deviation_of_amounts_at_the_limit(spark):
+    from spendgrain.functions.measures import MEASURES, SAMPLE_STDDEV
+
+    amounts = [("t", "9999999999999999.99" if i % 2 else "-9999999999999999.99") for i in range(400)]
+    rows = spark.createDataFrame(amounts, "transaction_id string, amount string").selectExpr(
+        "transaction_id", "CAST(amount AS DECIMAL(18,2)) AS amount_spent", "monotonically_increasing_id() % 2 AS part"
+    )
+    names = [n for n in MEASURES if n.startswith("amount_")]
+    parts = rows.groupBy("part").agg(*[F.expr(MEASURES[n][0]).alias(n) for n in names])
+    merged = parts.agg(*[F.expr(MEASURES[n][1]).alias(n) for n in names])
+    assert merged.selectExpr(f"{SAMPLE_STDDEV} AS s").first()["s"] == pytest.approx(1e16, rel=0.01)
