@@ -143,15 +143,15 @@ left join retention r on r.year = f2.year and r.quarter = f2.quarter
   and r.segment = f2.segment and r.state_names = f2.state_names
 where f1.feature_version = 'v1'""",
     "log": """
-select 'monthly_data_ingestion' as pipeline_name,
-  cast(date_trunc('month', transaction_date) + interval 1 month as date) as execution_date,
-  case when count(*) filter (where age between 18 and 120 and amount_spent >= 0) > 0
-    then 'completed' else 'failed' end as status,
-  count(*) as records_processed,
-  count(*) filter (where age between 18 and 120 and amount_spent >= 0) as records_inserted,
-  cast(0 as bigint) as records_updated,
-  count(*) filter (where not (age between 18 and 120 and amount_spent >= 0)) as records_failed
-from first_copies where transaction_date is not null group by date_trunc('month', transaction_date)""",
+select 'monthly_data_ingestion' as pipeline_name, 'completed' as status, (select count(*) from dirty) as records_processed,
+  count(*) filter (where good) as records_inserted, cast(0 as bigint) as records_updated,
+  count(*) filter (where not good) as records_failed from judged
+union all
+select 'quarterly_feature_refresh', 'completed', count(*) filter (where good), null, 0, null from judged""",
+    "judged": """
+select *, reject_reason is null as good from (
+  select *, case when not age between 18 and 120 then 'age_out_of_range' when amount_spent < 0 then 'negative_amount'
+    when transaction_date is null then 'bad_date' end as reject_reason from first_copies)""",
 }
 
 
@@ -419,10 +419,35 @@ ORACLE: dict[str, str] = {
         "select payment_method, count(*) as row_count from tx group by payment_method "
         "order by row_count desc, payment_method",
     ),
-    "execution_log": _with(f"{_CLEAN} log", "select * from log"),
-    "recent_executions": _with(
-        f"{_CLEAN} log", "select * from log order by execution_date desc, pipeline_name limit 10"
+    "approx_customers": _with(
+        "tx",
+        "select segment, state_names, count(distinct customer_key) as customers, true as within_bounds "
+        "from tx group by segment, state_names",
+    ),
+    "month_intake": _with(
+        f"{_CLEAN} judged",
+        "select cast(date_trunc('month', transaction_date) as date) as month_start, count(*) as records, "
+        "count(*) filter (where good) as records_kept, count(*) filter (where not good) as records_rejected "
+        "from judged where transaction_date is not null group by date_trunc('month', transaction_date)",
+    ),
+    "run_all_features": _with(
+        f"{_CLEAN} judged",
+        "select segment, state_names, count(transaction_id) as total_transactions, "
+        "cast(sum(amount_spent) as decimal(28,2)) as total_amount_spent "
+        "from judged where good group by segment, state_names",
+    ),
+    "csv_quoted_breaks": _with(
+        _DIRTY,
+        "select 'lines' as read_by, count(*) + count(*) filter (where seq % 7 = 0) as rows_in, "
+        "2 * count(*) filter (where seq % 7 = 0) as bad_records, cast(0 as bigint) as broken_states from dirty "
+        "union all select 'records', count(*), 0, count(*) filter (where seq % 7 = 0) from dirty",
+    ),
+    "rejected_after_two_runs": _with(
+        f"{_CLEAN} judged",
+        "select reject_reason, count(*) as row_count from judged where not good group by reject_reason",
     ),
+    "execution_log": _with(f"{_CLEAN} judged log", "select * from log"),
+    "recent_executions": _with(f"{_CLEAN} judged log", "select * from log"),
     "run_report": _with(
         _SETS,
         _union(

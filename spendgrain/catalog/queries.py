@@ -12,11 +12,12 @@ from spendgrain.functions.calendar import with_months, with_quarters
 from spendgrain.functions.measures import measures, merge_measures
 from spendgrain.operators import cleaning, cohorts, distributions, quality, statistics, views
 from spendgrain.operators import features as fs
-from spendgrain.plans.refresh import batch_log, stage_report, stored_measures
+from spendgrain.plans.ingestion import run_ingestion
+from spendgrain.plans.refresh import run_all, stage_report, stored_measures
 from spendgrain.schema import conform
-from spendgrain.sources.files import FILE_ORDER, inventory, read_csv, read_raw, write_monthly
+from spendgrain.sources.files import BAD_RECORD, FILE_ORDER, inventory, read_csv, read_raw, read_stored, rejected_rows, write_monthly
 from spendgrain.sources.scratch import scratch_folder
-from spendgrain.sources.store import with_snapshot_date
+from spendgrain.sources.store import read_features, read_log, with_snapshot_date
 from spendgrain.sources.testdata import dirty_transactions, table, transactions
 from spendgrain.streaming.intake import read_csv_stream, start_intake, stored_quarterly
 
@@ -88,14 +89,40 @@ def _dated(df: DataFrame) -> DataFrame:
 
 def _dirty_csv(spark: SparkSession, sf: str) -> str:
     """The dirty rows as CSV files whose name order is the row order."""
+    return _as_csv(spark, dirty_transactions(spark, sf))
+
+
+def _as_csv(spark: SparkSession, rows: DataFrame) -> str:
     folder = scratch_folder(spark, "csv")
-    rows = dirty_transactions(spark, sf).orderBy("seq").drop("seq")
-    rows.write.option("header", True).option("escape", '"').csv(folder)
+    rows.orderBy("seq").drop("seq").write.option("header", True).option("escape", '"').csv(folder)
     return folder
 
 
 def src_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    return cleaning.standard_names(read_csv(spark, _dirty_csv(spark, sf)).drop(*FILE_ORDER))
+    return cleaning.standard_names(read_csv(spark, _dirty_csv(spark, sf)).drop(*FILE_ORDER, BAD_RECORD))
+
+
+def csv_quoted_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Every seventh row with a line break in its state: read by lines, its two halves are bad records;
+    read by records, nothing is lost."""
+    state = F.expr("CASE WHEN seq % 7 = 0 THEN 'New\nYork' ELSE State_names END")
+    folder = _as_csv(spark, dirty_transactions(spark, sf).withColumn("State_names", state))
+    counts = [
+        F.count(F.lit(1)).alias("rows_in"),
+        F.count(BAD_RECORD).alias("bad_records"),
+        F.count_if(F.col(BAD_RECORD).isNull() & (F.col("State_names") == "New\nYork")).alias("broken_states"),
+    ]
+    by_line = read_csv(spark, folder).agg(F.lit("lines").alias("read_by"), *counts)
+    return by_line.unionByName(read_csv(spark, folder, multiLine="true").agg(F.lit("records").alias("read_by"), *counts))
+
+
+def rejected_after_two_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Two ingestion runs into one store; what each one rejected is still there."""
+    root, rows = scratch_folder(spark, "store"), dirty_transactions(spark, sf)
+    for part in (0, 1):
+        run_ingestion(spark, _as_csv(spark, rows.filter(F.col("seq") % 2 == part)), root)
+    rejected = rejected_rows(read_stored(spark, f"{root}/raw"))
+    return rejected.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def scan_parquet(spark: SparkSession, sf: str) -> DataFrame:
@@ -260,15 +287,39 @@ def payment_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def approx_customers(spark: SparkSession, sf: str) -> DataFrame:
-    return fs.approx_customers(transactions(spark, sf), *fs.CUSTOMER_KEYS, column=CUSTOMER)
+    """The sketch against the exact count; the estimate itself is Spark's own and not compared."""
+    return fs.checked_customers(transactions(spark, sf), *fs.CUSTOMER_KEYS, column=CUSTOMER).drop("approx_customers")
+
+
+def month_intake(spark: SparkSession, sf: str) -> DataFrame:
+    return statistics.month_intake(_judged(spark, sf))
+
+
+def _whole_run(spark: SparkSession, sf: str) -> str:
+    """Ingestion and features from the dirty CSV files; the root of the store."""
+    root = scratch_folder(spark, "run")
+    run_all(spark, _dirty_csv(spark, sf), root)
+    return root
+
+
+def _log_columns(log: DataFrame) -> DataFrame:
+    """A log without the times and ids of its runs."""
+    counts = ("records_processed", "records_inserted", "records_updated", "records_failed")
+    return log.select("pipeline_name", "status", *[F.col(c).cast("long").alias(c) for c in counts])
 
 
 def execution_log(spark: SparkSession, sf: str) -> DataFrame:
-    return batch_log(_judged(spark, sf))
+    return _log_columns(read_log(spark, _whole_run(spark, sf)))
 
 
 def recent_executions(spark: SparkSession, sf: str) -> DataFrame:
-    return views.recent_executions(batch_log(_judged(spark, sf)))
+    return _log_columns(views.recent_executions(read_log(spark, _whole_run(spark, sf))))
+
+
+def run_all_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Customer features as a whole run stored them."""
+    stored = read_features(spark, f"{_whole_run(spark, sf)}/features", "customer_features")
+    return stored.select("segment", "state_names", "total_transactions", "total_amount_spent")
 
 
 def run_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -439,6 +490,10 @@ QUERIES: dict[str, Query] = {
         segment_histogram,
         payment_histogram,
         approx_customers,
+        month_intake,
+        run_all_features,
+        csv_quoted_breaks,
+        rejected_after_two_runs,
         execution_log,
         recent_executions,
         run_report,

@@ -17,11 +17,10 @@ from pyspark.sql import functions as F
 from spendgrain.functions.parsing import amount_sql, missing_to_null, money_sql, number_sql, timestamp_ntz_sql
 from spendgrain.schema import MAX_AGE, MIN_AGE, MONEY, TEXT_DEFAULTS
 
-# Ages are counted by whole year; anything beyond this is far outside the accepted range, so one
-# bucket on either side is enough and the age profile never has more than 2 * 1000 + 2 rows.
-_AGE_BUCKET_LIMIT = 1000
+# Ages are counted by whole year; those beyond INT, the type of the median, share one bucket on either side.
+_AGE_LIMIT = 2**31 - 1
 
-REJECT_REASONS = ("age_out_of_range", "negative_amount", "bad_date", "amount_out_of_range")
+REJECT_REASONS = ("bad_record", "age_out_of_range", "negative_amount", "bad_date", "amount_out_of_range")
 
 
 def standard_names(df: DataFrame) -> DataFrame:
@@ -52,18 +51,19 @@ def age_profile(parsed: DataFrame) -> DataFrame:
     per column, bad dates and amounts, and the median age cut to a whole year.
 
     The median is exact but needs no sort or collection of all ages. Rows are counted by whole
-    year (at most about 2,000 groups); two middle values in the same year bucket give that year
+    year, which leaves one small row per distinct year; two middle values in the same year bucket give that year
     whatever their fractions, and middle values in different buckets are the largest age of one
-    and the smallest of the other.
+    and the smallest of the other. Bad records count as rows in, and for nothing else.
     """
+    whole = _whole(parsed)
     filled = [*TEXT_DEFAULTS, "transaction_id", "transaction_date", "age", "amount_value"]
-    by_year = parsed.groupBy(F.expr(f"CAST({_clamp('age')} AS INT) AS bucket")).agg(
+    by_year = parsed.groupBy(F.expr(f"CASE WHEN {whole} THEN CAST({_clamp('age')} AS INT) END AS bucket")).agg(
         F.expr("count(1) AS rows_in"),
         F.expr("min(age) AS lowest"),
         F.expr("max(age) AS highest"),
-        *[F.expr(f"count_if({c} IS NULL) AS missing_{c}") for c in filled],
+        *[F.expr(f"count_if({whole} AND {c} IS NULL) AS missing_{c}") for c in filled],
     )
-    # One task, but over the bounded year buckets only.
+    # One task, but over the distinct whole years only.
     known = "sum(CASE WHEN bucket IS NOT NULL THEN rows_in END)"
     ranked = by_year.selectExpr(
         "*",
@@ -85,10 +85,15 @@ def age_profile(parsed: DataFrame) -> DataFrame:
 
 def _clamp(age: str) -> str:
     """SQL: the age, or the limit it lies beyond; NULL stays NULL."""
-    limit = f"CAST({_AGE_BUCKET_LIMIT} AS DOUBLE)"
+    limit = f"CAST({_AGE_LIMIT} AS DOUBLE)"
     return f"CASE WHEN {age} > {limit} THEN {limit} WHEN {age} < -{limit} THEN -{limit} ELSE {age} END"
 
 
+def _whole(df: DataFrame) -> str:
+    """SQL: whether a row is a whole record. Rows that come from no CSV are."""
+    return "bad_record IS NULL" if "bad_record" in df.columns else "true"
+
+
 def fill_missing(parsed: DataFrame, median_age: int | Column | None = None) -> DataFrame:
     """Put the defaults in. Without a given median age it is read from the same rows by a scalar
     subquery; ages then lose their fraction.
@@ -104,7 +109,8 @@ def fill_missing(parsed: DataFrame, median_age: int | Column | None = None) -> D
     return parsed.fillna(TEXT_DEFAULTS).withColumn("median_age", median_age.cast("double")).withColumns(
         {
             "age": F.expr(
-                "try_cast(CASE WHEN age IS NOT NULL THEN age WHEN median_age IS NOT NULL THEN median_age "
+                f"try_cast(CASE WHEN NOT ({_whole(parsed)}) OR age IS NOT NULL THEN age "
+                "WHEN median_age IS NOT NULL THEN median_age "
                 "ELSE raise_error('age is missing in every row: no median to fill it with') END AS INT)"
             ),
             "amount_spent": F.expr(
@@ -119,9 +125,12 @@ def keep_first(df: DataFrame, order: Sequence[str | Column], key: str = "transac
     """The first row per id in the given order; rows without an id count as one id.
 
     Spark plans the rank filter as a group limit on both sides of the shuffle, so of a hot id each
-    task sends a single row.
+    task sends a single row. A bad record is no copy of anything, whatever stands where its id should be.
     """
-    first = Window.partitionBy(key).orderBy(*order)
+    keys = [F.col(key)]
+    if "bad_record" in df.columns:
+        keys.append(F.when(F.col("bad_record").isNotNull(), F.struct(*order)))
+    first = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_copy", F.row_number().over(first)).filter("_copy = 1").drop("_copy")
 
 
@@ -130,7 +139,8 @@ def judge(df: DataFrame) -> DataFrame:
     return df.withColumn(
         "reject_reason",
         F.expr(
-            f"CASE WHEN NOT coalesce(age BETWEEN {MIN_AGE} AND {MAX_AGE}, false) THEN 'age_out_of_range' "
+            f"CASE WHEN NOT ({_whole(df)}) THEN 'bad_record' "
+            f"WHEN NOT coalesce(age BETWEEN {MIN_AGE} AND {MAX_AGE}, false) THEN 'age_out_of_range' "
             "WHEN amount_value < 0 THEN 'negative_amount' "
             "WHEN transaction_date IS NULL THEN 'bad_date' "
             "WHEN amount_spent IS NULL THEN 'amount_out_of_range' END"
@@ -150,12 +160,12 @@ def clean(
 
 def accepted(judged: DataFrame) -> DataFrame:
     """Rows the age and amount rules keep, those with an unreadable date included."""
-    rejected = F.col("reject_reason").isin("age_out_of_range", "negative_amount")
-    return judged.filter(F.coalesce(~rejected, F.lit(True))).drop("reject_reason")
+    rejected = F.col("reject_reason").isin("bad_record", "age_out_of_range", "negative_amount")
+    return judged.filter(F.coalesce(~rejected, F.lit(True))).drop("reject_reason", "bad_record")
 
 
 def good(judged: DataFrame) -> DataFrame:
-    return judged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    return judged.filter(F.col("reject_reason").isNull()).drop("reject_reason", "bad_record")
 
 
 def quarantined(judged: DataFrame) -> DataFrame:
@@ -180,9 +190,10 @@ def cleaning_report(df: DataFrame, order: Sequence[str | Column], date_format: s
     """Long form (check, rows): what each intake step filled, dropped or set aside."""
     parsed = parse(df, date_format)
     before = age_profile(parsed)
+    reasons = [r for r in REJECT_REASONS if r != "bad_record" or r in parsed.columns]
     after = clean(df, order, date_format).groupBy().agg(
         F.count(F.lit(1)).alias("distinct_rows"),
-        *[F.count_if(F.col("reject_reason") == r).alias(f"rejected_{r}") for r in REJECT_REASONS],
+        *[F.count_if(F.col("reject_reason") == r).alias(f"rejected_{r}") for r in reasons],
         F.count_if(F.col("reject_reason").isNull()).alias("rows_kept"),
     )
     return unpivot_counts(before.drop("median_age")).unionByName(unpivot_counts(after))
@@ -191,5 +202,3 @@ def cleaning_report(df: DataFrame, order: Sequence[str | Column], date_format: s
 def unpivot_counts(one_row: DataFrame) -> DataFrame:
     """A one-row table of counts as (check, rows)."""
     return one_row.unpivot([], one_row.columns, "check", "rows")
-
-

@@ -159,6 +159,16 @@ def approx_customers(df: DataFrame, *keys: str, column: str = "transaction_id",
     return df.groupBy(*keys).agg(F.approx_count_distinct(column, rsd).alias("approx_customers"))
 
 
+def checked_customers(df: DataFrame, *keys: str, column: str = "transaction_id", rsd: float = 0.02) -> DataFrame:
+    """The exact distinct count beside the sketch, and whether they are within three deviations of the sketch."""
+    counted = df.groupBy(*keys).agg(
+        F.count_distinct(column).alias("customers"),
+        F.approx_count_distinct(column, rsd).alias("approx_customers"),
+    )
+    off = F.abs(F.col("approx_customers") - F.col("customers"))
+    return counted.withColumn("within_bounds", off <= 3 * rsd * F.col("customers"))
+
+
 def _with_distinct_ids(parts: DataFrame, distinct: DataFrame | None, keys: tuple[str, ...]) -> DataFrame:
     """Measures with the distinct ids per key: joined in, there already, or equal to the id count."""
     if distinct is None:

@@ -39,7 +39,7 @@ def batch_summary(written: DataFrame) -> DataFrame:
     """One row about the judged rows of one cleaning run: STATISTICS of the accepted rows, the
     months they fall in, and the number of rejected rows per reason."""
     unique = _summary(written).withColumn("unique_customers", F.col("total_records"))
-    return unique.select(*STATISTICS, "months", "rejected")
+    return unique.select(*STATISTICS, "rejected")
 
 
 def _summary(df: DataFrame) -> DataFrame:
@@ -70,7 +70,6 @@ def _summary(df: DataFrame) -> DataFrame:
         F.expr(f"CAST(max(amount_sum) {whole} AS {MONEY_SUM.simpleString()}) AS total_revenue"),
         F.expr(f"{ratio_sql(f'max(amount_sum) {whole}', f'max(amount_count) {whole}')} AS avg_transaction"),
         F.expr("count_if(dimension = 'state_names') AS states_count"),
-        F.expr("count_if(dimension = 'year_month') AS months"),
         F.expr(f"{value_map('segment')} AS segments"),
         F.expr(f"{value_map('payment_method')} AS payment_methods"),
         F.expr(f"{value_map('reject_reason')} AS rejected"),
@@ -95,3 +94,16 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def monthly_counts(df: DataFrame) -> DataFrame:
     """Rows per (year, month) of dated transactions."""
     return df.groupBy("year", "month").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def month_intake(judged: DataFrame) -> DataFrame:
+    """Rows per calendar month of their date that the intake rules kept and rejected."""
+    return (
+        judged.filter(F.col("transaction_date").isNotNull())
+        .groupBy(F.trunc(F.col("transaction_date").cast("date"), "month").alias("month_start"))
+        .agg(
+            F.count(F.lit(1)).alias("records"),
+            F.count_if(F.col("reject_reason").isNull()).alias("records_kept"),
+            F.count_if(F.col("reject_reason").isNotNull()).alias("records_rejected"),
+        )
+    )

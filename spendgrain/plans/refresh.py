@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
@@ -17,7 +17,7 @@ from spendgrain.operators.distributions import with_distributions
 from spendgrain.operators.views import ml_training_features, register_views
 from spendgrain.plans.ingestion import run_ingestion
 from spendgrain.schema import STORE_KEYS, conform
-from spendgrain.sources.files import accepted_rows, read_raw, read_stored
+from spendgrain.sources.files import accepted_rows, read_month_files, read_raw, read_stored
 from spendgrain.sources.store import (
     LOG_TABLE,
     append_log,
@@ -43,6 +43,7 @@ def run_features(
     jdbc_url: str | None = None,
     jdbc_properties: dict[str, str] | None = None,
     referral_yes: Sequence[str] = ("Yes",),
+    month_files: str | None = None,
 ) -> dict:
     """Compute the four feature sets from root/raw into root/features.
 
@@ -53,11 +54,13 @@ def run_features(
 
     `ids_unique` says whether any transaction_id occurs twice. Left open, it is taken from the
     table: rows of a single ingestion run are unique by id, and then no id is ever shuffled.
+
+    `month_files` names month files written elsewhere ('raw/*/*.parquet'), to be read instead of root/raw.
     """
     started = datetime.now()
     out = f"{root}/features"
     try:
-        stored = read_stored(spark, f"{root}/raw")
+        stored = read_month_files(spark, month_files) if month_files else read_stored(spark, f"{root}/raw")
         df = accepted_rows(stored)
         path = f"{out}/transaction_measures"
         parts = stored_measures(spark, df, path, referral_yes, batch_marks(stored))
@@ -144,10 +147,18 @@ def feature_tables(
     }
 
 
-def run_all(spark: SparkSession, csv_path: str, root: str, as_of: datetime | None = None, **options) -> dict:
-    """Ingestion, then features."""
+def run_all(
+    spark: SparkSession,
+    csv_path: str,
+    root: str,
+    as_of: datetime | None = None,
+    date_format: str = "yyyy-MM-dd",
+    csv_options: Mapping[str, str] | None = None,
+    **options,
+) -> dict:
+    """Ingestion, then features; `options` are those of run_features."""
     return {
-        "ingestion": run_ingestion(spark, csv_path, root, as_of),
+        "ingestion": run_ingestion(spark, csv_path, root, as_of, date_format, csv_options),
         "features": run_features(spark, root, as_of, **options),
     }
 
@@ -177,27 +188,3 @@ def stage_report(stages: dict[str, DataFrame]) -> DataFrame:
         )
         report = one if report is None else report.unionByName(one)
     return report
-
-
-def batch_log(judged: DataFrame) -> DataFrame:
-    """Execution log rows as monthly runs over the transactions would have left them: one per
-    calendar month, dated the first day of the next month, when that month is taken in."""
-    month_start = F.trunc(F.col("transaction_date").cast("date"), "month")
-    counted = (
-        judged.filter(F.col("transaction_date").isNotNull())
-        .groupBy(month_start.alias("month_start"))
-        .agg(
-            F.count(F.lit(1)).alias("records_processed"),
-            F.count_if(F.col("reject_reason").isNull()).alias("records_inserted"),
-            F.count_if(F.col("reject_reason").isNotNull()).alias("records_failed"),
-        )
-    )
-    return counted.select(
-        F.lit("monthly_data_ingestion").alias("pipeline_name"),
-        F.add_months("month_start", 1).alias("execution_date"),
-        F.when(F.col("records_inserted") > 0, "completed").otherwise("failed").alias("status"),
-        "records_processed",
-        "records_inserted",
-        F.lit(0).cast("long").alias("records_updated"),
-        "records_failed",
-    )

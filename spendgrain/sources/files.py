@@ -15,7 +15,24 @@ from spendgrain.schema import MONEY, REQUIRED_COLUMNS
 # Columns that place a row within the scanned files, taken at the scan before any shuffle.
 FILE_ORDER = ("_file", "_block", "_row")
 
+# The text of a CSV line that is no whole record: it has too few or too many fields, as the two
+# halves of a record with a line break inside quotes do.
+BAD_RECORD = "bad_record"
+
+# How CSV is read, in batches and streams. Without column pruning in the parser, so that a line's
+# fields are counted whatever columns a step asks for.
+CSV_OPTIONS = {
+    "header": True,
+    "enforceSchema": False,
+    "quote": '"',
+    "escape": '"',
+    "columnNameOfCorruptRecord": BAD_RECORD,
+    "columnPruning": False,
+}
+
 _PARTITIONS = [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())]
+_REJECTED_IN = "rejected_in"
+_FOLDERS = ("year", "month", _REJECTED_IN)
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
@@ -37,22 +54,23 @@ def check_columns(columns: Iterable[str]) -> bool:
 
 
 def read_csv(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """All columns as text, plus the row's place in the files.
+    """All columns as text, bad_record, and the row's place in the files.
 
-    Files are split and read in parallel. Every file's header is checked against the first one's.
+    Files are split and read in parallel; every line is a record, and one that is not whole has its
+    text in bad_record. The option multiLine="true" reads line breaks inside quotes, one task per
+    file; without it only a line that breaks within its last column still passes as whole. Every
+    file's header is checked against the first one's.
     """
     columns = csv_header(spark, path)
     check_columns(columns)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    scan = (
-        spark.read.schema(schema)
-        .options(header=True, enforceSchema=False, quote='"', escape='"')
-        .options(**options)
-        .csv(path)
-    )
+    scan = spark.read.schema(csv_schema(columns)).options(**{**CSV_OPTIONS, **options}).csv(path)
     return with_file_order(scan)
 
 
+def csv_schema(columns: Iterable[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in (*columns, BAD_RECORD)])
+
+
 def with_file_order(scan: DataFrame) -> DataFrame:
     return scan.select(
         "*",
@@ -71,29 +89,32 @@ def write_monthly(df: DataFrame, root: str) -> None:
     """Write by (year, month); months in `df` replace stored ones, other months stay.
 
     Rebalancing brings a month's rows together yet cuts a large month into files of the session's
-    advisory partition size, so no single task ever holds a whole month. Rows with a
-    reject_reason have no month and go to the default partition.
+    advisory partition size, so no single task ever holds a whole month. That split is adaptive
+    execution's; without it a month is one task. Rows with a reject_reason have no month; they go
+    into a folder of their batch, so that each run adds its own and replaces no other run's.
     """
     (
         _filed(df)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
-        .partitionBy("year", "month")
+        .partitionBy(*_FOLDERS)
         .parquet(root)
     )
 
 
 def append_monthly(df: DataFrame, root: str) -> None:
     """Add rows to their months without touching what is stored."""
-    _filed(df).write.mode("append").option("compression", "snappy").partitionBy("year", "month").parquet(root)
+    _filed(df).write.mode("append").option("compression", "snappy").partitionBy(*_FOLDERS).parquet(root)
 
 
 def _filed(df: DataFrame) -> DataFrame:
-    dated = with_months(df)
+    dated = with_months(df).withColumn(_REJECTED_IN, F.lit(None).cast("string"))
     if "reject_reason" in df.columns:
         fine = F.col("reject_reason").isNull()
         dated = dated.withColumns({c: F.when(fine, F.col(c)) for c in ("year", "month")})
+        if "batch_id" in df.columns:
+            dated = dated.withColumn(_REJECTED_IN, F.when(~fine, F.col("batch_id")))
     return dated.hint("rebalance", F.col("year"), F.col("month"))
 
 
@@ -102,15 +123,20 @@ def read_stored(spark: SparkSession, root: str, schema: T.StructType | None = No
     rows saves reading one from a file."""
     reader = spark.read
     if schema is not None:
-        calendar = [T.StructField("year_month", T.StringType()), *_PARTITIONS]
+        calendar = [T.StructField("year_month", T.StringType()), *_PARTITIONS, T.StructField(_REJECTED_IN, T.StringType())]
         reader = reader.schema(T.StructType([*schema.fields, *calendar]))
     df = reader.parquet(root)
-    return df.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in _PARTITIONS})
+    return df.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in _PARTITIONS}).drop(_REJECTED_IN)
+
+
+def rejected_rows(stored: DataFrame) -> DataFrame:
+    """Rows that failed an intake rule, of all runs; months are not read."""
+    return stored.filter(F.col("year").isNull())
 
 
 def read_raw(spark: SparkSession, root: str) -> DataFrame:
     """The accepted transactions; a filter on year or month prunes directories."""
-    return accepted_rows(read_stored(spark, root)).drop("reject_reason", "batch_id")
+    return accepted_rows(read_stored(spark, root)).drop("reject_reason", "batch_id", BAD_RECORD)
 
 
 def accepted_rows(stored: DataFrame) -> DataFrame:

@@ -251,9 +251,11 @@ def test_amount_edges(spark):
         (["30.2", "30.9", "31", "29"], 30),
         (["18", "40", "41.5", "2000000"], 40),
         (["17.9", "18.1"], 18),
-        (["5000", "6000", "7000"], 1000),
-        (["-2000", "-3000"], -1000),
-        (["10", "5000"], 1000),
+        (["5000", "6000", "7000"], 6000),
+        (["-2000", "-3000"], -2500),
+        (["10", "5000"], 2505),
+        (["5000", "5000", "6000"], 5000),
+        (["1e300", "2e300"], 2**31 - 1),
         (["-1.5", "0.5"], 0),
         ([None], None),
         ([], None),

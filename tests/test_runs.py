@@ -37,6 +37,7 @@ def test_ingestion_document(run):
     document = result["ingestion"]
     assert (document["rows_in"], document["duplicates_removed"], document["median_age"]) == (15, 3, 33)
     assert document["rejected"] == {
+        "bad_record": 0,
         "age_out_of_range": 3,
         "negative_amount": 1,
         "bad_date": 1,
@@ -294,3 +295,38 @@ def test_operators_return_dataframes(spark, run):
     _, root, _ = run
     raw = read_raw(spark, f"{root}/raw")
     assert isinstance(raw.transform(fs.customer_features), DataFrame)
+
+
+def test_two_runs_keep_what_each_rejected(spark, tmp_path):
+    target = str(tmp_path / "store")
+    for name, month in (("a", "01"), ("b", "02")):
+        lines = [f"2018-{month}-05,{name}1,Male,40,Single,Iowa,Gold,Employees,Card,No,5.00"]
+        lines += [f"2018-{month}-05,{name}2,Male,17,Single,Iowa,Gold,Employees,Card,No,5.00"]
+        lines += [f'2018-{month}-05,{name}3,Male,40,Single,"New', 'York",Gold,Employees,Card,No,7.00']
+        (tmp_path / f"{name}.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+        found = run_ingestion(spark, str(tmp_path / f"{name}.csv"), target, AS_OF)
+        assert (found["rows_in"], found["duplicates_removed"], found["files_created"]) == (4, 0, 1)
+        assert found["rejected"]["bad_record"] == 2 and found["rejected"]["age_out_of_range"] == 1
+    assert {r["transaction_id"] for r in read_raw(spark, f"{target}/raw").collect()} == {"a1", "b1"}
+    rejected = read_stored(spark, f"{target}/raw").filter("reject_reason is not null").collect()
+    assert sorted(r["reject_reason"] for r in rejected) == ["age_out_of_range"] * 2 + ["bad_record"] * 4
+    assert 'York",Gold,Employees,Card,No,7.00' in {r["bad_record"] for r in rejected}
+
+
+def test_reader_options_and_date_format_go_through(spark, tmp_path):
+    line = '05/01/2018,a1,Male,40,Single,"New\nYork",Gold,Employees,Card,No,5.00'
+    (tmp_path / "a.csv").write_text(f"{HEADER}\n{line}\n")
+    target = str(tmp_path / "store")
+    run_all(spark, str(tmp_path / "a.csv"), target, AS_OF, date_format="dd/MM/yyyy", csv_options={"multiLine": "true"})
+    (row,) = read_raw(spark, f"{target}/raw").collect()
+    assert (row["state_names"], row["year_month"]) == ("New\nYork", "2018-01")
+
+
+def test_features_over_month_files_written_elsewhere(spark, run, tmp_path):
+    _, root, _ = run
+    raw = read_raw(spark, f"{root}/raw").drop("year", "month", "year_month")
+    raw.withColumn("amount_spent", F.col("amount_spent").cast("double")).coalesce(1).write.parquet(str(tmp_path / "raw" / "2018"))
+    run_features(spark, str(tmp_path / "store"), AS_OF, month_files=str(tmp_path / "raw" / "*" / "*.parquet"))
+    found = store.read_features(spark, str(tmp_path / "store" / "features"), "state_features")
+    expected = store.read_features(spark, f"{root}/features", "state_features")
+    assert sorted(map(str, found.drop("created_at").collect())) == sorted(map(str, expected.drop("created_at").collect()))

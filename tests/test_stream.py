@@ -99,3 +99,15 @@ def test_small_batches_take_everything(spark, places):
     stream = read_csv_stream(spark, str(folder), files_per_trigger=2)
     start_intake(stream, root, f"{root}/checkpoint", 30).awaitTermination()
     assert len(ids(spark, root)) == 10
+
+
+def test_a_batch_with_nothing_good_leaves_a_readable_store(spark, places):
+    folder, root = places
+    put(folder, "a.csv", [line(1, "2018-01-05", age="17"), '2018-01-05,T2,Male,30,Single,"New', 'York",Basic,E,Card,No,1.00'])
+    take_in(spark, folder, root)
+    assert stored_quarterly(spark, root).count() == 0
+    # The halves of a broken record take no id from a good one.
+    put(folder, "b.csv", [line(2, "2018-01-06")])
+    take_in(spark, folder, root)
+    assert ids(spark, root) == ["T2"]
+    assert read_stored(spark, f"{root}/raw").filter("reject_reason is not null").count() == 3
