@@ -34,7 +34,7 @@ Q, SHARE = 10, 0.08
 #: Slots of the table that tells most q-grams of a text apart from all q-grams of the items.
 SLOTS = 22
 #: Characters of texts that are worked on at a time, and alignments.
-SLICE, ALIGNED = 4_000_000, 2048
+SLICE, ALIGNED = 500_000, 2048
 MULTIPLIER = 0x9E3779B97F4A7C15
 ENDS, SPACE = 0, 32
 ADDED = ["n_items", "items", "edits"]

@@ -31,7 +31,7 @@ ship(__name__)
 
 SAMPLE_ROWS, SAMPLE_PIECE = 64, 1000
 #: Symbols that a text is parsed in at a time, and characters of texts that are worked on at a time.
-PIECE, SLICE = 2048, 4_000_000
+PIECE, SLICE = 2048, 1_000_000
 SPACE = 0
 
 

@@ -46,7 +46,7 @@ class WordHashes(dict):
     """Words to 64 bits, remembered while there are not too many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
