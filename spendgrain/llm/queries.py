@@ -25,9 +25,10 @@ def op1_url_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 def labelled_findings(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The tables hold no reviewed findings, so those of the documents in `labels` are labelled by
-    format. Labels share their ids with the documents; repeated ones count once."""
-    known = documents.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
-    return secret_scan.label_by_format(secret_scan.with_features(secret_scan.candidates(known)))
+    format. Labels share their ids with the documents; repeated ones count once. Findings meet the labels,
+    not texts; a semi join would be moved below the search and shuffle whole texts."""
+    found = secret_scan.label_by_format(secret_scan.with_features(secret_scan.candidates(documents)))
+    return found.select("doc_id", *secret_scan.FEATURES, "label").join(labels.select("doc_id").distinct(), "doc_id")
 
 
 def op2_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
