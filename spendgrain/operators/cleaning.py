@@ -188,15 +188,19 @@ def copies_report(df: DataFrame, key: str = "transaction_id") -> DataFrame:
 
 def cleaning_report(df: DataFrame, order: Sequence[str | Column], date_format: str = "yyyy-MM-dd") -> DataFrame:
     """Long form (check, rows): what each intake step filled, dropped or set aside."""
-    parsed = parse(df, date_format)
-    before = age_profile(parsed)
-    reasons = [r for r in REJECT_REASONS if r != "bad_record" or r in parsed.columns]
-    after = clean(df, order, date_format).groupBy().agg(
+    # One subquery for the median and for the report: Spark runs equal ones once.
+    profile = age_profile(parse(df, date_format))
+    names = [c for c in profile.columns if c != "median_age"]
+    found = profile.select(F.struct("*").alias("profile")).scalar()
+    cleaned = clean(df, order, date_format, found.getField("median_age"))
+    reasons = [r for r in REJECT_REASONS if r != "bad_record" or r in cleaned.columns]
+    after = cleaned.groupBy().agg(
         F.count(F.lit(1)).alias("distinct_rows"),
         *[F.count_if(F.col("reject_reason") == r).alias(f"rejected_{r}") for r in reasons],
         F.count_if(F.col("reject_reason").isNull()).alias("rows_kept"),
     )
-    return unpivot_counts(before.drop("median_age")).unionByName(unpivot_counts(after))
+    both = after.select(found.alias("found"), "*")
+    return unpivot_counts(both.select(*[f"found.{c}" for c in names], *after.columns))
 
 
 def unpivot_counts(one_row: DataFrame) -> DataFrame:

@@ -227,23 +227,28 @@ def feature_invariants(
 
 def quality_report(text: DataFrame, typed: DataFrame, as_of: date) -> DataFrame:
     """(check, item, value, passed): missing values, freshness and unreadable values together."""
-    columns = [f.name for f in CLEAN_SCHEMA.fields]
-    nulls = null_counts(standard_names(text), columns).select(
-        F.lit("nulls").alias("check"),
-        F.col("column_name").alias("item"),
-        F.col("null_rows").alias("value"),
-        (F.col("null_rows") == 0).alias("passed"),
+    named = standard_names(text)
+    fields = [f for f in CLEAN_SCHEMA.fields if f.name in named.columns]
+    counted = named.agg(
+        *[F.count_if(F.col(f.name).isNull()).alias(f"nulls_{f.name}") for f in fields],
+        *[F.count_if(_unreadable(f.name, f.dataType, "yyyy-MM-dd")).alias(f"schema_{f.name}") for f in fields],
     )
+    rows = [_report_row(kind, f.name, F.col(f"{kind}_{f.name}")) for kind in ("nulls", "schema") for f in fields]
+    # An absent column has no values, none of them readable.
+    rows += [_report_row("schema", f.name, F.lit(0), passed=False) for f in CLEAN_SCHEMA.fields if f not in fields]
     fresh = event_freshness(typed, as_of).select(
         F.lit("freshness").alias("check"),
         F.lit("recent_rows").alias("item"),
         F.col("recent_rows").alias("value"),
         F.col("fresh").alias("passed"),
     )
-    schema = schema_check(text).select(
-        F.lit("schema").alias("check"),
-        F.col("column_name").alias("item"),
-        F.col("unreadable_rows").alias("value"),
-        (F.col("present") & (F.col("unreadable_rows") == 0)).alias("passed"),
+    return counted.select(F.inline(F.array(*rows))).unionByName(fresh)
+
+
+def _report_row(check: str, item: str, value: Column, passed: bool = True) -> Column:
+    return F.struct(
+        F.lit(check).alias("check"),
+        F.lit(item).alias("item"),
+        value.cast("long").alias("value"),
+        ((value == 0) & F.lit(passed)).alias("passed"),
     )
-    return nulls.unionByName(fresh).unionByName(schema)

@@ -70,6 +70,15 @@ def test_csv_median_pass_reads_one_column(spark, tmp_path):
     assert re.findall(r"ReadSchema: (struct<[^>]*>)", text) == ["struct<Age:string,bad_record:string>"]
 
 
+@pytest.mark.parametrize(("name", "most"), [("cleaning_report", 2), ("dq_report", 2)])
+def test_reports_read_their_orders_twice(spark, name, most):
+    report = QUERIES[name](spark, SF)
+    report.collect()
+    # A subquery that ran once is printed wherever it is used, with the same columns.
+    scans = set(re.findall(r"FileScan parquet (\[[^\]]*\bo_[^\]]*)", plan(report)))
+    assert 0 < len(scans) <= most
+
+
 def test_a_hot_month_is_split_over_files(spark, tmp_path):
     rows = spark.range(200_000).select(
         F.lit("2018-01-05").cast("timestamp_ntz").alias("transaction_date"),
