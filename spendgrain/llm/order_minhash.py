@@ -3,11 +3,13 @@
 A text's k-mers are runs of five words, each labelled with how often it has occurred before. A sketch
 takes the labelled k-mers with the smallest hashes and keeps them in the order of the text, so that two texts
 agree in one with a probability that falls with their edit distance. Texts that agree in a sketch, or in two
-neighbouring ones, form a bucket; each links to the bucket's smallest text as a candidate, so candidates grow
-with the number of texts and never with the square of a bucket. A banded alignment of the words verifies each
-candidate: a link needs at most 1 - SIMILARITY edits per word of the longer text. An alignment through shared
-k-mers within the band is tried first; where it needs too many edits, all alignments within bands up to that
-width are. Classes are the connected components of the links.
+neighbouring ones, form a bucket. Each text of a bucket meets the bucket's head as a candidate; in rounds, those that
+are not joined to it meet a next head. What heads leave apart meets by the prefix filter: two texts within the
+edit budget share one of their rarest pairs of words, so texts that have only a common passage in common don't meet.
+A banded alignment of the words verifies each candidate: a link needs at most 1 - SIMILARITY edits per word of the
+longer text. An alignment through shared k-mers within the band is tried first; where it needs too many edits, all
+alignments within bands up to that width are. Classes are the connected components of the links, and do not
+depend on which text was a head.
 
 Equal texts are one node, 64 bits of hash, from the start, so a group of copies of any size costs one sketch.
 
@@ -19,6 +21,7 @@ looked at by `near_duplicates`, and pass through `keep_first`.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import numpy as np
@@ -26,6 +29,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from spendgrain.llm.common import cut, ship
 from spendgrain.llm.graph import components
@@ -213,22 +217,17 @@ def sketch_rows(noded: DataFrame, k: int, sketches: int, kept: int) -> DataFrame
     return cut(rows.dropDuplicates(["omh_node"])).select("omh_node", F.explode("keys").alias("key"))
 
 
-def candidates(rows: DataFrame) -> DataFrame:
-    """a, b: each text with the smallest one of each of its buckets."""
-    smallest = rows.groupBy("key").agg(F.min("omh_node").alias("b"), F.max("omh_node").alias("most")).where("b <> most")
-    pairs = rows.join(smallest.drop("most"), "key").where("omh_node <> b")
-    return pairs.select(F.col("omh_node").alias("a"), "b").distinct()
-
-
-def links(noded: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs that a banded alignment confirms. Of equal texts only one is sent, that of the smallest doc_id."""
-    pairs = cut(pairs)
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def texts_of(noded: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, text: each of the nodes once. Of equal texts only one is sent, that of the smallest doc_id."""
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id")
-    homes = noded.groupBy(F.col("omh_node").alias("node")).agg(F.min(place).alias("home")).join(wanted, "node", "left_semi")
+    homes = noded.groupBy(F.col("omh_node").alias("node")).agg(F.min(place).alias("home")).join(nodes, "node", "left_semi")
     homes = homes.select("node", F.col("home.doc_id").alias("home"))
     texts = noded.join(homes, (F.col("omh_node") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("home")))
-    texts = cut(texts.select("node", "text").dropDuplicates(["node"]))
+    return cut(texts.select("node", "text").dropDuplicates(["node"]))
+
+
+def confirmed(texts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs a, b that a banded alignment confirms."""
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -244,11 +243,84 @@ def links(noded: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInPandas(verified, "a long, b long")
 
 
+def _labelled(rows: DataFrame, joined: DataFrame, node: str, label: str) -> DataFrame:
+    """rows with the component of a node as `label`."""
+    of = joined.select(F.col("node").alias(node), F.col("component").alias(label))
+    return rows.join(of, node, "left").withColumn(label, F.coalesce(label, node))
+
+
+def prefix_grams(texts: DataFrame, similarity: float) -> DataFrame:
+    """node, gram: of each text the rarest labelled pairs of words, so many that any two texts within the
+    edit budget have one of them in common. e edits leave n - 1 - 2 e of a text's n - 1 pairs."""
+    left = 1 - 2 * (1 - similarity)
+
+    def paired(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            nodes, grams, first = [], [], []
+            for node, text in zip(batch["node"], batch["text"], strict=True):
+                words = words_of(text)
+                with np.errstate(over="ignore"):
+                    h = labelled_kmers(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)), 2)
+                nodes.append(node)
+                grams.append(h.view(np.int64))
+                first.append(len(h) - max(1, math.ceil(left * len(words) - 1 - 1e-9)) + 1)
+            yield pd.DataFrame({"node": np.array(nodes, np.int64), "first": np.array(first, np.int64), "grams": pd.Series(grams, dtype=object)})
+
+    rows = cut(texts.mapInPandas(paired, "node long, first long, grams array<long>")).select("node", "first", F.explode("grams").alias("gram"))
+    known = rows.groupBy("gram").agg(F.count("*").alias("n"))
+    ranked = rows.join(known, "gram").withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy("n", "gram")))
+    return ranked.where("rank <= first AND n > 1").select("node", "gram")
+
+
+def open_pairs(shared: DataFrame, joined: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """a, b: pairs of texts of buckets that still hold several components, of different components and with a
+    rare pair of words in common; all those within the edit budget are among them."""
+    members = _labelled(shared.select("key", "node"), joined, "node", "component")
+    several = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    nodes = cut(members.join(several, "key", "left_semi").select("node", "component").distinct())
+    rows = cut(prefix_grams(texts.join(nodes, "node", "left_semi"), similarity).join(nodes, "node"))
+    parts = rows.groupBy("gram", "component").agg(F.count("*").alias("n"))
+    largest = parts.groupBy("gram").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1")
+    rows = cut(rows.join(largest.select("gram", F.col("most.component").alias("largest")), "gram"))
+    # One text of each pair is outside the gram's largest component; if both are, the pair is taken from its larger node.
+    few = rows.where("component <> largest").select("gram", F.col("node").alias("a"), F.col("component").alias("in_a"))
+    rows = rows.select("gram", F.col("node").alias("b"), F.col("component").alias("in_b"), "largest")
+    pairs = few.join(rows, "gram").where("in_a <> in_b AND (in_b = largest OR a > b)")
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def links(noded: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+    """a, b: links that join all texts within the edit budget that share a bucket.
+
+    In rounds, each text of a bucket meets the bucket's head, the text that shares most buckets with others; those the head's
+    component has go, and the rest meet the next head, while that finds links. Then whatever is not joined is
+    compared, so that no link depends on which text was a head."""
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = cut(rows.join(sizes, "key").select("key", F.col("omh_node").alias("node"), "n"))
+    degrees = shared.groupBy("node").agg((-F.sum("n")).alias("order"))
+    shared = cut(shared.drop("n").join(degrees, "node"))
+    texts = texts_of(noded, degrees)
+    found, left = None, shared
+    while True:
+        heads = left.groupBy("key").agg(F.min(F.struct("order", "node")).alias("first"), F.count("*").alias("n")).where("n > 1")
+        left = cut(left.join(heads.select("key", F.col("first.node").alias("head")), "key"))
+        pairs = left.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+        new = cut(confirmed(texts, cut(pairs), similarity))
+        if found is not None and new.isEmpty():
+            break
+        found = new if found is None else cut(found.unionByName(new))
+        joined = components(found)
+        left = _labelled(_labelled(left, joined, "node", "component"), joined, "head", "of_head")
+        left = left.where("component <> of_head").select("key", "node", "order")
+    rest = cut(open_pairs(shared, joined, texts, similarity))
+    return found.unionByName(confirmed(texts, rest, similarity))
+
+
 def classes(documents: DataFrame, similarity: float = SIMILARITY, k: int = K, sketches: int = SKETCHES, kept: int = KEPT) -> DataFrame:
     """omh_node, component, class_id and class_size of each different text."""
     noded = _noded(documents.select("doc_id", "text"))
-    found = links(noded, candidates(sketch_rows(noded, k, sketches, kept)), similarity)
-    joined = components(found)
+    joined = components(links(noded, sketch_rows(noded, k, sketches, kept), similarity))
     nodes = noded.groupBy("omh_node").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     nodes = nodes.join(joined, F.col("omh_node") == F.col("node"), "left").select("omh_node", "least", "n", F.coalesce("component", "omh_node").alias("component"))
     nodes = cut(nodes)

@@ -310,6 +310,53 @@ def test_near_copies_form_classes(spark):
     assert order_minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def varied(words, share, r):
+    """The words with that share of them replaced."""
+    out = list(words)
+    for i in r.sample(range(len(out)), round(share * len(out))):
+        out[i] = f"w{r.randrange(10**9)}"
+    return out
+
+
+def test_edited_copies_of_one_text_form_one_class(spark):
+    r = random.Random(11)
+    base = prose(700, 200).split()
+    texts = [base] + [varied(base, 0.12 + 0.01 * (i % 5), r) for i in range(300)]
+
+    def keys(words):
+        hashes = order_minhash.WordHashes()
+        ids = np.array([hashes[w.encode().lower()] for w in words], np.uint64)
+        return set(order_minhash.sketch_keys(ids, order_minhash.K, order_minhash.SKETCHES, order_minhash.KEPT).tolist())
+
+    met = {i for i, t in enumerate(texts) if keys(t) & keys(base)}
+    assert len(met) > 250
+    # Unrelated texts with a common passage share buckets too, and stay apart.
+    passage = prose(701, 60)
+    texts = [" ".join(t) for t in texts] + [passage + " " + prose(720 + i, 60) for i in range(60)]
+    found = {x.doc_id: x.class_id for x in order_minhash.near_duplicates(documents(spark, texts)).collect()}
+    assert all(found[i] == found[0] for i in met)
+    assert all(found[i] == i for i in range(301, 361))
+
+
+def test_rare_pairs_of_words_meet_within_the_budget(spark):
+    r = random.Random(12)
+    stock = prose(702, 30).split()
+    texts = []
+    for _ in range(60):
+        a = [r.choice(stock) for _ in range(r.randint(1, 40))]
+        texts += [a, edited("\0".join(a), r.randrange(0, 9), r).split("\0"), varied(a, 0.2, r)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    grams = {}
+    for x in order_minhash.prefix_grams(spark.createDataFrame(rows, "node long, text string").where("text <> ''"), 0.8).collect():
+        grams.setdefault(x.node, set()).add(x.gram)
+    split = [t.split() for _, t in rows]
+    for i, a in enumerate(split):
+        for j, b in enumerate(split[:i]):
+            longest = max(len(a), len(b))
+            if 5 <= longest and a and b and distance(a, b) <= int(0.2 * longest + 1e-9):
+                assert grams.get(i, set()) & grams.get(j, set())
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40) if i != 20], "a long, b long")
     found = {r.node: r.component for r in components(links).collect()}
