@@ -1,11 +1,10 @@
 """Near-duplicate detection by Order MinHash.
 
-A text's k-mers are runs of five words, each labelled with how often it has occurred before. A sketch
+A text's k-mers are runs of three words, each labelled with how often it has occurred before. A sketch
 takes the labelled k-mers with the smallest hashes and keeps them in the order of the text, so that two texts
-agree in one with a probability that falls with their edit distance. Texts that agree in a sketch, or in two
-neighbouring ones, form a bucket. Each text of a bucket meets the bucket's head as a candidate; in rounds, those that
-are not joined to it meet a next head. What heads leave apart meets by the prefix filter: two texts within the
-edit budget share one of their rarest pairs of words, so texts that have only a common passage in common don't meet.
+agree in one with a probability that falls with their edit distance; at the edit budget they agree in at least one of
+all with 0.95 or more. Texts that agree in a sketch form a bucket. Each text of a bucket meets the bucket's head as a candidate. What heads leave apart meets by the
+prefix filter: two texts within the edit budget share one of their rarest pairs of words, so texts that have only a common passage in common don't meet.
 A banded alignment of the words verifies each candidate: a link needs at most 1 - SIMILARITY edits per word of the
 longer text. An alignment through shared k-mers within the band is tried first; where it needs too many edits, all
 alignments within bands up to that width are. Classes are the connected components of the links, and do not
@@ -14,7 +13,7 @@ depend on which text was a head.
 Equal texts are one node, 64 bits of hash, from the start, so a group of copies of any size costs one sketch.
 
 Defined results: words are what lies between white space, A-Z in lower case. NULL texts count as empty; all empty texts
-are equal. A text of fewer than five words is one k-mer. Repeated rows and ids are judged row by row; the class
+are equal. A text of fewer than three words is one k-mer. Repeated rows and ids are judged row by row; the class
 id is the smallest doc_id in the class, NULL if it has none. An empty table gives no rows. Other columns are not
 looked at by `near_duplicates`, and pass through `keep_first`.
 """
@@ -36,11 +35,11 @@ from spendgrain.llm.graph import components
 
 ship(__name__)
 
-K, SIMILARITY = 5, 0.8
+K, SIMILARITY = 3, 0.8
 #: Words of the k-mers that an alignment is first tried through.
 ANCHOR = 3
 #: Sketches of a text, and k-mers in each.
-SKETCHES, KEPT = 24, 2
+SKETCHES, KEPT = 32, 2
 #: Cells of a matrix of hashes or alignments that is worked on at a time.
 CELLS = 1 << 20
 FAR = 1 << 28
@@ -82,7 +81,7 @@ def labelled_kmers(words: np.ndarray, k: int) -> np.ndarray:
 
 
 def sketch_keys(words: np.ndarray, k: int, sketches: int, kept: int) -> np.ndarray:
-    """The keys of the buckets that a text falls into: one of each sketch, one of each two neighbouring ones."""
+    """The keys of the buckets that a text falls into, one of each sketch."""
     with np.errstate(over="ignore"):
         h = labelled_kmers(words, k)
         seeds = mixed(np.arange(1, sketches + 1, dtype=np.uint64) * np.uint64(0x8CB92BA72F3D8DD7))
@@ -98,7 +97,7 @@ def sketch_keys(words: np.ndarray, k: int, sketches: int, kept: int) -> np.ndarr
             for i in range(places.shape[1]):
                 key = mixed(key + h[places[:, i]])
             keys[at : at + step] = key
-        return np.concatenate((keys, mixed(keys + mixed(np.roll(keys, -1)))))
+        return keys
 
 
 def aligned(pairs: list[tuple[np.ndarray, np.ndarray]], reach: int) -> np.ndarray:
@@ -250,32 +249,33 @@ def _labelled(rows: DataFrame, joined: DataFrame, node: str, label: str) -> Data
 
 
 def prefix_grams(texts: DataFrame, similarity: float) -> DataFrame:
-    """node, gram: of each text the rarest labelled pairs of words, so many that any two texts within the
+    """node, words (their number), gram: of each text the rarest labelled pairs of words, so many that any two texts within the
     edit budget have one of them in common. e edits leave n - 1 - 2 e of a text's n - 1 pairs."""
     left = 1 - 2 * (1 - similarity)
 
     def paired(batches):
         hashes = WordHashes()
         for batch in batches:
-            nodes, grams, first = [], [], []
+            nodes, grams, first, lengths = [], [], [], []
             for node, text in zip(batch["node"], batch["text"], strict=True):
                 words = words_of(text)
                 with np.errstate(over="ignore"):
                     h = labelled_kmers(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)), 2)
                 nodes.append(node)
+                lengths.append(len(words))
                 grams.append(h.view(np.int64))
                 first.append(len(h) - max(1, math.ceil(left * len(words) - 1 - 1e-9)) + 1)
-            yield pd.DataFrame({"node": np.array(nodes, np.int64), "first": np.array(first, np.int64), "grams": pd.Series(grams, dtype=object)})
+            yield pd.DataFrame({"node": np.array(nodes, np.int64), "words": np.array(lengths, np.int64), "first": np.array(first, np.int64), "grams": pd.Series(grams, dtype=object)})
 
-    rows = cut(texts.mapInPandas(paired, "node long, first long, grams array<long>")).select("node", "first", F.explode("grams").alias("gram"))
+    rows = cut(texts.mapInPandas(paired, "node long, words long, first long, grams array<long>")).select("node", "words", "first", F.explode("grams").alias("gram"))
     known = rows.groupBy("gram").agg(F.count("*").alias("n"))
     ranked = rows.join(known, "gram").withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy("n", "gram")))
-    return ranked.where("rank <= first AND n > 1").select("node", "gram")
+    return ranked.where("rank <= first AND n > 1").select("node", "words", "gram")
 
 
 def open_pairs(shared: DataFrame, joined: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """a, b: pairs of texts of buckets that still hold several components, of different components and with a
-    rare pair of words in common; all those within the edit budget are among them."""
+    rare pair of words in common, of lengths that fit; all those within the edit budget are among them."""
     members = _labelled(shared.select("key", "node"), joined, "node", "component")
     several = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     nodes = cut(members.join(several, "key", "left_semi").select("node", "component").distinct())
@@ -284,37 +284,27 @@ def open_pairs(shared: DataFrame, joined: DataFrame, texts: DataFrame, similarit
     largest = parts.groupBy("gram").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1")
     rows = cut(rows.join(largest.select("gram", F.col("most.component").alias("largest")), "gram"))
     # One text of each pair is outside the gram's largest component; if both are, the pair is taken from its larger node.
-    few = rows.where("component <> largest").select("gram", F.col("node").alias("a"), F.col("component").alias("in_a"))
-    rows = rows.select("gram", F.col("node").alias("b"), F.col("component").alias("in_b"), "largest")
+    few = rows.where("component <> largest").select("gram", F.col("node").alias("a"), F.col("component").alias("in_a"), F.col("words").alias("words_a"))
+    rows = rows.select("gram", F.col("node").alias("b"), F.col("component").alias("in_b"), F.col("words").alias("words_b"), "largest")
     pairs = few.join(rows, "gram").where("in_a <> in_b AND (in_b = largest OR a > b)")
+    pairs = pairs.where(F.abs(F.col("words_a") - F.col("words_b")) <= (1 - similarity) * F.greatest("words_a", "words_b") + 1e-9)
     return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def links(noded: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
     """a, b: links that join all texts within the edit budget that share a bucket.
 
-    In rounds, each text of a bucket meets the bucket's head, the text that shares most buckets with others; those the head's
-    component has go, and the rest meet the next head, while that finds links. Then whatever is not joined is
-    compared, so that no link depends on which text was a head."""
+    Each text of a bucket meets the bucket's head, the text that shares most buckets with others. Then whatever
+    that has not joined is compared, so that no link depends on which text was a head."""
     sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared = cut(rows.join(sizes, "key").select("key", F.col("omh_node").alias("node"), "n"))
     degrees = shared.groupBy("node").agg((-F.sum("n")).alias("order"))
-    shared = cut(shared.drop("n").join(degrees, "node"))
     texts = texts_of(noded, degrees)
-    found, left = None, shared
-    while True:
-        heads = left.groupBy("key").agg(F.min(F.struct("order", "node")).alias("first"), F.count("*").alias("n")).where("n > 1")
-        left = cut(left.join(heads.select("key", F.col("first.node").alias("head")), "key"))
-        pairs = left.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
-        new = cut(confirmed(texts, cut(pairs), similarity))
-        if found is not None and new.isEmpty():
-            break
-        found = new if found is None else cut(found.unionByName(new))
-        joined = components(found)
-        left = _labelled(_labelled(left, joined, "node", "component"), joined, "head", "of_head")
-        left = left.where("component <> of_head").select("key", "node", "order")
+    heads = shared.join(degrees, "node").groupBy("key").agg(F.min(F.struct("order", "node"))["node"].alias("b"))
+    pairs = shared.join(heads, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    joined = components(confirmed(texts, cut(pairs), similarity))
     rest = cut(open_pairs(shared, joined, texts, similarity))
-    return found.unionByName(confirmed(texts, rest, similarity))
+    return joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(confirmed(texts, rest, similarity))
 
 
 def classes(documents: DataFrame, similarity: float = SIMILARITY, k: int = K, sketches: int = SKETCHES, kept: int = KEPT) -> DataFrame:

@@ -338,6 +338,32 @@ def test_edited_copies_of_one_text_form_one_class(spark):
     assert all(found[i] == i for i in range(301, 361))
 
 
+def test_pairs_at_the_edit_budget_share_a_bucket():
+    r = np.random.default_rng(13)
+    for n in (60, 100, 400):
+        for share in (0.1, 0.15, 0.2):
+            met = 0
+            for _ in range(300):
+                a = r.integers(0, 1 << 63, n).astype(np.uint64)
+                b = a.copy()
+                at = r.choice(n, round(share * n), replace=False)
+                b[at] = r.integers(0, 1 << 63, len(at)).astype(np.uint64)
+                sketches = [order_minhash.sketch_keys(x, order_minhash.K, order_minhash.SKETCHES, order_minhash.KEPT) for x in (a, b)]
+                met += bool(set(sketches[0].tolist()) & set(sketches[1].tolist()))
+            assert met >= 0.95 * 300
+
+
+def test_links_by_edits_against_brute_force(spark):
+    r = random.Random(14)
+    bases = [prose(800 + i, 100).split() for i in range(60)]
+    texts = [t for i, base in enumerate(bases) for t in (base, varied(base, 0.1 + 0.02 * (i % 6), r))]
+    found = {x.doc_id: x.class_id for x in order_minhash.near_duplicates(documents(spark, [" ".join(t) for t in texts])).collect()}
+    true = [(i, j) for i, a in enumerate(texts) for j, b in enumerate(texts[:i]) if abs(i - j) == 1 and distance(a, b) <= 20]
+    assert len(true) == 60
+    assert sum(found[i] == found[j] for i, j in true) >= 0.95 * 60
+    assert len(set(found.values())) >= 60
+
+
 def test_rare_pairs_of_words_meet_within_the_budget(spark):
     r = random.Random(12)
     stock = prose(702, 30).split()
