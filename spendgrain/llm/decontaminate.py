@@ -3,8 +3,8 @@
 Where a benchmark item of m characters occurs in a text with at most e edits, the two share at least
 m + 1 - q (e + 1) q-grams, all on neighbouring diagonals (place in the text minus place in the item).
 Shared q-grams are counted in overlapping bands of diagonals, bands that reach the item's bound are
-retained, and a banded alignment verifies each: it counts as found with at most e edits. Nothing else
-decides, so every occurrence within the budget is found.
+retained, and a banded alignment verifies each: it counts as found with at most e edits, in the text that holds it
+whole; an alignment does not go on into the next text. Nothing else decides, so every occurrence within the budget is found.
 
 The items' index is broadcast in blocks of at most `block_chars` characters or one item; documents meet each
 block where they are read, whole and without a shuffle.
@@ -117,8 +117,8 @@ class Index:
         self.item, self.place = item[order].astype(np.int32), place[order].astype(np.int32)
         self.slots = np.zeros(1 << SLOTS, bool)
         self.slots[self.hashes >> np.uint64(64 - SLOTS)] = True
-        #: Half a band: more than any budget, so that a band of two halves holds neighbouring diagonals.
-        self.half = 1 << int(self.budget.max(initial=0) + 1).bit_length()
+        #: Half a band of each item: more than its budget, so that a band of two halves holds neighbouring diagonals.
+        self.half = np.array([1 << (int(b) + 1).bit_length() for b in self.budget], np.int64)
 
     def bands(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """item and first diagonal of each band that reaches its item's bound."""
@@ -130,9 +130,9 @@ class Index:
         n = self.first[found + 1] - self.first[found]
         entry = np.repeat(self.first[found] - np.cumsum(n) + n, n) + np.arange(n.sum())
         item = self.item[entry].astype(np.int64)
-        shift = int(self.length.max()) + self.half  # diagonals before the text are not below 0
-        half_band = (np.repeat(at, n) - self.place[entry] + shift) // self.half
-        width = (len(chars) + 2 * shift) // self.half + 2
+        shift = int(self.length.max()) + int(self.half.max())  # diagonals before the text are not below 0
+        half_band = (np.repeat(at, n) - self.place[entry] + shift) // self.half[item]
+        width = (len(chars) + 2 * shift) // int(self.half.min()) + 2
         key, count = np.unique(item * width + half_band, return_counts=True)
         # The band that begins with a half, and the one that ends with it, counted together with its neighbour.
         after = np.append(np.where(key[1:] == key[:-1] + 1, count[1:], 0), 0) if len(key) else count
@@ -140,47 +140,55 @@ class Index:
         bound = self.bound[key // width]
         band = np.unique(np.concatenate([key[count + after >= bound], key[count + before >= bound] - 1]))
         item = band // width
-        return item, (band - item * width) * self.half - shift
-
-    def align(self, chars: np.ndarray, item: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
-        """The fewest edits between each item and any part of the text along its band of diagonals."""
-        slack = int(self.budget.max(initial=0)) + 1
-        width = 2 * self.half + 2 * slack
-        steps, column = np.arange(width), np.arange(width)[None, :]
+        return item, (band - item * width) * self.half[item] - shift
+
+    def align(self, chars: np.ndarray, item: np.ndarray, diagonal: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where an item, along its band of diagonals, ends within its budget in a part of one text: number of
+        the band, the place after that part, and the edits. All items have halves of one size."""
+        slack = int(self.budget[item].max()) + 1
+        width = 2 * int(self.half[item[0]]) + 2 * slack
+        far = slack + int(self.length[item].max())  # no alignment goes over the end of a text
+        column = np.arange(width)[None, :]
         longest = self.length[item].max(initial=0)
         spelled = np.full((len(item), longest + 1), ENDS, np.uint32)
         for k, i in enumerate(item):
             spelled[k, : self.length[i]] = self.items[i]
         start = diagonal[:, None] - slack + column  # the text's place on each diagonal, for the item's first character
-        row = np.zeros((len(item), width), np.int32)
-        best = np.full(len(item), 1 << 20, np.int32)
+        row = np.where((start >= 0) & (start < len(chars)), 0, far)
+        hits = []
         for j in range(longest):
             at = start + j
             inside = (at >= 0) & (at < len(chars))
-            same = inside & (chars[np.clip(at, 0, len(chars) - 1)] == spelled[:, j : j + 1])
-            # Along a diagonal; from the diagonal above, which skips the item's character; then within the row.
-            new = row + ~same
+            here = np.where(inside, chars[np.clip(at, 0, len(chars) - 1)], ENDS)
+            closed = here == ENDS
+            # Along a diagonal; from the diagonal above, which skips the item's character; then within the row,
+            # which skips the text's characters.
+            new = np.minimum(row + np.where(closed, far, here != spelled[:, j : j + 1]), far)
             new[:, :-1] = np.minimum(new[:, :-1], row[:, 1:] + 1)
-            row = (np.minimum.accumulate(new - steps, axis=1) + steps).astype(np.int32)
-            ends = self.length[item] == j + 1
-            best[ends] = row[ends].min(axis=1)
-        return best
+            steps = np.cumsum(np.where(closed, far, 1), axis=1)
+            row = np.minimum.accumulate(new - steps, axis=1) + steps
+            ends = np.flatnonzero(self.length[item] == j + 1)
+            if len(ends):
+                line, cell = np.nonzero(row[ends] <= self.budget[item[ends]][:, None])
+                hits.append((ends[line], start[ends[line], cell] + j + 1, row[ends[line], cell]))
+        return tuple(np.concatenate(x) for x in zip(*hits, strict=True))
 
     def search(self, texts: list[str | None]) -> list[list[tuple[int, int]]]:
         """For each text the items in it, as (number of the item, edits)."""
-        found: list[list[tuple[int, int]]] = [[] for _ in texts]
+        found: list[dict[int, int]] = [{} for _ in texts]
         if not self.ids or not texts:
-            return found
+            return [[] for _ in texts]
         chars, starts = normalised([t or "" for t in texts], self.table)
         items, diagonals = self.bands(chars)
-        for k in range(0, len(items), ALIGNED):
-            item, diagonal = items[k : k + ALIGNED], diagonals[k : k + ALIGNED]
-            edits = self.align(chars, item, diagonal)
-            for i, d, e in zip(item, diagonal, edits, strict=True):
-                if e <= self.budget[i]:
-                    middle = min(max(int(d) + self.half + int(self.length[i]) // 2, 0), len(chars) - 1)
-                    found[int(np.searchsorted(starts, middle, side="right")) - 1].append((int(i), int(e)))
-        return [sorted({i: min(e for j, e in f if j == i) for i, _ in f}.items()) for f in found]
+        for half in np.unique(self.half[items]):
+            of = np.flatnonzero(self.half[items] == half)
+            for k in range(0, len(of), ALIGNED):
+                item, diagonal = items[of[k : k + ALIGNED]], diagonals[of[k : k + ALIGNED]]
+                band, place, edits = self.align(chars, item, diagonal)
+                text = np.searchsorted(starts, place - 1, side="right") - 1  # the one that holds the last character
+                for t, i, e in zip(text.tolist(), item[band].tolist(), edits.tolist(), strict=True):
+                    found[t][i] = min(e, found[t].get(i, e))
+        return [sorted(f.items()) for f in found]
 
 
 def blocks(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple]]:

@@ -174,6 +174,21 @@ def test_alignment_is_the_edit_distance():
     assert index.search(["the quick brown cat jumps over a lazy dog"]) == [[]]
 
 
+def test_hits_belong_to_the_text_that_holds_the_item():
+    r = random.Random(15)
+    letters = lambda n: "".join(r.choice("abcdefghijklmnop") for _ in range(n))
+    short, long = letters(81), letters(1600)
+    for items in ([short], [short, long]):
+        index = decontaminate.Index(list(enumerate(items)), decontaminate.lower_table(), 10, 0.08)
+        for offset in range(0, 160, 3):
+            pad = letters(200 + offset)
+            texts = [pad, letters(90) + short, letters(90), short + letters(90), letters(30), short, short[:40] + "q" + short[41:], letters(20)]
+            assert index.search(texts) == [[], [(0, 0)], [], [(0, 0)], [], [(0, 0)], [(0, 1)], []]
+    # An item in two halves, at the end of one text and the beginning of the next, is in neither.
+    assert index.search([letters(50) + short[:40], short[40:] + letters(50)]) == [[], []]
+    assert index.search([letters(9), long, long + "q", None, short]) == [[], [(1, 0)], [(1, 0)], [], [(0, 0)]]
+
+
 # --- 6: mixing
 
 
