@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendgrain.llm import brown, chat, decontaminate, language, mixing, order_minhash, quality, secret_scan, spans, url_filter
+from spendgrain.llm import brown, chat, collocations, decontaminate, language, mixing, order_minhash, quality, secret_scan, spans, url_filter
 from spendgrain.sources.testdata import table
 
 #: Names of hosts that the URL list is made of. Fixed values.
@@ -80,6 +80,10 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.mine(table(spark, sf, "documents").select("lang", "text"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -93,6 +97,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_order_minhash,
         op9_quality,
         op10_language,
+        op11_collocations,
     )
 }
 
@@ -139,4 +144,37 @@ SELECT conv_id, CAST(len(turns) AS INTEGER) AS n_turns, n_equal,
 FROM reps r WHERE NOT EXISTS (SELECT 1 FROM proper p WHERE p.turns = r.turns)
 """
 
-LLM_ORACLE: dict[str, str] = {"op1_url_filter": _URL, "op4_chat_format": _CHAT}
+_PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM words GROUP BY lang),
+sized AS (SELECT lang, w, unnest([1, 2, 3, 4, 5]) AS size FROM words),
+starts AS (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM sized WHERE len(w) >= size),
+counts AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, CAST(count(*) AS HUGEINT) AS f
+  FROM starts GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (SELECT lang, phrase, f AS a, size, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM counts WHERE size > 1),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, t.n, 1000 * c.a * t.n // (x.f * y.f) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')
+  JOIN totals t ON t.lang = c.lang),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS pick FROM scored),
+longer AS (SELECT lang, f, size, string_split(phrase, ' ') AS w FROM counts WHERE size > 2),
+inside AS (SELECT lang, f, w, size, unnest(range(2, size)) AS short FROM longer),
+parts AS (SELECT lang, f, w, short, unnest(range(1, size - short + 2)) AS i FROM inside),
+covering AS (SELECT lang, array_to_string(w[i:i + short - 1], ' ') AS phrase, max(f) AS f FROM parts GROUP BY ALL),
+ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM best b LEFT JOIN covering c ON c.lang = b.lang AND c.phrase = b.phrase
+  WHERE pick = 1 AND (c.f IS NULL OR 100 * c.f < 100 * a))
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+LLM_ORACLE: dict[str, str] = {"op11_collocations": _PHRASES, "op1_url_filter": _URL, "op4_chat_format": _CHAT}
