@@ -442,6 +442,14 @@ ORACLE: dict[str, str] = {
         "2 * count(*) filter (where seq % 7 = 0) as bad_records, cast(0 as bigint) as broken_states from dirty "
         "union all select 'records', count(*), 0, count(*) filter (where seq % 7 = 0) from dirty",
     ),
+    "csv_quoted_records": _with(
+        _DIRTY,
+        "select transaction_date, transaction_id, gender, age, marital_status, "
+        "case when seq % 7 = 0 then 'New' || chr(10) || 'York \"NY\"' else state_names end as state_names, "
+        "segment, employees_status, payment_method, referral, "
+        "case when seq % 11 = 0 then amount_spent || chr(10) || 'net, \"' else amount_spent end as amount_spent, "
+        "cast(null as varchar) as bad_record from dirty",
+    ),
     "rejected_after_two_runs": _with(
         f"{_CLEAN} judged",
         "select reject_reason, count(*) as row_count from judged where not good group by reject_reason",
@@ -542,4 +550,13 @@ ORACLE: dict[str, str] = {
     "stream_quarterly": _with(
         f"{_CLEAN} kept q0 q1 f2", "select * from f2", source="(select * from kept where transaction_date is not null)"
     ),
+    "stream_any_order": _with(
+        f"{_CLEAN} kept",
+        "select cast(year(transaction_date) as int) as year, cast(month(transaction_date) as int) as month, "
+        "count(*) as row_count, cast(sum(amount_spent) as decimal(28,2)) as amount from kept "
+        "where transaction_date is not null group by all",
+    ),
+    "stream_deltas": _with(
+        f"{_CLEAN} kept q0 q1 f2", "select * from f2", source="(select * from kept where transaction_date is not null)"
+    ),
 }

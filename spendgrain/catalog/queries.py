@@ -19,6 +19,7 @@ from spendgrain.sources.files import BAD_RECORD, FILE_ORDER, inventory, read_csv
 from spendgrain.sources.scratch import scratch_folder
 from spendgrain.sources.store import read_features, read_log, with_snapshot_date
 from spendgrain.sources.testdata import dirty_transactions, table, transactions
+from spendgrain.streaming.exact import exact_quarterly, exact_transactions, start_exact_intake
 from spendgrain.streaming.intake import read_csv_stream, start_intake, stored_quarterly
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +117,14 @@ def csv_quoted_breaks(spark: SparkSession, sf: str) -> DataFrame:
     return by_line.unionByName(read_csv(spark, folder, multiLine="true").agg(F.lit("records").alias("read_by"), *counts))
 
 
+def csv_quoted_records(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows as read from files with line breaks in states and in the last column, split and read in parallel."""
+    state = F.expr("CASE WHEN seq % 7 = 0 THEN 'New\nYork \"NY\"' ELSE State_names END")
+    amount = F.expr("CASE WHEN seq % 11 = 0 THEN concat(Amount_spent, '\nnet, \"') ELSE Amount_spent END")
+    folder = _as_csv(spark, dirty_transactions(spark, sf).withColumns({"State_names": state, "Amount_spent": amount}))
+    return cleaning.standard_names(read_csv(spark, folder, quotedBreaks="true").drop(*FILE_ORDER))
+
+
 def rejected_after_two_runs(spark: SparkSession, sf: str) -> DataFrame:
     """Two ingestion runs into one store; what each one rejected is still there."""
     root, rows = scratch_folder(spark, "store"), dirty_transactions(spark, sf)
@@ -444,7 +453,10 @@ def _streamed(spark: SparkSession, sf: str) -> str:
 
 
 def stream_intake(spark: SparkSession, sf: str) -> DataFrame:
-    raw = read_raw(spark, f"{_streamed(spark, sf)}/raw")
+    return _by_month(read_raw(spark, f"{_streamed(spark, sf)}/raw"))
+
+
+def _by_month(raw: DataFrame) -> DataFrame:
     return raw.groupBy("year", "month").agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("amount_spent").cast("decimal(28,2)").alias("amount")
     )
@@ -454,6 +466,25 @@ def stream_quarterly(spark: SparkSession, sf: str) -> DataFrame:
     return _result(stored_quarterly(spark, _streamed(spark, sf)))
 
 
+def _arrived_late(spark: SparkSession, sf: str) -> str:
+    """The dirty rows as a stream in which all later copies come before the first ones; the root of its store."""
+    rows, folder, root = dirty_transactions(spark, sf), scratch_folder(spark, "csv"), scratch_folder(spark, "stream")
+    median = cleaning.age_profile(cleaning.parse(rows)).first()["median_age"]
+    for part, copies in (("b", "seq > 1000000000"), ("a", "seq <= 1000000000")):
+        rows.where(copies).orderBy("seq").drop("seq").write.option("header", True).option("escape", '"').csv(f"{folder}/{part}")
+        stream = read_csv_stream(spark, f"{folder}/*", files_per_trigger=4)
+        start_exact_intake(stream, root, f"{root}/checkpoint", median).awaitTermination()
+    return root
+
+
+def stream_any_order(spark: SparkSession, sf: str) -> DataFrame:
+    return _by_month(exact_transactions(spark, _arrived_late(spark, sf)))
+
+
+def stream_deltas(spark: SparkSession, sf: str) -> DataFrame:
+    return _result(exact_quarterly(spark, _arrived_late(spark, sf)))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -493,6 +524,7 @@ QUERIES: dict[str, Query] = {
         month_intake,
         run_all_features,
         csv_quoted_breaks,
+        csv_quoted_records,
         rejected_after_two_runs,
         execution_log,
         recent_executions,
@@ -516,5 +548,7 @@ QUERIES: dict[str, Query] = {
         dq_limits,
         stream_intake,
         stream_quarterly,
+        stream_any_order,
+        stream_deltas,
     )
 }

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from spendgrain.functions.calendar import with_months
 from spendgrain.schema import MONEY, REQUIRED_COLUMNS
+from spendgrain.sources.records import read_records
 
 # Columns that place a row within the scanned files, taken at the scan before any shuffle.
 FILE_ORDER = ("_file", "_block", "_row")
@@ -30,6 +31,9 @@ CSV_OPTIONS = {
     "columnPruning": False,
 }
 
+# Own option of read_csv: line breaks inside quotes belong to the record.
+QUOTED_BREAKS = "quotedBreaks"
+
 _PARTITIONS = [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())]
 _REJECTED_IN = "rejected_in"
 _FOLDERS = ("year", "month", _REJECTED_IN)
@@ -57,13 +61,16 @@ def read_csv(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """All columns as text, bad_record, and the row's place in the files.
 
     Files are split and read in parallel; every line is a record, and one that is not whole has its
-    text in bad_record. The option multiLine="true" reads line breaks inside quotes, one task per
-    file; without it only a line that breaks within its last column still passes as whole. Every
-    file's header is checked against the first one's.
+    text in bad_record. Line breaks inside quotes are read with quotedBreaks="true", still by many tasks
+    per file at the price of one shuffle, or with Spark's multiLine="true", one task per file;
+    without either a line that breaks within its last column passes as whole. Every file's header is checked against the first one's.
     """
     columns = csv_header(spark, path)
     check_columns(columns)
-    scan = spark.read.schema(csv_schema(columns)).options(**{**CSV_OPTIONS, **options}).csv(path)
+    options = {**CSV_OPTIONS, **options}
+    if str(options.pop(QUOTED_BREAKS, "false")).lower() == "true":
+        return read_records(spark, path, columns, csv_schema(columns), **options)
+    scan = spark.read.schema(csv_schema(columns)).options(**options).csv(path)
     return with_file_order(scan)
 
 
