@@ -1,7 +1,8 @@
 """Phrase collocation mining over sorted count streams.
 
-Phrases of one word more are counted only where both of their shorter phrases are frequent, one order after the
-other. The frequent phrases of all orders then lie in two streams: in prefix order (sorted by their words from the
+Texts are read three times: for words, for pairs of frequent words (by hash, to see which may be frequent), and for the runs of
+words in which every pair may be. Pairs and longer phrases are counted in these runs, one order after the other, where
+both of their shorter phrases are frequent. The frequent phrases of all orders then lie in two streams: in prefix order (sorted by their words from the
 first) and in suffix order (from the last). In prefix order everything a phrase begins with stands before
 it and is still open when it is read, so one pass in lockstep with a stack of open phrases gives the counts of all first parts, and
 shows which phrases an extension to the right covers; the pass in suffix order does the same for last parts and
@@ -69,16 +70,16 @@ class Filter:
         self.bits, self.marked = bits, marked
 
     @staticmethod
-    def places(lang: str, words: list[np.ndarray], bits: int) -> np.ndarray:
+    def hashes(lang: str, words: list[np.ndarray]) -> np.ndarray:
         """words: for each place in the phrase, the hashes of the words there."""
         h = np.full(len(words[0]), xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass")), np.uint64)
         for w in words:
             h = (h ^ w) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
-        return (h * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - bits)).astype(np.int64)
+        return h * np.uint64(0xBF58476D1CE4E5B9)
 
     def hits(self, lang: str, words: list[np.ndarray]) -> np.ndarray:
-        at = self.places(lang, words, self.bits)
+        at = (self.hashes(lang, words) >> np.uint64(64 - self.bits)).astype(np.int64)
         return (self.marked[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
@@ -86,18 +87,24 @@ def _hash(words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
 
 
-def frequent_filter(phrases: DataFrame, order: int) -> Filter:
-    """phrases: lang, phrase of `order` words. 64 bits for each phrase, up to 2**MAX_BITS in all."""
-    bits = min(max(phrases.count() * 64, 1 << 16).bit_length(), MAX_BITS)
+def phrase_places(phrases: DataFrame, order: int) -> DataFrame:
+    """phrases: lang, phrase of `order` words. The first MAX_BITS bits of their hashes."""
 
     def placed(batches):
         for batch in batches:
             for lang, group in batch.groupby("lang")["phrase"]:
                 words = [p.encode("utf-8", "surrogatepass").split(b" ") for p in group]
-                yield pd.DataFrame({"place": Filter.places(lang, [_hash([w[i] for w in words]) for i in range(order)], bits) + 1})
+                h = Filter.hashes(lang, [_hash([w[i] for w in words]) for i in range(order)])
+                yield pd.DataFrame({"place": (h >> np.uint64(64 - MAX_BITS)).astype(np.int64)})
 
-    rows = phrases.select("lang", "phrase").mapInPandas(placed, "place long")
-    blocks = rows.groupBy(F.bitmap_bucket_number("place").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    return phrases.select("lang", "phrase").mapInPandas(placed, "place long")
+
+
+def filter_of(places: DataFrame) -> Filter:
+    """places: place, the first MAX_BITS bits of hashes. 64 bits for each, up to 2**MAX_BITS in all."""
+    bits = min(max(places.count() * 64, 1 << 16).bit_length(), MAX_BITS)
+    place = F.shiftright("place", MAX_BITS - bits) + 1
+    blocks = places.groupBy(F.bitmap_bucket_number(place).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
     marked = np.zeros((1 << bits) // 8, np.uint8)
     # Block b, counted from 1, is the bitmap of 32,768 places in 4,096 bytes.
     for b, block in blocks.collect():
@@ -195,9 +202,41 @@ def phrase_counts(rows: DataFrame, order: int, known: Filter | None = None) -> D
     return found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
+def pair_places(rows: DataFrame, known: Filter, least: int, total: int) -> DataFrame:
+    """place of the pairs of neighbouring words that may come `least` times. Only hashes are counted, since most pairs are rare: what
+    comes often enough is counted by its words later. A task sends the hashes in blocks by their first bits, of which there are
+    so many that a block has some 100,000 hashes in all."""
+    first = max(6, (total // 100_000).bit_length())
+
+    def counted(batches):
+        for held in batches_of_tokens(batches):
+            found = []
+            for lang, said in held.languages():
+                shorter = held.frequent(lang, said, 1, known)
+                at = np.flatnonzero(shorter[:-1] & shorter[1:])
+                found.append(Filter.hashes(lang, [held.hashes[said[at]], held.hashes[said[at + 1]]]))
+            hashes, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
+            if len(hashes):
+                block = (hashes >> np.uint64(64 - first)).astype(np.int64)
+                starts = np.flatnonzero(np.diff(block, prepend=-1))
+                rest = (hashes >> np.uint64(32 - first)).astype(np.uint32)
+                parts = list(zip(starts.tolist(), [*starts[1:].tolist(), len(block)], strict=True))
+                yield pd.DataFrame({"block": block[starts], "rest": [rest[a:b].tobytes() for a, b in parts], "n": [n[a:b].astype(np.int32).tobytes() for a, b in parts]})
+
+    def summed(key, block):
+        rest, number = np.unique(np.frombuffer(b"".join(block["rest"]), np.uint32), return_inverse=True)
+        n = np.zeros(len(rest), np.int64)
+        np.add.at(n, number, np.frombuffer(b"".join(block["n"]), np.int32))
+        whole = (np.int64(key[0]) << 32) + rest[n >= least].astype(np.int64)
+        return pd.DataFrame({"place": np.unique(whole >> (first + 32 - MAX_BITS))})
+
+    blocks = rows.select("lang", "text", "copies").mapInPandas(counted, "block long, rest binary, n binary")
+    return blocks.groupBy("block").applyInPandas(summed, "place long")
+
+
 def frequent_runs(rows: DataFrame, order: int, known: Filter) -> DataFrame:
-    """lang, text and copies of the longest runs of words in which every phrase of `order` words is let through,
-    of one word more at least. Longer frequent phrases are in these alone."""
+    """lang, text and copies of the longest runs of words in which every phrase of `order` words is let through.
+    Frequent phrases of so many words or more are in these alone."""
 
     def cut_out(batches):
         for held in batches_of_tokens(batches):
@@ -205,8 +244,6 @@ def frequent_runs(rows: DataFrame, order: int, known: Filter) -> DataFrame:
             for lang, said in held.languages():
                 inside = np.concatenate(([False], held.frequent(lang, said, order, known), [False]))
                 start, end = np.flatnonzero(~inside[:-1] & inside[1:]), np.flatnonzero(inside[:-1] & ~inside[1:])
-                longer = end - start > 1
-                start, end = start[longer], end[longer]
                 times: Counter = Counter()
                 for a, b, n in zip(start.tolist(), end.tolist(), held.times(lang, said, start).tolist(), strict=True):
                     times[said[a : b + order - 1].tobytes()] += n
@@ -225,9 +262,10 @@ def frequent_phrases(documents: DataFrame, least: int, longest: int) -> tuple[Da
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
     orders = [words.where(F.col("n") >= least)]
     for order in range(2, longest + 1):
-        known = frequent_filter(orders[-1], order - 1)
-        if order == 3:
-            rows = cut(frequent_runs(rows, 2, known))
+        known = filter_of(cut(phrase_places(orders[-1], order - 1)))
+        if order == 2:
+            every = totals.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+            rows = cut(frequent_runs(rows, 2, filter_of(cut(pair_places(rows, known, least, every)))))
         orders.append(cut(phrase_counts(rows, order, known).where(F.col("n") >= least)))
     every = None
     for order, found in enumerate(orders, start=1):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendgrain.llm import brown, chat, collocations, decontaminate, language, mixing, order_minhash, quality, secret_scan, spans, url_filter
+from spendgrain.llm import brown, chat, collocations, decontaminate, language, mixing, order_minhash, passages, quality, secret_scan, spans, url_filter, variants
 from spendgrain.sources.testdata import table
 
 #: Names of hosts that the URL list is made of. Fixed values.
@@ -84,6 +84,21 @@ def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return collocations.mine(table(spark, sf, "documents").select("lang", "text"))
 
 
+def op12_variants(spark: SparkSession, sf: str) -> DataFrame:
+    """One in 97 words of a document loses a code point, so that there are misspellings of known origin."""
+    counts = variants.word_counts(table(spark, sf, "documents").select("doc_id", "text"), slips=97)
+    return variants.group_variants(counts)
+
+
+def op13_passages(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels of documents whose id has a checksum of 0 modulo 5 are held out."""
+    documents, labels = table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model = passages.learn(documents, labels.where(~held_out))
+    found = passages.score(documents, model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -98,6 +113,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality,
         op10_language,
         op11_collocations,
+        op12_variants,
+        op13_passages,
     )
 }
 
