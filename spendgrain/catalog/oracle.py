@@ -131,6 +131,20 @@ join active a on a.segment = p.segment and a.state_names = p.state_names and a.y
 left join active b on b.segment = a.segment and b.state_names = a.state_names
   and b.customer_key = a.customer_key and b.yq = p.prev_yq
 group by p.year, p.quarter, p.segment, p.state_names, p.customers, p.prev_customers""",
+    "written": """
+select cast(seq % 3 as int) as part, case when seq % 3 = 1 or (seq % 3 = 2 and seq % 2 = 0)
+  then coalesce(strftime(try_cast(transaction_date as date), '%d/%m/%Y'), transaction_date) else transaction_date end as d
+from dirty""",
+    "readable": " union all ".join(
+        f"select part, '{name}' as date_format, {place} as place, count(d) as given, count(try_strptime(d, '{pattern}')) as readable "
+        "from written group by part"
+        for place, (name, pattern) in enumerate(
+            {
+                "yyyy-MM-dd": "%Y-%m-%d", "dd/MM/yyyy": "%d/%m/%Y", "MM/dd/yyyy": "%m/%d/%Y", "yyyy/MM/dd": "%Y/%m/%d",
+                "dd.MM.yyyy": "%d.%m.%Y", "yyyyMMdd": "%Y%m%d", "yyyy-MM-dd HH:mm:ss": "%Y-%m-%d %H:%M:%S",
+            }.items()
+        )
+    ),
     "ml_parts": """
 select f1.segment as customer_segment, f1.state_names, f1.total_transactions, f1.total_amount_spent,
   f1.avg_transaction_amount, f1.std_transaction_amount, f1.days_active, f1.avg_days_between_transactions,
@@ -436,6 +450,85 @@ ORACLE: dict[str, str] = {
         "cast(sum(amount_spent) as decimal(28,2)) as total_amount_spent "
         "from judged where good group by segment, state_names",
     ),
+    "ml_training_nested": _with(
+        f"{_SETS}",
+        "select f1.segment as customer_segment, f1.state_names, total_transactions, total_amount_spent, "
+        "(select total_revenue from f4 where f4.state_names = f1.state_names) as state_revenue, "
+        "q.n as n_quarters, p.n as n_payments, q.n * p.n as flat_rows, round(q.g * p.n, 4) as flat_growth, round(p.u * q.n, 4) as flat_shares "
+        "from f1 left join (select state_names, count(*) as n, sum(revenue_growth_rate) as g from f2 group by all) q using (state_names) "
+        "left join (select segment, count(*) as n, sum(usage_percentage) as u from f3 group by all) p using (segment)",
+    ),
+    "sketched_customers": _with(
+        "tx active",
+        _union(
+            [
+                f"select '{grain}' as grain, {', '.join(f'{c} as {n}' for n, c in columns.items())}, "
+                "count(distinct customer_key) as customers, true as within_bounds from active group by all"
+                for grain, columns in (
+                    ("quarter", {"segment": "segment", "state_names": "state_names", "quarter_no": "cast(yq - 1 as int)"}),
+                    ("group", {"segment": "segment", "state_names": "state_names", "quarter_no": "null"}),
+                    ("state", {"segment": "null", "state_names": "state_names", "quarter_no": "null"}),
+                    ("all", {"segment": "null", "state_names": "null", "quarter_no": "null"}),
+                )
+            ]
+        ),
+    ),
+    "sketched_cohorts": _with(
+        "tx active first_seen cohorts present retention",
+        "select c.*, r.retained_customers, true as within_bounds "
+        "from cohorts c join retention r using (year, quarter, segment, state_names)",
+    ),
+    "bitmap_cohorts": _with(
+        "tx active first_seen cohorts present retention",
+        "select c.*, r.retained_customers from cohorts c join retention r using (year, quarter, segment, state_names)",
+    ),
+    "exact_medians": _with(
+        "tx",
+        _union(
+            [
+                f"select '{c}' as column_name, count({c}) as row_count, round(median(cast({c} as double)), 4) as median from {t}"
+                for c, t in (("amount_spent", "tx"), ("l_extendedprice", "lineitem"), ("l_quantity", "lineitem"))
+            ]
+        ),
+    ),
+    "frequent_customers": _with(
+        "tx",
+        "select case when often then value end as value, cast(sum(n) as bigint) as row_count, not often as other from ("
+        "select cast(customer_key as varchar) as value, count(*) as n, count(*) >= 0.001::double * (select count(*) from tx) as often "
+        "from tx group by customer_key) group by case when often then value end, often",
+    ),
+    "date_formats": _with(
+        f"{_DIRTY} written readable",
+        "select part, date_format, given, readable, readable > 0 and place = first_value(place) over (partition by part "
+        "order by readable desc, place) as chosen, readable > 0 and place = first_value(place) over (partition by part "
+        "order by readable desc, place) and count(*) over (partition by part, readable) > 1 as tied from readable",
+    ),
+    "metadata_documents": _union(
+        [
+            "select * from ("
+            + _with(
+                f"{_CLEAN} judged",
+                "select count(*) as total_records, cast(min(transaction_date) as varchar) as min_date, "
+                "cast(max(transaction_date) as varchar) as max_date, cast(sum(amount_spent) as decimal(28,2)) as total_revenue, "
+                "count(distinct state_names) as states_count from judged where good",
+            ).replace("from first_text where seq % 10 = 0", f"from first_text where seq % 10 = 0 and seq % 2 = {part}").replace(
+                "select * from first_text union all", f"select * from first_text where seq % 2 = {part} union all"
+            )
+            + ")"
+            for part in (0, 1)
+        ]
+    ),
+    "stored_views": _with(
+        f"{_CLEAN} judged",
+        "select segment as customer_segment, state_names, count(distinct year(transaction_date) * 4 + quarter(transaction_date)) as quarters, "
+        "count(transaction_id) as total_transactions, cast(sum(amount_spent) as decimal(28,2)) as total_amount_spent "
+        "from judged where good group by segment, state_names",
+    ),
+    "stored_snapshots": _with(
+        "tx f1",
+        "select unnest([date '2001-08-08', date '2001-10-01']) as snapshot_date, count(*) as row_count, "
+        "cast(sum(total_amount_spent) as decimal(28,2)) as amount from f1",
+    ),
     "csv_quoted_breaks": _with(
         _DIRTY,
         "select 'lines' as read_by, count(*) + count(*) filter (where seq % 7 = 0) as rows_in, "

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from spendgrain.functions.calendar import with_months, with_quarters
 from spendgrain.functions.measures import measures, merge_measures
-from spendgrain.operators import cleaning, cohorts, distributions, quality, statistics, views
+from spendgrain.operators import cleaning, cohorts, distributions, formats, frequent, quality, selection, sketches, statistics, views
 from spendgrain.operators import features as fs
 from spendgrain.plans.ingestion import run_ingestion
-from spendgrain.plans.refresh import run_all, stage_report, stored_measures
+from spendgrain.plans.refresh import open_store, run_all, stage_report, stored_measures
 from spendgrain.schema import conform
 from spendgrain.sources.files import BAD_RECORD, FILE_ORDER, inventory, read_csv, read_raw, read_stored, rejected_rows, write_monthly
 from spendgrain.sources.scratch import scratch_folder
-from spendgrain.sources.store import read_features, read_log, with_snapshot_date
+from spendgrain.sources.store import read_features, read_log, with_snapshot_date, write_snapshot
 from spendgrain.sources.testdata import dirty_transactions, table, transactions
 from spendgrain.streaming.exact import exact_quarterly, exact_transactions, start_exact_intake
 from spendgrain.streaming.intake import read_csv_stream, start_intake, stored_quarterly
@@ -247,6 +247,28 @@ def ml_training_features_alt(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def ml_training_nested(spark: SparkSession, sf: str) -> DataFrame:
+    """The nested view with the counts of its arrays, and sums over the rows that it stands for."""
+    sets = _sets_without_distinct_ids(spark, sf)
+    nested = views.ml_training_nested(
+        sets["customer_features"], sets["quarterly_features"], sets["payment_features"], sets["state_features"]
+    )
+    shares = F.aggregate("payments", F.lit(0.0), lambda a, p: a + p["payment_method_diversity"])
+    growth = F.aggregate("quarters", F.lit(0.0), lambda a, q: a + F.coalesce(q["qoq_revenue_growth"], F.lit(0.0)))
+    return nested.select(
+        "customer_segment",
+        "state_names",
+        "total_transactions",
+        "total_amount_spent",
+        "state_revenue",
+        F.size("quarters").cast("long").alias("n_quarters"),
+        F.size("payments").cast("long").alias("n_payments"),
+        "flat_rows",
+        F.round(growth * F.size("payments"), 4).alias("flat_growth"),
+        F.round(shares * F.size("quarters"), 4).alias("flat_shares"),
+    )
+
+
 def revenue_by_state(spark: SparkSession, sf: str) -> DataFrame:
     parts = measures(transactions(spark, sf), "state_names", "segment", "payment_method")
     return views.revenue_by_state(fs.finish_state(parts, None))
@@ -466,6 +488,102 @@ def stream_quarterly(spark: SparkSession, sf: str) -> DataFrame:
     return _result(stored_quarterly(spark, _streamed(spark, sf)))
 
 
+# counts that merge, selection, frequent values
+
+
+def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    folder = scratch_folder(spark, name)
+    df.write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def sketched_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored sketches and bitmaps rolled up to every grain: the exact count, and whether the estimate is within its bound."""
+    tx = transactions(spark, sf)
+    kept = _stored(spark, sketches.customer_sketches(tx, CUSTOMER), "sketches")
+    exact = _stored(spark, sketches.customer_bitmaps(tx, CUSTOMER), "bitmaps")
+    grains = {"quarter": (*fs.CUSTOMER_KEYS, "quarter_no"), "group": fs.CUSTOMER_KEYS, "state": ("state_names",), "all": ()}
+    every = None
+    for grain, keys in grains.items():
+        mark = F.lit(grain).alias("grain")
+        counted = sketches.counted_customers(exact, *keys).select(mark, "*")
+        estimated = sketches.distinct_customers(kept, *keys).select(mark, "*")
+        both = fs.join_on_keys(counted, estimated, ("grain", *keys))
+        close = (F.abs(F.col("customers") - F.col("customers_estimate")) <= F.col("bound")).alias("within_bounds")
+        one = both.select("grain", *keys, "customers", close)
+        every = one if every is None else every.unionByName(one, allowMissingColumns=True)
+    return every
+
+
+def sketched_cohorts(spark: SparkSession, sf: str) -> DataFrame:
+    """Cohorts from theta sketches against those that meet every customer."""
+    tx = transactions(spark, sf)
+    sketched = sketches.sketch_cohorts(_stored(spark, sketches.customer_sketches(tx, CUSTOMER), "sketches"))
+    return sketches.checked_cohorts(sketched, cohorts.cohort_counts(cohorts.customer_moves(tx, CUSTOMER)))
+
+
+def bitmap_cohorts(spark: SparkSession, sf: str) -> DataFrame:
+    return sketches.bitmap_cohorts(_stored(spark, sketches.customer_bitmaps(transactions(spark, sf), CUSTOMER), "bitmaps"))
+
+
+def exact_medians(spark: SparkSession, sf: str) -> DataFrame:
+    columns = {"amount_spent": transactions(spark, sf), "l_extendedprice": table(spark, sf, "lineitem"), "l_quantity": table(spark, sf, "lineitem")}
+    rows = [(name, *selection.exact_median(df, name)) for name, df in columns.items()]
+    return spark.createDataFrame(rows, "column_name string, row_count long, median double").withColumn("median", F.round("median", 4))
+
+
+def frequent_customers(spark: SparkSession, sf: str) -> DataFrame:
+    return frequent.frequent_values(transactions(spark, sf), CUSTOMER, share=0.001)
+
+
+def date_formats(spark: SparkSession, sf: str) -> DataFrame:
+    """Which pattern reads the dates of three parts of the dirty rows: one as they are, one written day first, one mixed."""
+    day_first = F.expr(
+        "CASE WHEN seq % 3 = 1 OR (seq % 3 = 2 AND seq % 2 = 0) THEN coalesce(date_format(try_cast(Transaction_date AS DATE), 'dd/MM/yyyy'), "
+        "Transaction_date) ELSE Transaction_date END"
+    )
+    rows = dirty_transactions(spark, sf).withColumns({"transaction_date": day_first, "part": F.expr("CAST(seq % 3 AS INT)")})
+    return formats.date_formats(rows, by=("part",))
+
+
+# stored documents, views and snapshots
+
+
+def metadata_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The JSON documents that two ingestion runs left, as read back."""
+    root, rows = scratch_folder(spark, "store"), dirty_transactions(spark, sf)
+    for part in (0, 1):
+        run_ingestion(spark, _as_csv(spark, rows.filter(F.col("seq") % 2 == part)), root)
+    documents = spark.read.json(f"{root}/processed/ingestion_metadata")
+    return documents.select(
+        F.col("statistics.total_records").alias("total_records"),
+        F.col("statistics.date_range.min").alias("min_date"),
+        F.col("statistics.date_range.max").alias("max_date"),
+        F.col("statistics.total_revenue").cast("decimal(28,2)").alias("total_revenue"),
+        F.col("statistics.states_count").alias("states_count"),
+    )
+
+
+def stored_views(spark: SparkSession, sf: str) -> DataFrame:
+    """The training view of a whole run's store, by its name."""
+    open_store(spark, _whole_run(spark, sf))
+    return spark.sql(
+        "SELECT customer_segment, state_names, count(1) AS quarters, max(total_transactions) AS total_transactions, "
+        "max(total_amount_spent) AS total_amount_spent FROM ml_training_features GROUP BY customer_segment, state_names"
+    )
+
+
+def stored_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """Snapshots of two dates, the second one written twice, as read back."""
+    root, features = scratch_folder(spark, "snapshots"), _customer(spark, sf)
+    for day, rows in ((SNAPSHOT, features), (AS_OF, features.limit(0)), (AS_OF, features), (AS_OF, features)):
+        write_snapshot(rows, root, "customer_features", day)
+    kept = read_features(spark, root, "customer_features")
+    return kept.groupBy("snapshot_date").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("total_amount_spent").cast("decimal(28,2)").alias("amount")
+    )
+
+
 def _arrived_late(spark: SparkSession, sf: str) -> str:
     """The dirty rows as a stream in which all later copies come before the first ones; the root of its store."""
     rows, folder, root = dirty_transactions(spark, sf), scratch_folder(spark, "csv"), scratch_folder(spark, "stream")
@@ -548,6 +666,16 @@ QUERIES: dict[str, Query] = {
         dq_limits,
         stream_intake,
         stream_quarterly,
+        ml_training_nested,
+        sketched_customers,
+        sketched_cohorts,
+        bitmap_cohorts,
+        exact_medians,
+        frequent_customers,
+        date_formats,
+        metadata_documents,
+        stored_views,
+        stored_snapshots,
         stream_any_order,
         stream_deltas,
     )

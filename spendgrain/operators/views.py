@@ -61,6 +61,54 @@ def ml_training_features_alt(
     )
 
 
+def ml_training_nested(customer: DataFrame, quarterly: DataFrame, payment: DataFrame, state: DataFrame) -> DataFrame:
+    """The other view, one row per customer group: what it repeats for each pair of a quarter and a payment method stands here once, as
+    the arrays `quarters` (of the state) and `payments` (of the segment). `flat_rows` is the number of rows it stands for."""
+    by_state = quarterly.filter(F.col("state_names").isNotNull()).groupBy("state_names").agg(
+        F.sort_array(F.collect_list(F.struct("year", "quarter", "segment", F.col("revenue_growth_rate").alias("qoq_revenue_growth")))).alias("quarters")
+    )
+    by_segment = payment.filter(F.col("segment").isNotNull()).groupBy("segment").agg(
+        F.sort_array(F.collect_list(F.struct("payment_method", F.col("usage_percentage").alias("payment_method_diversity")))).alias("payments")
+    )
+    states = state.select("state_names", F.col("total_revenue").alias("state_revenue"))
+    joined = customer.join(states, "state_names", "left").join(by_state, "state_names", "left").join(by_segment, "segment", "left")
+    rows = [F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(1)) for c in ("quarters", "payments")]
+    return joined.select(
+        stable_key("segment", "state_names").alias("feature_id"),
+        F.col("segment").alias("customer_segment"),
+        "state_names",
+        "total_transactions",
+        "total_amount_spent",
+        "avg_transaction_amount",
+        "days_active",
+        "avg_age",
+        "referral_rate",
+        "state_revenue",
+        "quarters",
+        "payments",
+        (rows[0] * rows[1]).cast("long").alias("flat_rows"),
+    )
+
+
+def flatten_training(nested: DataFrame) -> DataFrame:
+    """ml_training_features_alt from its nested form."""
+    quarters = nested.select("*", F.explode_outer("quarters").alias("q")).select("*", F.explode_outer("payments").alias("p"))
+    return quarters.select(
+        "feature_id",
+        "customer_segment",
+        "state_names",
+        "total_transactions",
+        "total_amount_spent",
+        "avg_transaction_amount",
+        "days_active",
+        "avg_age",
+        "referral_rate",
+        "q.qoq_revenue_growth",
+        "p.payment_method_diversity",
+        "state_revenue",
+    )
+
+
 def _training_rows(customer: DataFrame, quarterly: DataFrame, state: DataFrame) -> DataFrame:
     states = state.select(
         "state_names",

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spendgrain.operators.cleaning import REJECT_REASONS, age_profile, clean, parse
+from spendgrain.operators.cleaning import REJECT_REASONS, age_profile, clean, parse, standard_names
+from spendgrain.operators.formats import best_format
 from spendgrain.operators.statistics import STATISTICS, batch_summary
 from spendgrain.sources.files import FILE_ORDER, file_order, read_csv, read_stored, write_monthly
 from spendgrain.sources.store import append_log, log_entry, one_row, write_metadata
@@ -34,12 +35,15 @@ def run_ingestion(
     data, not from task counters, so a task that runs twice does not count twice. Only files
     changed since the day before the run are read back.
 
-    `csv_options` go to the CSV reader; {"multiLine": "true"} reads line breaks inside quotes.
+    `csv_options` go to the CSV reader; {"quotedBreaks": "true"} reads line breaks inside quotes.
+    date_format="infer" takes the pattern that reads most dates, found in one more pass.
     """
     started = datetime.now()
     as_of = as_of or started
     try:
         scan = read_csv(spark, csv_path, **(csv_options or {}))
+        if date_format == "infer":
+            date_format = best_format(standard_names(scan))
         # Only these two columns of the profile: of a line only the age goes further than the parser.
         profile = age_profile(parse(scan, date_format)).select("rows_in", "median_age").first()
         batch_id = uuid.uuid4().hex
