@@ -3,8 +3,11 @@
 A text's k-mers are runs of three words, each labelled with how often it has occurred before. A sketch
 takes the labelled k-mers with the smallest hashes and keeps them in the order of the text, so that two texts
 agree in one with a probability that falls with their edit distance; at the edit budget they agree in at least one of
-all with 0.95 or more. Texts that agree in a sketch form a bucket. Each text of a bucket meets the bucket's head as a candidate. What heads leave apart meets by the
-prefix filter: two texts within the edit budget share one of their rarest pairs of words, so texts that have only a common passage in common don't meet.
+all with 0.95 or more. Texts that agree in a sketch form a bucket. Each text of a bucket meets the bucket's head as a candidate. What heads leave apart is compared
+within its bucket by signatures: samples of the words, labelled with how often they have occurred before, whose agreement estimates how
+many words two texts share. Texts within the edit budget share 1 - SIMILARITY less than all, and fall short of that in the
+sample by DEVIATIONS deviations once in some 30,000 pairs; so texts that have only a common passage in common are no candidates. Signatures are compared
+side by side within tasks, of which each holds GROUP texts of a bucket or two parts of a larger one; only candidates leave them.
 A banded alignment of the words verifies each candidate: a link needs at most 1 - SIMILARITY edits per word of the
 longer text. An alignment through shared k-mers within the band is tried first; where it needs too many edits, all
 alignments within bands up to that width are. Classes are the connected components of the links, and do not
@@ -20,7 +23,6 @@ looked at by `near_duplicates`, and pass through `keep_first`.
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 
 import numpy as np
@@ -28,7 +30,6 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from spendgrain.llm.common import cut, ship
 from spendgrain.llm.graph import components
@@ -43,6 +44,8 @@ SKETCHES, KEPT = 32, 2
 #: Cells of a matrix of hashes or alignments that is worked on at a time.
 CELLS = 1 << 20
 FAR = 1 << 28
+#: Bytes of a signature, deviations of its estimate that are allowed for, and texts that are compared within a task.
+BINS, DEVIATIONS, GROUP = 512, 4, 2048
 
 
 class WordHashes(dict):
@@ -248,47 +251,84 @@ def _labelled(rows: DataFrame, joined: DataFrame, node: str, label: str) -> Data
     return rows.join(of, node, "left").withColumn(label, F.coalesce(label, node))
 
 
-def prefix_grams(texts: DataFrame, similarity: float) -> DataFrame:
-    """node, words (their number), gram: of each text the rarest labelled pairs of words, so many that any two texts within the
-    edit budget have one of them in common. e edits leave n - 1 - 2 e of a text's n - 1 pairs."""
-    left = 1 - 2 * (1 - similarity)
-
-    def paired(batches):
+def signature(words: np.ndarray) -> np.ndarray:
+    """BINS bytes: the labelled words fall into bins by their hashes, and 8 bits of the smallest one stand for the bin; 0 is an empty one."""
+    with np.errstate(over="ignore"):
+        h = mixed(labelled_kmers(words, 1))
+    least = np.full(BINS, np.iinfo(np.uint64).max, np.uint64)
+    bins = (h >> np.uint64(40)) % np.uint64(BINS)
+    np.minimum.at(least, bins.astype(np.int64), h & np.uint64((1 << 40) - 1))
+    filled = least != np.iinfo(np.uint64).max
+    return np.where(filled, least % np.uint64(255) + np.uint64(1), 0).astype(np.uint8)
+
+
+def alike(own: np.ndarray, others: np.ndarray, words: int, sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether signatures of texts of those sizes (in words) may be of texts within the edit budget of the one of `own`."""
+    share = similarity / (2 - similarity)  # of all words of two texts, those that both have, at least
+    filled = ((others > 0) | (own > 0)).sum(axis=1)
+    same = ((others == own) & (own > 0)).sum(axis=1)
+    # The filled bins are a sample, without repeats, of the words of both.
+    every = np.maximum((words + sizes) / (1 + share), 2)
+    deviation = np.sqrt(share * (1 - share) * filled * np.clip((every - filled) / (every - 1), 0.02, 1))
+    fits = np.minimum(words, sizes) >= similarity * np.maximum(words, sizes) - 1e-9
+    return fits & (same >= share * filled - DEVIATIONS * deviation - 1)
+
+
+def signatures(texts: DataFrame) -> DataFrame:
+    """node, words (their number) and signature of each text."""
+
+    def signed(batches):
         hashes = WordHashes()
         for batch in batches:
-            nodes, grams, first, lengths = [], [], [], []
-            for node, text in zip(batch["node"], batch["text"], strict=True):
+            sizes, found = [], []
+            for text in batch["text"]:
                 words = words_of(text)
-                with np.errstate(over="ignore"):
-                    h = labelled_kmers(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)), 2)
-                nodes.append(node)
-                lengths.append(len(words))
-                grams.append(h.view(np.int64))
-                first.append(len(h) - max(1, math.ceil(left * len(words) - 1 - 1e-9)) + 1)
-            yield pd.DataFrame({"node": np.array(nodes, np.int64), "words": np.array(lengths, np.int64), "first": np.array(first, np.int64), "grams": pd.Series(grams, dtype=object)})
-
-    rows = cut(texts.mapInPandas(paired, "node long, words long, first long, grams array<long>")).select("node", "words", "first", F.explode("grams").alias("gram"))
-    known = rows.groupBy("gram").agg(F.count("*").alias("n"))
-    ranked = rows.join(known, "gram").withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy("n", "gram")))
-    return ranked.where("rank <= first AND n > 1").select("node", "words", "gram")
+                sizes.append(len(words))
+                found.append(signature(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))).tobytes())
+            yield pd.DataFrame({"node": batch["node"], "words": np.array(sizes, np.int64), "signature": pd.Series(found, dtype=object)})
+
+    return texts.select("node", "text").mapInPandas(signed, "node long, words long, signature binary")
+
+
+def candidates_within(rows: pd.DataFrame, similarity: float) -> np.ndarray:
+    """rows: node, component, part, words, signature of one bucket, or of two parts of it. Pairs of nodes of different components, of
+    different parts where there are two, whose signatures are alike."""
+    node, component, part = (rows[c].to_numpy() for c in ("node", "component", "part"))
+    words, signs = rows["words"].to_numpy(), np.frombuffer(b"".join(rows["signature"]), np.uint8).reshape(-1, BINS)
+    found, parts = [np.zeros((0, 2), np.int64)], part.min() != part.max()
+    for i in range(len(rows) - 1):
+        open_ = component[i + 1 :] != component[i]
+        if parts:
+            open_ &= part[i + 1 :] != part[i]
+        others = np.flatnonzero(open_) + i + 1
+        if len(others):
+            near = others[alike(signs[i], signs[others], words[i], words[others], similarity)]
+            found.append(np.stack([np.full(len(near), node[i]), node[near]], axis=1))
+    return np.concatenate(found)
 
 
 def open_pairs(shared: DataFrame, joined: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """a, b: pairs of texts of buckets that still hold several components, of different components and with a
-    rare pair of words in common, of lengths that fit; all those within the edit budget are among them."""
+    """a, b: candidates among the texts of buckets that still hold several components, of different components.
+
+    A bucket of more than GROUP texts is dealt out in parts, and each two parts meet in one group."""
     members = _labelled(shared.select("key", "node"), joined, "node", "component")
-    several = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    nodes = cut(members.join(several, "key", "left_semi").select("node", "component").distinct())
-    rows = cut(prefix_grams(texts.join(nodes, "node", "left_semi"), similarity).join(nodes, "node"))
-    parts = rows.groupBy("gram", "component").agg(F.count("*").alias("n"))
-    largest = parts.groupBy("gram").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1")
-    rows = cut(rows.join(largest.select("gram", F.col("most.component").alias("largest")), "gram"))
-    # One text of each pair is outside the gram's largest component; if both are, the pair is taken from its larger node.
-    few = rows.where("component <> largest").select("gram", F.col("node").alias("a"), F.col("component").alias("in_a"), F.col("words").alias("words_a"))
-    rows = rows.select("gram", F.col("node").alias("b"), F.col("component").alias("in_b"), F.col("words").alias("words_b"), "largest")
-    pairs = few.join(rows, "gram").where("in_a <> in_b AND (in_b = largest OR a > b)")
-    pairs = pairs.where(F.abs(F.col("words_a") - F.col("words_b")) <= (1 - similarity) * F.greatest("words_a", "words_b") + 1e-9)
-    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    several = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high")
+    rows = cut(members.join(several.select("key", F.ceil(F.col("n") / GROUP).alias("parts")), "key"))
+    signed = signatures(texts.join(rows.select("node").distinct(), "node", "left_semi"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
+    met = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    placed = rows.select("key", "node", "component", part.alias("part"), met.alias("met"))
+    placed = placed.select("key", "node", "component", "part", F.least("part", "met").alias("low"), F.greatest("part", "met").alias("high"))
+    # Many small buckets share a task's group; a large one has as good as its own.
+    groups = max(1, placed.count() // GROUP)
+    dealt = placed.withColumn("dealt", F.pmod(F.xxhash64("key", "low", "high"), F.lit(groups))).join(signed, "node")
+
+    def compared(rows: pd.DataFrame) -> pd.DataFrame:
+        pairs = [candidates_within(one, similarity) for _, one in rows.groupby(["key", "low", "high"]) if len(one) > 1]
+        pairs = np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
+        return pd.DataFrame({"a": pairs.max(axis=1, initial=np.iinfo(np.int64).min), "b": pairs.min(axis=1, initial=np.iinfo(np.int64).max)})
+
+    return dealt.groupBy("dealt").applyInPandas(compared, "a long, b long").distinct()
 
 
 def links(noded: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:

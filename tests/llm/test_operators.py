@@ -379,23 +379,48 @@ def test_links_by_edits_against_brute_force(spark):
     assert len(set(found.values())) >= 60
 
 
-def test_rare_pairs_of_words_meet_within_the_budget(spark):
-    r = random.Random(12)
-    stock = prose(702, 30).split()
-    texts = []
-    for _ in range(60):
-        a = [r.choice(stock) for _ in range(r.randint(1, 40))]
-        texts += [a, edited("\0".join(a), r.randrange(0, 9), r).split("\0"), varied(a, 0.2, r)]
-    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
-    grams = {}
-    for x in order_minhash.prefix_grams(spark.createDataFrame(rows, "node long, text string").where("text <> ''"), 0.8).collect():
-        grams.setdefault(x.node, set()).add(x.gram)
-    split = [t.split() for _, t in rows]
-    for i, a in enumerate(split):
-        for j, b in enumerate(split[:i]):
-            longest = max(len(a), len(b))
-            if 5 <= longest and a and b and distance(a, b) <= int(0.2 * longest + 1e-9):
-                assert grams.get(i, set()) & grams.get(j, set())
+def test_signatures_keep_pairs_within_the_budget():
+    """Pairs at the budget, of short and long texts, with few and many different words; and most pairs beyond it are told apart."""
+    r = np.random.default_rng(12)
+    for n, stock in ((5, 40), (40, 30), (60, 1 << 40), (300, 500), (300, 1 << 40), (3000, 2000)):
+        kept, apart = 0, 0
+        for share in (0.2, 0.3):
+            for _ in range(200):
+                a = r.integers(0, stock, n).astype(np.uint64)
+                b = a.copy()
+                at = r.choice(n, int(share * n), replace=False)
+                b[at] = r.integers(1 << 50, 1 << 60, len(at))
+                if share == 0.2 and r.random() < 0.5:
+                    b = b[: max(n - r.integers(0, 2), 1)]
+                    if order_minhash.aligned([(a, b)], n)[0] > int(0.2 * n + 1e-9):
+                        kept += 1
+                        continue
+                like = order_minhash.alike(order_minhash.signature(a), order_minhash.signature(b)[None, :], n, np.array([len(b)]), 0.8)[0]
+                kept += like if share == 0.2 else 0
+                apart += share == 0.3 and not like
+        assert kept == 200 and (n < 60 or apart > 150), (n, stock, kept, apart)
+
+
+def test_a_family_off_an_absent_text_meets_in_far_fewer_than_all_pairs(spark, monkeypatch):
+    """600 texts, each 15 % off a text that is not among them, are 28 % apart: hardly any pair is a candidate. In parts, the same ones are."""
+    r = random.Random(15)
+    base = prose(900, 60).split()
+    texts = [" ".join(varied(base, 0.15, r)) for _ in range(600)]
+    noded = order_minhash._noded(documents(spark, texts).select("doc_id", "text"))
+    rows = order_minhash.sketch_rows(noded, order_minhash.K, order_minhash.SKETCHES, order_minhash.KEPT)
+    shared = rows.select("key", F.col("omh_node").alias("node"))
+    nodes = noded.select(F.col("omh_node").alias("node"), "text")
+    alone = noded.select(F.col("omh_node").alias("node"), F.col("omh_node").alias("component"))
+    found = {tuple(x) for x in order_minhash.open_pairs(shared, alone, nodes, 0.8).collect()}
+    assert len(found) < 0.1 * 600 * 599 / 2
+    by_node = {x.node: x.text.split() for x in nodes.collect()}
+    kept = {x.node: set() for x in nodes.collect()}
+    for x in shared.collect():
+        kept[x.node].add(x.key)
+    close = {(a, b) for a in by_node for b in by_node if a > b and sum(p != q for p, q in zip(by_node[a], by_node[b], strict=True)) <= 12 and kept[a] & kept[b]}
+    assert close <= found
+    monkeypatch.setattr(order_minhash, "GROUP", 50)
+    assert {tuple(x) for x in order_minhash.open_pairs(shared, alone, nodes, 0.8).collect()} == found
 
 
 def test_components_of_a_chain(spark):
