@@ -6,7 +6,8 @@ fewest phrases per character wins. Texts are parsed whole, in pieces of fixed le
 languages at once; a phrase ends at the end of a piece.
 
 The sample is bounded: for each language, pieces of SAMPLE_PIECE characters from at most SAMPLE_ROWS
-documents, those with the smallest hashes, and at most `chars` characters in all.
+documents, those with the smallest hashes, and at most `chars` characters in all, with every letter that they have. The model that is broadcast
+holds some 50,000 transitions of 16 bytes per language at most (100 languages: 80 MB), or DENSE cells of 4 bytes where few letters allow it.
 
 Defined results: letters count in lower case; everything else counts as one space. A NULL text, or one
 without a letter, is `und` with score 0. Ties go to the language with more labelled rows, then by name.
@@ -29,10 +30,12 @@ from spendgrain.llm.common import ship
 
 ship(__name__)
 
-SAMPLE_ROWS, SAMPLE_PIECE = 64, 1000
+SAMPLE_ROWS, SAMPLE_PIECE = 64, 256
 #: Symbols that a text is parsed in at a time, and characters of texts that are worked on at a time.
 PIECE, SLICE = 2048, 1_000_000
 SPACE = 0
+#: Cells of all languages' tables together; beyond that their transitions are looked up by a search.
+DENSE = 16_000_000
 
 
 def labelled_sample(labelled: DataFrame, seed: int = 10) -> DataFrame:
@@ -46,7 +49,8 @@ def labelled_sample(labelled: DataFrame, seed: int = 10) -> DataFrame:
     chosen = chosen.groupBy("lang", "h").agg(F.min("rank").alias("rank"))
     counted = rows.groupBy("lang").agg(F.count("*").alias("n_rows"))
     start = F.pmod(F.col("h"), F.greatest(F.length("text") - SAMPLE_PIECE, F.lit(0)) + 1).cast("int") + 1
-    pieces = rows.select("lang", "text", h.alias("h")).join(chosen, ["lang", "h"]).withColumn("piece", F.substr("text", start, F.lit(SAMPLE_PIECE)))
+    # At most SAMPLE_ROWS rows per language go to the texts.
+    pieces = rows.select("lang", "text", h.alias("h")).join(F.broadcast(chosen), ["lang", "h"]).withColumn("piece", F.substr("text", start, F.lit(SAMPLE_PIECE)))
     return pieces.groupBy("lang", "rank").agg(F.min("piece").alias("piece")).join(counted, "lang")
 
 
@@ -79,35 +83,64 @@ def automaton(text: list[int]) -> list[dict[int, int]]:
     return to
 
 
+class Table:
+    """One language's transitions. `local` turns symbols into this language's own; the next state comes as an offset, or, where the phrase
+    ends, as -1 minus the state that the next phrase begins with."""
+
+    def __init__(self, text: list[int], n_symbols: int) -> None:
+        """text: symbols; all of them are below n_symbols."""
+        own = sorted(set(text) - {SPACE})
+        self.local = np.full(n_symbols, len(own) + 1, np.int32)  # symbols that the sample doesn't have
+        self.local[SPACE] = SPACE
+        self.local[own] = np.arange(1, len(own) + 1)
+        self.width = len(own) + 2
+        to = automaton(self.local[text].tolist())
+        # One state more, in which the next phrase has yet to begin: at first, and after an unknown symbol.
+        self.states, self.start = len(to) + 1, len(to) * self.width
+        self.ends = np.full(self.width, -1 - self.start, np.int64)
+        for symbol, state in to[0].items():
+            self.ends[symbol] = -1 - state * self.width
+        keys = [(state * self.width + symbol, after * self.width) for state, reached in enumerate(to) for symbol, after in reached.items()]
+        self.keys, self.after = np.array(sorted(keys), np.int64).reshape(-1, 2).T.copy()
+        self.cells = None
+
+    def spread(self) -> None:
+        """As an array of all states and symbols."""
+        self.cells = np.tile(self.ends, self.states).astype(np.int32)
+        self.cells[self.keys] = self.after
+
+    def step(self, state: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        own = self.local[symbols]
+        if self.cells is not None:
+            return self.cells[state + own]
+        if not len(self.keys):
+            return self.ends[own]
+        key = state + own
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.after[at], self.ends[own])
+
+
 class Model:
-    """Symbols of characters, and a table per language: tables[l][state + symbol] is the next state (as
-    an offset), or, where the phrase ends, -1 minus the state that the next phrase begins with."""
+    """Symbols of characters, and a table of transitions per language. Every letter of the samples is a symbol."""
 
     def __init__(self, sample: list[tuple[str, str, int]], chars: int) -> None:
         """sample: lang, text, number of labelled rows."""
         by_rows = sorted({(-n, lang) for lang, _, n in sample})
         self.langs = list(dict.fromkeys(lang for _, lang in by_rows))
         texts = {lang: " ".join(" ".join(p.lower() for other, p, _ in sample if other == lang).split())[:chars] for lang in self.langs}
-        letters = sorted({c for t in texts.values() for c in t if c.isalpha()})[:250]
-        self.width = len(letters) + 2
+        letters = sorted({c for t in texts.values() for c in t if c.isalpha()})
         symbols = {c: i + 1 for i, c in enumerate(letters)}
-        self.symbols = np.zeros(0x110000, np.uint8)
+        unknown = len(letters) + 1
+        self.symbols = np.zeros(0x110000, np.int32)
         for code in range(0x110000):
             c = chr(code)
             if c.isalpha():
-                self.symbols[code] = symbols.get(c.lower(), self.width - 1)
-        self.tables = []
-        for lang in self.langs:
-            spaced = "".join(c if c.isalpha() else " " for c in texts[lang])
-            to = automaton([symbols.get(c, SPACE) for c in " ".join(spaced.split())])
-            # One state more, in which the next phrase has yet to begin: at first, and after an unknown symbol.
-            table = np.full((len(to) + 1, self.width), -1 - len(to) * self.width, np.int64)
-            for symbol, state in to[0].items():
-                table[:, symbol] = -1 - state * self.width
-            for state, reached in enumerate(to):
-                for symbol, after in reached.items():
-                    table[state, symbol] = after * self.width
-            self.tables.append(table.astype(np.int32).ravel())
+                self.symbols[code] = symbols.get(c.lower(), unknown)
+        spaced = {lang: "".join(c if c.isalpha() else " " for c in t) for lang, t in texts.items()}
+        self.tables = [Table([symbols.get(c, SPACE) for c in " ".join(spaced[lang].split())], unknown + 1) for lang in self.langs]
+        if sum(t.states * t.width for t in self.tables) <= DENSE:
+            for table in self.tables:
+                table.spread()
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each text and language the number of phrases; for each text its symbols and whether it has a letter."""
@@ -126,17 +159,17 @@ class Model:
         length = np.minimum(sizes[owner] - place * PIECE, PIECE)
         order = np.argsort(-length, kind="stable")
         owner, start, length = owner[order], start[order], length[order]
-        state = np.array([[len(table) - self.width] * len(owner) for table in self.tables], np.int32)
+        state = np.array([[table.start] * len(owner) for table in self.tables], np.int64)
         count = np.zeros((len(self.langs), len(owner)), np.int32)
         open_at = np.searchsorted(-length, -np.arange(PIECE), side="left")
         for t in range(int(length.max(initial=0))):
             n = open_at[t]
             symbol = symbols[start[:n] + t]
             for l, table in enumerate(self.tables):
-                after = table[state[l, :n] + symbol]
-                ended = after >> 31
-                count[l, :n] -= ended
-                state[l, :n] = after ^ ended
+                after = table.step(state[l, :n], symbol)
+                ended = after < 0
+                count[l, :n] += ended
+                state[l, :n] = np.where(ended, ~after, after)
         totals = np.zeros((len(texts), len(self.langs)), np.int64)
         for l in range(len(self.langs)):
             totals[:, l] = np.bincount(owner, count[l], len(texts))

@@ -519,6 +519,31 @@ def test_cross_parsing(spark):
     assert language.predict(docs.limit(0), model).count() == 0
 
 
+def test_languages_of_many_high_letters(spark, monkeypatch):
+    """Two languages that share 600 letters beyond the ones of a third, in other orders; tables and searches give the same."""
+    r = random.Random(17)
+    high = [chr(0xAC00 + i) for i in range(600)]
+    chains = {lang: {c: r.sample(high, 3) for c in high} for lang in ("ka", "kb")}
+
+    def text(lang, n=3000):
+        said = [r.choice(high)]
+        for _ in range(n):
+            said.append(r.choice(chains[lang][said[-1]]) if r.random() < 0.9 else " " + r.choice(high))
+            said[-1:] = said[-1]
+        return "".join(said)
+
+    rows = [(i, text(lang), lang) for i in range(40) for lang in ("ka", "kb")] + [(i, prose(i, 300), "la") for i in range(40)]
+    docs = spark.createDataFrame([(i, *r[1:]) for i, r in enumerate(rows)], "doc_id long, text string, lang string")
+    model = language.learn(docs.where("doc_id % 4 <> 0"))
+    found = language.predict(docs, model).collect()
+    assert np.mean([x.lang_pred == x.lang for x in found if x.doc_id % 4 == 0]) == 1
+    dense = model.phrases([x[1] for x in rows[:6]])[0]
+    monkeypatch.setattr(language, "DENSE", 0)
+    again = language.learn(docs.where("doc_id % 4 <> 0"))
+    assert all(t.cells is None for t in again.tables) and (again.phrases([x[1] for x in rows[:6]])[0] == dense).all()
+    assert language.Model([("a", "12", 1), ("b", "xy", 1)], 100).judge(["xy", "zz"])["lang_pred"].tolist() == ["b", "a"]
+
+
 def test_phrases_against_plain_parsing():
     model = language.Model([("aa", "abcabd dab cab", 1), ("bb", "xyz zyx abx", 1)], 1000)
 
