@@ -16,8 +16,8 @@ from spendgrain.sources.testdata import table
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in no language go: those without a letter, or without text."""
-    found = language.predict(docs.withColumnRenamed("lang", "declared"), language.learn(docs))
-    return found.where("lang_pred <> 'und'").withColumnRenamed("declared", "lang").select(*docs.columns)
+    found = language.predict(docs.withColumnRenamed("lang", "pipeline_lang"), language.learn(docs))
+    return found.where("lang_pred <> 'und'").withColumnRenamed("pipeline_lang", "lang").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
