@@ -1,16 +1,17 @@
 """Quality rules: robust multivariate outliers among documents of one language and source.
 
 Each text is described by five transformed statistics. Per language and source, the minimum covariance
-determinant estimate is approached by concentration steps: from the medians and quartile ranges, the
-three quarters of the documents nearest to the centre give the next centre and covariance, a fixed
-number of times. A document whose squared Mahalanobis distance exceeds the cutoff is rejected.
+determinant estimate is searched by concentration steps from two starts, the medians and quartile ranges of the group and
+those of its language: the three quarters of the documents nearest to the centre give the next centre and covariance, a fixed
+number of times, and the estimate with the smaller determinant counts. Few documents say little about their group, so an
+estimate leans on the language's, the less the more documents there are; groups of all sizes are judged by one rule.
+A document whose squared Mahalanobis distance exceeds the cutoff is rejected.
 
 A step adds up counts, sums and products at (language, source, distance bin), which combine before the
 shuffle, so no group meets in one task and results don't depend on partitioning.
 
 Defined results: NULL and empty texts have no words and fail the base rule. NULL languages and sources are
-groups of their own. In a group of fewer than `least` documents, nothing is rejected beyond the base
-rule. Repeated rows are judged alike and all stay. An empty table gives no rows. Other columns are not
+groups of their own. A language with one document has no outlier. A very long text is one row. Repeated rows are judged alike and all stay. An empty table gives no rows. Other columns are not
 looked at.
 """
 
@@ -31,6 +32,10 @@ P = 5
 HALF, FACTOR = 0.75, 1.41
 #: Variances that are added, so that statistics which most documents share exactly stay comparable.
 FLOORS = (0.1, 0.05, 0.1, 0.1, 0.1)
+#: Documents like those of its language that each group is taken to have besides its own.
+PRIOR = 10
+#: Squared deviations that are too many: the quantile of chi-square with five degrees that 1.4 in 10**9 exceed.
+CUTOFF = 50.0
 
 
 def _bound(value: Column, use) -> Column:
@@ -107,7 +112,7 @@ def vector(rows: DataFrame) -> DataFrame:
 
 
 def _whitening(rows: DataFrame, covariance: dict[tuple[int, int], Column]) -> DataFrame:
-    """group, m0.., w_i_j: the inverse of the covariance's Cholesky factor, one row per group."""
+    """group, m0.., w_i_j: the inverse of the covariance's Cholesky factor, and spread, the logarithm of its determinant; one row per group."""
     for (i, j), value in covariance.items():
         rows = rows.withColumn(f"c_{i}_{j}", value)
     c, low = (lambda i, j: F.col(f"c_{max(i, j)}_{min(i, j)}")), (lambda i, j: F.col(f"l_{i}_{j}"))
@@ -123,15 +128,23 @@ def _whitening(rows: DataFrame, covariance: dict[tuple[int, int], Column]) -> Da
             for k in range(j, i):
                 done = done - low(i, k) * F.col(f"w_{k}_{j}")
             rows = rows.withColumn(f"w_{i}_{j}", done / low(i, i))
-    keep = [f"m{i}" for i in range(P)] + [f"w_{i}_{j}" for i in range(P) for j in range(i + 1)]
+    spread = F.lit(0.0)
+    for j in range(P):
+        spread = spread + F.log(low(j, j))
+    rows = rows.withColumn("spread", spread)
+    keep = ["spread"] + [f"m{i}" for i in range(P)] + [f"w_{i}_{j}" for i in range(P) for j in range(i + 1)]
     return rows.select("n", F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), *keep)
 
 
-def start(rows: DataFrame) -> DataFrame:
-    """Medians, and quartile ranges as if normal, without correlation."""
-    quartiles = rows.groupBy("lang", "source").agg(
-        F.count("*").alias("n"), *[F.percentile(f"x{i}", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}") for i in range(P)]
-    )
+def start(rows: DataFrame, by_language: bool = False) -> DataFrame:
+    """Medians, and quartile ranges as if normal, without correlation; of each group, or for each group those of its language."""
+    groups = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
+    quarters = [F.percentile(f"x{i}", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}") for i in range(P)]
+    if by_language:
+        quartiles = rows.groupBy(F.col("lang").alias("of_lang")).agg(*quarters)
+        quartiles = groups.join(quartiles, F.col("lang").eqNullSafe(F.col("of_lang")))
+    else:
+        quartiles = rows.groupBy("lang", "source").agg(F.count("*").alias("n"), *quarters)
     quartiles = quartiles.withColumns({f"m{i}": F.col(f"q{i}")[1] for i in range(P)})
     zero = F.lit(0.0)
     spread = {i: F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(2)) + F.lit(FLOORS[i] ** 2) for i in range(P)}
@@ -165,23 +178,49 @@ def concentrate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
         *[F.sum(f"s{i}").alias(f"s{i}") for i in range(P)],
         *[F.sum(f"p_{i}_{j}").alias(f"p_{i}_{j}") for i in range(P) for j in range(i + 1)],
     )
-    near = near.withColumns({f"m{i}": F.col(f"s{i}") / F.col("h") for i in range(P)})
-    return _whitening(near, {
-        (i, j): FACTOR * (F.col(f"p_{i}_{j}") / F.col("h") - F.col(f"m{i}") * F.col(f"m{j}")) + (FLOORS[i] ** 2 if i == j else 0.0)
+    return _whitening(*_shrunk(near))
+
+
+def _shrunk(near: DataFrame) -> tuple[DataFrame, dict[tuple[int, int], Column]]:
+    """near: h, s_i, p_i_j, the sums over the nearest documents of each group. Means and covariances to which the language adds PRIOR
+    documents like its own, and a group's own count by the square of h / (h + PRIOR) each: a group of few documents is judged by its
+    language, a large one by itself, and none by what is only its own outlier; for its language it counts by h / (h + PRIOR)."""
+    names = ["h", *[f"s{i}" for i in range(P)], *[f"p_{i}_{j}" for i in range(P) for j in range(i + 1)]]
+    trust = F.col("h") / (F.col("h") + PRIOR)
+    language = near.groupBy(F.col("lang").alias("of_lang")).agg(*[F.sum(trust * F.col(c)).alias(f"all_{c}") for c in names])
+    both = near.join(language, F.col("lang").eqNullSafe(F.col("of_lang")))
+    share = trust * trust
+    weight = share * F.col("h") + PRIOR
+
+    def mixed(name: str) -> Column:
+        return (share * F.col(name) + PRIOR * F.col(f"all_{name}") / F.col("all_h")) / weight
+
+    both = both.withColumns({f"m{i}": mixed(f"s{i}") for i in range(P)})
+    return both, {
+        (i, j): FACTOR * (mixed(f"p_{i}_{j}") - F.col(f"m{i}") * F.col(f"m{j}")) + (FLOORS[i] ** 2 if i == j else 0.0)
         for i in range(P) for j in range(i + 1)
-    })
+    }
+
+
+def least_spread(rows: DataFrame, steps: int) -> DataFrame:
+    """For each group the estimate of smallest determinant of those that concentration leads to from both starts."""
+    found = None
+    for by_language in (False, True):
+        estimate = cut(start(rows, by_language))
+        for _ in range(steps):
+            estimate = cut(concentrate(rows, estimate))
+        estimate = estimate.withColumn("origin", F.lit(int(by_language)))
+        found = estimate if found is None else found.unionByName(estimate)
+    whole = F.struct("spread", "origin", *[c for c in found.columns if c not in ("spread", "origin", "g_lang", "g_source")])
+    return cut(found.groupBy("g_lang", "g_source").agg(F.min(whole).alias("e")).select("g_lang", "g_source", "e.*"))
 
 
-def judge(documents: DataFrame, steps: int = 3, cutoff: float = 50.0, least: int = 50) -> DataFrame:
+def judge(documents: DataFrame, steps: int = 4, cutoff: float = CUTOFF) -> DataFrame:
     """Returns doc_id, the counts, base_failed, distance (squared; NULL where the base rule failed)
-    and kept. cutoff is in squared deviations: with five statistics, 50 keeps all but one in a hundred million
-    of normally distributed documents."""
+    and kept. cutoff is in squared deviations, a chi-square quantile with five degrees for documents that are normal."""
     rows = cut(vector(text_statistics(documents)))
-    clean = rows.where("NOT base_failed")
-    estimate = cut(start(clean))
-    for _ in range(steps):
-        estimate = cut(concentrate(clean, estimate))
-    far = (F.col("group_n") >= least) & (F.col("d2") > cutoff)
+    estimate = least_spread(rows.where("NOT base_failed"), steps)
+    far = F.col("d2") > cutoff
     judged = with_distance(rows, estimate)
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

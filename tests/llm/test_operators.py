@@ -498,6 +498,51 @@ def test_counts_by_brute_force_and_outliers(spark):
     assert quality.judge(docs.limit(0)).count() == 0
 
 
+def test_an_outlier_is_one_in_groups_of_every_size(spark):
+    """The same gross outlier goes from a source of 1 document, and of 3, 49, 50 or 300; no other document does."""
+    r = random.Random(21)
+    rows, outliers = [], set()
+    for size in (1, 3, 49, 50, 300):
+        for k in range(size):
+            text = prose(r.randrange(10**6), r.randint(60, 140))
+            if k == 0:
+                outliers.add(len(rows))
+                text = " ".join(w + "#%&*|" for w in text.split())
+            rows.append((len(rows), text, "en", f"s{size}", 0))
+    found = quality.judge(spark.createDataFrame(rows, DOCS)).collect()
+    assert {x.doc_id for x in found if not x.kept} == outliers
+    alone = quality.judge(spark.createDataFrame(rows[:1], DOCS)).first()
+    assert alone.kept
+
+
+def test_the_estimate_against_all_subsets(spark):
+    """The determinant that the steps find is near the smallest one of all subsets of three quarters, for groups of ten."""
+    from itertools import combinations
+
+    r = np.random.default_rng(5)
+    for seed in range(3):
+        x = np.round(r.normal(size=(10, quality.P)) * 1024) / 1024
+        x[:2] += 6
+        rows = [(i, "en", "s", *map(float, v)) for i, v in enumerate(x)]
+        frame = spark.createDataFrame(rows, "doc_id long, lang string, source string, " + ", ".join(f"x{i} double" for i in range(quality.P)))
+
+        def spread(part):
+            """As the operator has it: mixed with the language's, here the part itself."""
+            own, h = x[list(part)], len(part)
+            share = (h / (h + quality.PRIOR)) ** 2
+            both = np.array([share * h, quality.PRIOR]) / (share * h + quality.PRIOR)
+            mean = (both[0] + both[1]) * own.mean(axis=0)
+            second = sum(both) * (own[:, :, None] * own[:, None, :]).mean(axis=0)
+            cov = quality.FACTOR * (second - np.outer(mean, mean)) + np.diag(np.square(quality.FLOORS))
+            return np.linalg.slogdet(cov)[1] / 2
+
+        best = min(spread(p) for p in combinations(range(10), 8))
+        found = quality.least_spread(frame, 4).first()
+        assert best - 1e-6 <= found.spread <= best + 0.7, seed
+        clean = x[2:].mean(axis=0)
+        assert max(abs(found[f"m{i}"] - clean[i]) for i in range(quality.P)) < 0.8
+
+
 # --- 10: language
 
 
