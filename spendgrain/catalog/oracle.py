@@ -535,6 +535,7 @@ ORACLE: dict[str, str] = {
         "2 * count(*) filter (where seq % 7 = 0) as bad_records, cast(0 as bigint) as broken_states from dirty "
         "union all select 'records', count(*), 0, count(*) filter (where seq % 7 = 0) from dirty",
     ),
+    "stream_median": _with(f"{_DIRTY} parsed", "select count(age) as ages, true as all_known, true as within_bounds from parsed"),
     "csv_quoted_records": _with(
         _DIRTY,
         "select transaction_date, transaction_id, gender, age, marital_status, "

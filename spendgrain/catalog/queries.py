@@ -20,6 +20,7 @@ from spendgrain.sources.scratch import scratch_folder
 from spendgrain.sources.store import read_features, read_log, with_snapshot_date, write_snapshot
 from spendgrain.sources.testdata import dirty_transactions, table, transactions
 from spendgrain.streaming.exact import exact_quarterly, exact_transactions, start_exact_intake
+from spendgrain.streaming.medians import RANK_ERROR, add_ages, median_so_far
 from spendgrain.streaming.intake import read_csv_stream, start_intake, stored_quarterly
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -599,6 +600,21 @@ def stream_any_order(spark: SparkSession, sf: str) -> DataFrame:
     return _by_month(exact_transactions(spark, _arrived_late(spark, sf)))
 
 
+def stream_median(spark: SparkSession, sf: str) -> DataFrame:
+    """Ages sketched in seven batches and merged: how many there are, and whether the median's rank is within the sketch's bound."""
+    parsed, root = cleaning.parse(dirty_transactions(spark, sf)), scratch_folder(spark, "stream")
+    for number in range(7):
+        add_ages(parsed.where(F.col("seq") % 7 == number), number, root)
+    estimate = median_so_far(spark, root).select(F.struct("*")).scalar()
+    median = estimate.getField("median_age")
+    ranks = parsed.where("age IS NOT NULL").agg(F.count("age").alias("n"), F.count_if(F.col("age") < median).alias("below"), F.count_if(F.col("age") <= median).alias("upto"))
+    return ranks.select(
+        F.col("n").alias("ages"),
+        (estimate.getField("known") == F.col("n")).alias("all_known"),
+        ((F.col("below") <= (0.5 + RANK_ERROR) * F.col("n")) & (F.col("upto") >= (0.5 - RANK_ERROR) * F.col("n"))).alias("within_bounds"),
+    )
+
+
 def stream_deltas(spark: SparkSession, sf: str) -> DataFrame:
     return _result(exact_quarterly(spark, _arrived_late(spark, sf)))
 
@@ -678,5 +694,6 @@ QUERIES: dict[str, Query] = {
         stored_snapshots,
         stream_any_order,
         stream_deltas,
+        stream_median,
     )
 }
