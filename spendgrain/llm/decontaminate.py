@@ -35,6 +35,8 @@ Q, SHARE = 10, 0.08
 SLOTS = 22
 #: Characters of texts that are worked on at a time, and alignments.
 SLICE, ALIGNED = 500_000, 2048
+#: Pairs of equal q-grams of a text and of the items that are counted at a time.
+HITS = 2_000_000
 MULTIPLIER = 0x9E3779B97F4A7C15
 ENDS, SPACE = 0, 32
 ADDED = ["n_items", "items", "edits"]
@@ -127,13 +129,22 @@ class Index:
         found = np.minimum(np.searchsorted(self.hashes, hashes[at]), len(self.hashes) - 1)
         same = self.hashes[found] == hashes[at]
         at, found = at[same], found[same]
-        n = self.first[found + 1] - self.first[found]
-        entry = np.repeat(self.first[found] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        item = self.item[entry].astype(np.int64)
+        every = self.first[found + 1] - self.first[found]
         shift = int(self.length.max()) + int(self.half.max())  # diagonals before the text are not below 0
-        half_band = (np.repeat(at, n) - self.place[entry] + shift) // self.half[item]
         width = (len(chars) + 2 * shift) // int(self.half.min()) + 2
-        key, count = np.unique(item * width + half_band, return_counts=True)
+        key, count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # Places of a repeated q-gram in the text times its places in the items may be many: some HITS of them at a time.
+        part = np.cumsum(every) // HITS
+        for first in np.flatnonzero(np.diff(part, prepend=-1)):
+            some = slice(first, np.searchsorted(part, part[first], side="right"))
+            n = every[some]
+            entry = np.repeat(self.first[found[some]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            item = self.item[entry].astype(np.int64)
+            half_band = (np.repeat(at[some], n) - self.place[entry] + shift) // self.half[item]
+            own, times = np.unique(item * width + half_band, return_counts=True)
+            key, number = np.unique(np.concatenate([key, own]), return_inverse=True)
+            before, count = count, np.zeros(len(key), np.int64)
+            np.add.at(count, number, np.concatenate([before, times]))
         # The band that begins with a half, and the one that ends with it, counted together with its neighbour.
         after = np.append(np.where(key[1:] == key[:-1] + 1, count[1:], 0), 0) if len(key) else count
         before = np.append(0, np.where(key[1:] == key[:-1] + 1, count[:-1], 0)) if len(key) else count

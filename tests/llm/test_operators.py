@@ -234,6 +234,47 @@ def test_hits_belong_to_the_text_that_holds_the_item():
     assert index.search([letters(9), long, long + "q", None, short]) == [[], [(1, 0)], [(1, 0)], [], [(0, 0)]]
 
 
+def test_repetitive_texts_against_a_search_of_all_pairs(monkeypatch):
+    """Texts and items of few letters, by edit distances to all their parts; the same however few pairs are counted at a time."""
+    r = random.Random(31)
+    items = [(k, " ".join(r.choice(["a", "b", "ab", "aab"]) for _ in range(r.randint(20, 60)))) for k in range(6)] + [(6, "a " * 60)]
+    texts = ["a " * 400, "ab " * 200] + [" ".join(r.choice(["a", "b", "ab", "aab"]) for _ in range(100)) for _ in range(4)]
+    for k, item in items:
+        words = item.split()
+        words[len(words) // 2] = "zz"
+        texts.append("x y " + " ".join(words) + " y x")
+    table = decontaminate.lower_table()
+    index = decontaminate.Index(items, table, decontaminate.Q, decontaminate.SHARE)
+    found = index.search(texts)
+
+    def least(item, text):
+        """Edits of the item against the part of the text that is nearest to it."""
+        row = [0] * (len(text) + 1)
+        for i, a in enumerate(item, 1):
+            new = [i]
+            for j, b in enumerate(text, 1):
+                new.append(min(row[j - 1] + (a != b), row[j] + 1, new[j - 1] + 1))
+            row = new
+        return min(row)
+
+    plain = [["".join(map(chr, decontaminate.normalised([t], table)[0][:-1]))] for t in texts]
+    spelled = ["".join(map(chr, c)) for c in index.items]
+    for t, hits in zip(plain, found, strict=True):
+        wanted = {i: least(s, t[0]) for i, s in enumerate(spelled)}
+        assert dict(hits) == {i: e for i, e in wanted.items() if e <= index.budget[i]}
+    monkeypatch.setattr(decontaminate, "HITS", 50)
+    assert index.search(texts) == found
+
+
+def test_a_long_text_of_one_word_fits_into_memory():
+    import resource
+
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    index = decontaminate.Index([(1, "a " * 800), (2, "a " * 799 + "b")], decontaminate.lower_table(), decontaminate.Q, decontaminate.SHARE)
+    assert [i for i, _ in index.search(["a " * 60_000])[0]] == [0, 1]
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_000_000  # KB
+
+
 # --- 6: mixing
 
 
