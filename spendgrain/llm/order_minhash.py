@@ -45,7 +45,7 @@ SKETCHES, KEPT = 32, 2
 CELLS = 1 << 20
 FAR = 1 << 28
 #: Bytes of a signature, deviations of its estimate that are allowed for, and texts that are compared within a task.
-BINS, DEVIATIONS, GROUP = 512, 4, 2048
+BINS, DEVIATIONS, GROUP = 2048, 4, 2048
 
 
 class WordHashes(dict):
@@ -165,11 +165,11 @@ def linked(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float) -> np.
     for i, (a, b) in enumerate(pairs):
         if abs(len(a) - len(b)) > budget[i]:
             continue
+        if sum((Counter(a.tolist()) & Counter(b.tolist())).values()) < longest[i] - budget[i]:
+            continue  # words in common are too few, whatever their order
         if anchored(a, b, int(budget[i])) <= budget[i]:
             found[i] = True
             continue
-        if sum((Counter(a.tolist()) & Counter(b.tolist())).values()) < longest[i] - budget[i]:
-            continue  # words in common are too few, whatever their order
         same = min(len(a), len(b))
         differ = np.flatnonzero(a[:same] != b[:same])
         head = int(differ[0]) if len(differ) else same
@@ -202,7 +202,7 @@ def _noded(documents: DataFrame) -> DataFrame:
 
 
 def sketch_rows(noded: DataFrame, k: int, sketches: int, kept: int) -> DataFrame:
-    """omh_node, key: the buckets of each different text."""
+    """omh_node, keys: the bucket of each different text in each sketch."""
 
     def sketched(batches):
         hashes = WordHashes()
@@ -216,7 +216,7 @@ def sketch_rows(noded: DataFrame, k: int, sketches: int, kept: int) -> DataFrame
             yield pd.DataFrame({"omh_node": np.array(nodes, np.int64), "keys": pd.Series(keys, dtype=object)})
 
     rows = noded.select("omh_node", "text").mapInPandas(sketched, "omh_node long, keys array<long>")
-    return cut(rows.dropDuplicates(["omh_node"])).select("omh_node", F.explode("keys").alias("key"))
+    return cut(rows.dropDuplicates(["omh_node"]))
 
 
 def texts_of(noded: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -291,9 +291,10 @@ def signatures(texts: DataFrame) -> DataFrame:
 
 
 def candidates_within(rows: pd.DataFrame, similarity: float) -> np.ndarray:
-    """rows: node, component, part, words, signature of one bucket, or of two parts of it. Pairs of nodes of different components, of
-    different parts where there are two, whose signatures are alike."""
+    """rows: node, component, part, words, signature and keys of one bucket, or of two parts of it, and its number among the sketches. Pairs of
+    nodes of different components, of different parts where there are two, that meet in no bucket of a sketch before and whose signatures are alike."""
     node, component, part = (rows[c].to_numpy() for c in ("node", "component", "part"))
+    before = np.stack(rows["keys"].to_list())[:, : int(rows["sketch"].iloc[0])]
     words, signs = rows["words"].to_numpy(), np.frombuffer(b"".join(rows["signature"]), np.uint8).reshape(-1, BINS)
     found, parts = [np.zeros((0, 2), np.int64)], part.min() != part.max()
     for i in range(len(rows) - 1):
@@ -302,23 +303,24 @@ def candidates_within(rows: pd.DataFrame, similarity: float) -> np.ndarray:
             open_ &= part[i + 1 :] != part[i]
         others = np.flatnonzero(open_) + i + 1
         if len(others):
+            others = others[~(before[others] == before[i]).any(axis=1)]
             near = others[alike(signs[i], signs[others], words[i], words[others], similarity)]
             found.append(np.stack([np.full(len(near), node[i]), node[near]], axis=1))
     return np.concatenate(found)
 
 
-def open_pairs(shared: DataFrame, joined: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+def open_pairs(shared: DataFrame, joined: DataFrame, texts: DataFrame, sketched: DataFrame, similarity: float) -> DataFrame:
     """a, b: candidates among the texts of buckets that still hold several components, of different components.
 
     A bucket of more than GROUP texts is dealt out in parts, and each two parts meet in one group."""
-    members = _labelled(shared.select("key", "node"), joined, "node", "component")
+    members = _labelled(shared.select("key", "sketch", "node"), joined, "node", "component")
     several = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high")
     rows = cut(members.join(several.select("key", F.ceil(F.col("n") / GROUP).alias("parts")), "key"))
-    signed = signatures(texts.join(rows.select("node").distinct(), "node", "left_semi"))
+    signed = signatures(texts.join(rows.select("node").distinct(), "node", "left_semi")).join(sketched.withColumnRenamed("omh_node", "node"), "node")
     part = F.pmod(F.xxhash64("node"), F.col("parts"))
     met = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
-    placed = rows.select("key", "node", "component", part.alias("part"), met.alias("met"))
-    placed = placed.select("key", "node", "component", "part", F.least("part", "met").alias("low"), F.greatest("part", "met").alias("high"))
+    placed = rows.select("key", "sketch", "node", "component", part.alias("part"), met.alias("met"))
+    placed = placed.select("key", "sketch", "node", "component", "part", F.least("part", "met").alias("low"), F.greatest("part", "met").alias("high"))
     # Many small buckets share a task's group; a large one has as good as its own.
     groups = max(1, placed.count() // GROUP)
     dealt = placed.withColumn("dealt", F.pmod(F.xxhash64("key", "low", "high"), F.lit(groups))).join(signed, "node")
@@ -331,19 +333,20 @@ def open_pairs(shared: DataFrame, joined: DataFrame, texts: DataFrame, similarit
     return dealt.groupBy("dealt").applyInPandas(compared, "a long, b long").distinct()
 
 
-def links(noded: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+def links(noded: DataFrame, sketched: DataFrame, similarity: float) -> DataFrame:
     """a, b: links that join all texts within the edit budget that share a bucket.
 
     Each text of a bucket meets the bucket's head, the text that shares most buckets with others. Then whatever
     that has not joined is compared, so that no link depends on which text was a head."""
+    rows = sketched.select("omh_node", F.posexplode("keys").alias("sketch", "key"))
     sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = cut(rows.join(sizes, "key").select("key", F.col("omh_node").alias("node"), "n"))
+    shared = cut(rows.join(sizes, "key").select("key", "sketch", F.col("omh_node").alias("node"), "n"))
     degrees = shared.groupBy("node").agg((-F.sum("n")).alias("order"))
     texts = texts_of(noded, degrees)
     heads = shared.join(degrees, "node").groupBy("key").agg(F.min(F.struct("order", "node"))["node"].alias("b"))
     pairs = shared.join(heads, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
     joined = components(confirmed(texts, cut(pairs), similarity))
-    rest = cut(open_pairs(shared, joined, texts, similarity))
+    rest = cut(open_pairs(shared, joined, texts, sketched, similarity))
     return joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(confirmed(texts, rest, similarity))
 
 

@@ -494,10 +494,10 @@ def test_a_family_off_an_absent_text_meets_in_far_fewer_than_all_pairs(spark, mo
     texts = [" ".join(varied(base, 0.15, r)) for _ in range(600)]
     noded = order_minhash._noded(documents(spark, texts).select("doc_id", "text"))
     rows = order_minhash.sketch_rows(noded, order_minhash.K, order_minhash.SKETCHES, order_minhash.KEPT)
-    shared = rows.select("key", F.col("omh_node").alias("node"))
+    shared = rows.select(F.col("omh_node").alias("node"), F.posexplode("keys").alias("sketch", "key"))
     nodes = noded.select(F.col("omh_node").alias("node"), "text")
     alone = noded.select(F.col("omh_node").alias("node"), F.col("omh_node").alias("component"))
-    found = {tuple(x) for x in order_minhash.open_pairs(shared, alone, nodes, 0.8).collect()}
+    found = {tuple(x) for x in order_minhash.open_pairs(shared, alone, nodes, rows, 0.8).collect()}
     assert len(found) < 0.1 * 600 * 599 / 2
     by_node = {x.node: x.text.split() for x in nodes.collect()}
     kept = {x.node: set() for x in nodes.collect()}
@@ -506,7 +506,7 @@ def test_a_family_off_an_absent_text_meets_in_far_fewer_than_all_pairs(spark, mo
     close = {(a, b) for a in by_node for b in by_node if a > b and sum(p != q for p, q in zip(by_node[a], by_node[b], strict=True)) <= 12 and kept[a] & kept[b]}
     assert close <= found
     monkeypatch.setattr(order_minhash, "GROUP", 50)
-    assert {tuple(x) for x in order_minhash.open_pairs(shared, alone, nodes, 0.8).collect()} == found
+    assert {tuple(x) for x in order_minhash.open_pairs(shared, alone, nodes, rows, 0.8).collect()} == found
 
 
 def test_components_of_a_chain(spark):
