@@ -46,6 +46,8 @@ CELLS = 1 << 20
 FAR = 1 << 28
 #: Bytes of a signature, deviations of its estimate that are allowed for, and texts that are compared within a task.
 BINS, DEVIATIONS, GROUP = 2048, 4, 2048
+#: Rounds in which each component tries its most alike candidate, before all that still lie between components are compared.
+ROUNDS = 2
 
 
 class WordHashes(dict):
@@ -262,8 +264,9 @@ def signature(words: np.ndarray) -> np.ndarray:
     return np.where(filled, least % np.uint64(255) + np.uint64(1), 0).astype(np.uint8)
 
 
-def alike(own: np.ndarray, others: np.ndarray, words: int, sizes: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether signatures of texts of those sizes (in words) may be of texts within the edit budget of the one of `own`."""
+def alike(own: np.ndarray, others: np.ndarray, words: int, sizes: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Whether signatures of texts of those sizes (in words) may be of texts within the edit budget of the one of `own`; and which
+    share of the filled bins agree."""
     share = similarity / (2 - similarity)  # of all words of two texts, those that both have, at least
     filled = ((others > 0) | (own > 0)).sum(axis=1)
     same = ((others == own) & (own > 0)).sum(axis=1)
@@ -271,7 +274,7 @@ def alike(own: np.ndarray, others: np.ndarray, words: int, sizes: np.ndarray, si
     every = np.maximum((words + sizes) / (1 + share), 2)
     deviation = np.sqrt(share * (1 - share) * filled * np.clip((every - filled) / (every - 1), 0.02, 1))
     fits = np.minimum(words, sizes) >= similarity * np.maximum(words, sizes) - 1e-9
-    return fits & (same >= share * filled - DEVIATIONS * deviation - 1)
+    return fits & (same >= share * filled - DEVIATIONS * deviation - 1), same / np.maximum(filled, 1)
 
 
 def signatures(texts: DataFrame) -> DataFrame:
@@ -290,13 +293,13 @@ def signatures(texts: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInPandas(signed, "node long, words long, signature binary")
 
 
-def candidates_within(rows: pd.DataFrame, similarity: float) -> np.ndarray:
+def candidates_within(rows: pd.DataFrame, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """rows: node, component, part, words, signature and keys of one bucket, or of two parts of it, and its number among the sketches. Pairs of
-    nodes of different components, of different parts where there are two, that meet in no bucket of a sketch before and whose signatures are alike."""
+    nodes of different components, of different parts where there are two, that meet in no bucket of a sketch before and whose signatures are alike, and how alike."""
     node, component, part = (rows[c].to_numpy() for c in ("node", "component", "part"))
     before = np.stack(rows["keys"].to_list())[:, : int(rows["sketch"].iloc[0])]
     words, signs = rows["words"].to_numpy(), np.frombuffer(b"".join(rows["signature"]), np.uint8).reshape(-1, BINS)
-    found, parts = [np.zeros((0, 2), np.int64)], part.min() != part.max()
+    found, shares, parts = [np.zeros((0, 2), np.int64)], [np.zeros(0)], part.min() != part.max()
     for i in range(len(rows) - 1):
         open_ = component[i + 1 :] != component[i]
         if parts:
@@ -304,13 +307,15 @@ def candidates_within(rows: pd.DataFrame, similarity: float) -> np.ndarray:
         others = np.flatnonzero(open_) + i + 1
         if len(others):
             others = others[~(before[others] == before[i]).any(axis=1)]
-            near = others[alike(signs[i], signs[others], words[i], words[others], similarity)]
+            kept, share = alike(signs[i], signs[others], words[i], words[others], similarity)
+            near = others[kept]
             found.append(np.stack([np.full(len(near), node[i]), node[near]], axis=1))
-    return np.concatenate(found)
+            shares.append(share[kept])
+    return np.concatenate(found), np.concatenate(shares)
 
 
 def open_pairs(shared: DataFrame, joined: DataFrame, texts: DataFrame, sketched: DataFrame, similarity: float) -> DataFrame:
-    """a, b: candidates among the texts of buckets that still hold several components, of different components.
+    """a, b, share: candidates among the texts of buckets that still hold several components, of different components.
 
     A bucket of more than GROUP texts is dealt out in parts, and each two parts meet in one group."""
     members = _labelled(shared.select("key", "sketch", "node"), joined, "node", "component")
@@ -326,11 +331,27 @@ def open_pairs(shared: DataFrame, joined: DataFrame, texts: DataFrame, sketched:
     dealt = placed.withColumn("dealt", F.pmod(F.xxhash64("key", "low", "high"), F.lit(groups))).join(signed, "node")
 
     def compared(rows: pd.DataFrame) -> pd.DataFrame:
-        pairs = [candidates_within(one, similarity) for _, one in rows.groupby(["key", "low", "high"]) if len(one) > 1]
-        pairs = np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs.max(axis=1, initial=np.iinfo(np.int64).min), "b": pairs.min(axis=1, initial=np.iinfo(np.int64).max)})
+        found = [candidates_within(one, similarity) for _, one in rows.groupby(["key", "low", "high"]) if len(one) > 1]
+        pairs = np.concatenate([f[0] for f in found]) if found else np.zeros((0, 2), np.int64)
+        shares = np.concatenate([f[1] for f in found]) if found else np.zeros(0)
+        ends = pairs.max(axis=1, initial=np.iinfo(np.int64).min), pairs.min(axis=1, initial=np.iinfo(np.int64).max)
+        return pd.DataFrame({"a": ends[0], "b": ends[1], "share": shares})
 
-    return dealt.groupBy("dealt").applyInPandas(compared, "a long, b long").distinct()
+    found = dealt.groupBy("dealt").applyInPandas(compared, "a long, b long, share double")
+    return found.groupBy("a", "b").agg(F.max("share").alias("share"))
+
+
+def _between(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """The pairs of different components, with these."""
+    return _labelled(_labelled(pairs, joined, "a", "in_a"), joined, "b", "in_b").where("in_a <> in_b")
+
+
+def most_alike(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """a, b: of each component the pair that is most alike of those that lead out of it."""
+    between = _between(pairs, joined)
+    ends = [between.select(F.col(c).alias("component"), "a", "b", "share") for c in ("in_a", "in_b")]
+    first = F.max(F.struct("share", "a", "b")).alias("first")
+    return ends[0].unionByName(ends[1]).groupBy("component").agg(first).select("first.a", "first.b").distinct()
 
 
 def links(noded: DataFrame, sketched: DataFrame, similarity: float) -> DataFrame:
@@ -347,7 +368,16 @@ def links(noded: DataFrame, sketched: DataFrame, similarity: float) -> DataFrame
     pairs = shared.join(heads, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
     joined = components(confirmed(texts, cut(pairs), similarity))
     rest = cut(open_pairs(shared, joined, texts, sketched, similarity))
-    return joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(confirmed(texts, rest, similarity))
+    # Most pairs of a family need not be compared once the most alike ones have joined it.
+    for _ in range(ROUNDS):
+        best = cut(most_alike(rest, joined))
+        joined = components(_as_links(joined).unionByName(confirmed(texts, best, similarity)))
+        rest = cut(_between(rest.join(best, ["a", "b"], "left_anti"), joined).select("a", "b", "share"))
+    return _as_links(joined).unionByName(confirmed(texts, rest.select("a", "b"), similarity))
+
+
+def _as_links(joined: DataFrame) -> DataFrame:
+    return joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
 
 
 def classes(documents: DataFrame, similarity: float = SIMILARITY, k: int = K, sketches: int = SKETCHES, kept: int = KEPT) -> DataFrame:

@@ -481,7 +481,7 @@ def test_signatures_keep_pairs_within_the_budget():
                     if order_minhash.aligned([(a, b)], n)[0] > int(0.2 * n + 1e-9):
                         kept += 1
                         continue
-                like = order_minhash.alike(order_minhash.signature(a), order_minhash.signature(b)[None, :], n, np.array([len(b)]), 0.8)[0]
+                like = order_minhash.alike(order_minhash.signature(a), order_minhash.signature(b)[None, :], n, np.array([len(b)]), 0.8)[0][0]
                 kept += like if share == 0.2 else 0
                 apart += share == 0.3 and not like
         assert kept == 200 and (n < 60 or apart > 150), (n, stock, kept, apart)
@@ -497,7 +497,7 @@ def test_a_family_off_an_absent_text_meets_in_far_fewer_than_all_pairs(spark, mo
     shared = rows.select(F.col("omh_node").alias("node"), F.posexplode("keys").alias("sketch", "key"))
     nodes = noded.select(F.col("omh_node").alias("node"), "text")
     alone = noded.select(F.col("omh_node").alias("node"), F.col("omh_node").alias("component"))
-    found = {tuple(x) for x in order_minhash.open_pairs(shared, alone, nodes, rows, 0.8).collect()}
+    found = {(x.a, x.b) for x in order_minhash.open_pairs(shared, alone, nodes, rows, 0.8).collect()}
     assert len(found) < 0.1 * 600 * 599 / 2
     by_node = {x.node: x.text.split() for x in nodes.collect()}
     kept = {x.node: set() for x in nodes.collect()}
@@ -506,7 +506,7 @@ def test_a_family_off_an_absent_text_meets_in_far_fewer_than_all_pairs(spark, mo
     close = {(a, b) for a in by_node for b in by_node if a > b and sum(p != q for p, q in zip(by_node[a], by_node[b], strict=True)) <= 12 and kept[a] & kept[b]}
     assert close <= found
     monkeypatch.setattr(order_minhash, "GROUP", 50)
-    assert {tuple(x) for x in order_minhash.open_pairs(shared, alone, nodes, rows, 0.8).collect()} == found
+    assert {(x.a, x.b) for x in order_minhash.open_pairs(shared, alone, nodes, rows, 0.8).collect()} == found
 
 
 def test_components_of_a_chain(spark):
