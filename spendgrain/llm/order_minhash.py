@@ -7,10 +7,10 @@ all with 0.95 or more. Texts that agree in a sketch form a bucket. Each text of
 within its bucket by signatures: samples of the words, labelled with how often they have occurred before, whose agreement estimates how
 many words two texts share. Texts within the edit budget share 1 - SIMILARITY less than all, and fall short of that in the
 sample by DEVIATIONS deviations once in some 30,000 pairs; so texts that have only a common passage in common are no candidates. Signatures are compared
-side by side within tasks, of which each holds GROUP texts of a bucket or two parts of a larger one; only candidates leave them.
+side by side within tasks, of which each holds GROUP texts of a bucket or two parts of a larger one, and candidates are verified there; only links leave them.
 A banded alignment of the words verifies each candidate: a link needs at most 1 - SIMILARITY edits per word of the
-longer text. An alignment through shared k-mers within the band is tried first; where it needs too many edits, all
-alignments within bands up to that width are. Classes are the connected components of the links, and do not
+longer text, so both must be about as long and have enough words in common, which is counted first. An alignment through shared k-mers within the band is tried first; where it needs too many edits, all
+alignments are, for one more edit at a time up to that number. Classes are the connected components of the links, and do not
 depend on which text was a head.
 
 Equal texts are one node, 64 bits of hash, from the start, so a group of copies of any size costs one sketch.
@@ -23,8 +23,6 @@ looked at by `near_duplicates`, and pass through `keep_first`.
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pandas as pd
 import xxhash
@@ -43,11 +41,11 @@ ANCHOR = 3
 SKETCHES, KEPT = 32, 2
 #: Cells of a matrix of hashes or alignments that is worked on at a time.
 CELLS = 1 << 20
+#: Words that are compared at a time where two texts run alike.
+RUN = 16
 FAR = 1 << 28
-#: Bytes of a signature, deviations of its estimate that are allowed for, and texts that are compared within a task.
-BINS, DEVIATIONS, GROUP = 2048, 4, 2048
-#: Rounds in which each component tries its most alike candidate, before all that still lie between components are compared.
-ROUNDS = 2
+#: Bytes of a signature, deviations of its estimate that are allowed for, and texts that are compared within a task, and their words.
+BINS, DEVIATIONS, GROUP, GROUP_WORDS = 2048, 4, 2048, 1 << 20
 
 
 class WordHashes(dict):
@@ -64,6 +62,11 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def word_ids(text: str | None, hashes: WordHashes) -> np.ndarray:
+    words = words_of(text)
+    return np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
@@ -107,41 +110,97 @@ def sketch_keys(words: np.ndarray, k: int, sketches: int, kept: int) -> np.ndarr
 
 def aligned(pairs: list[tuple[np.ndarray, np.ndarray]], reach: int) -> np.ndarray:
     """Edits between the words of each pair, if there are at most `reach`; else more than that.
-    One row of all pairs' dynamic programs is worked out at a time, on the diagonals within reach."""
+    For one more edit at a time, how many words of a are used up at most on each diagonal (words of b less words of a) that can still be left in time."""
     n = np.array([len(a) for a, _ in pairs])
     m = np.array([len(b) for _, b in pairs])
-    low = np.minimum(0, m - n) - reach
-    width = int(np.abs(m - n).max()) + 2 * reach + 1
-    steps = np.arange(width, dtype=np.int32)
-    a = np.zeros((len(pairs), max(1, n.max())), np.uint64)
-    b = np.zeros((len(pairs), max(1, m.max())), np.uint64)
+    edits = np.full(len(pairs), FAR)
+    line = np.flatnonzero(np.abs(m - n) <= reach)
+    if not len(line):
+        return edits
+    a = np.zeros((len(pairs), n.max() + RUN), np.uint64)
+    b = np.zeros((len(pairs), m.max() + RUN), np.uint64)
     for i, (x, y) in enumerate(pairs):
         a[i, : len(x)], b[i, : len(y)] = x, y
-    line = np.arange(len(pairs))[:, None]
-    place = low[:, None] + steps  # words of b used up, before any word of a
-    row = np.where((place >= 0) & (place <= m[:, None]), place, FAR).astype(np.int32)
-    edits = np.where(n == 0, m, FAR)
-    for j in range(int(n.max(initial=0))):
-        inside = (place >= 0) & (place < m[:, None])
-        same = inside & (b[line, np.clip(place, 0, b.shape[1] - 1)] == a[:, j : j + 1])
-        new = np.where(inside | same, row + ~same, FAR).astype(np.int32)  # both words used
-        # The cell for `place` words of b has moved on by one diagonal: new[c] stands for place[c] + 1.
-        new[:, :-1] = np.minimum(new[:, :-1], row[:, 1:] + 1)
-        place = place + 1
-        new[(place < 0) | (place > m[:, None])] = FAR
-        row = np.minimum.accumulate(new - steps, axis=1) + steps
-        done = n == j + 1
-        edits[done] = row[done, (m - n - low)[done]]
+    a, b, n, m = a[line], b[line], n[line], m[line]
+    low = -((reach - (m - n)) // 2)  # of the diagonals that are left in time
+    diagonal = low[:, None] + np.arange(reach + 1)
+    most = np.minimum(n[:, None], m[:, None] - diagonal)
+    start, goal = -low, m - n - low
+    far = np.full((len(line), reach + 3), -FAR, np.int64)  # a column at either side stays unused
+    for e in range(reach + 1):
+        left = max(0, start.min() - e, goal.min() - (reach - e))
+        right = min(reach, start.max() + e, goal.max() + (reach - e)) + 1
+        if e == 0:
+            now = np.full((len(far), right - left), -FAR, np.int64)
+            now[np.arange(len(far)), start - left] = 0
+        else:
+            # A word of each is used, or one of b, or one of a.
+            now = np.maximum(np.maximum(far[:, left + 1 : right + 1], far[:, left + 2 : right + 2]) + 1, far[:, left:right])
+            now = np.minimum(now, most[:, left:right])
+        off = diagonal[:, left:right]
+        # Where the texts run alike, no edit is used: first a word, then more and more at a time.
+        cell = np.flatnonzero((now >= 0) & (now + off >= 0) & (now < most[:, left:right]))
+        row = cell // now.shape[1]
+        at = now.ravel()[cell]
+        in_a = row * a.shape[1] + at
+        in_b = row * b.shape[1] + at + off.ravel()[cell]
+        room = most[:, left:right].ravel()[cell] - at
+        width, ends = 1, now.ravel()
+        while len(cell):
+            if width == 1:
+                run = (a.ravel()[in_a] == b.ravel()[in_b]).astype(np.int64)
+            else:
+                steps = np.arange(width)
+                differ = a.ravel()[in_a[:, None] + steps] != b.ravel()[in_b[:, None] + steps]
+                run = np.minimum(np.where(differ.any(axis=1), differ.argmax(axis=1), width), room)
+            ends[cell] += run
+            on = np.flatnonzero((run == width) & (room > width))
+            cell, in_a, in_b, room, width = cell[on], in_a[on] + width, in_b[on] + width, room[on] - width, min(RUN, width * 2)
+        far[:, left + 1 : right + 1] = now
+        done = (far[np.arange(len(far)), goal + 1] >= n) & (edits[line] == FAR)
+        edits[line[done]] = e
+        open_ = edits[line] == FAR
+        if not open_.any():
+            break
+        if open_.sum() * 2 <= len(line):
+            line, a, b, n, m, diagonal, most, start, goal, far = (x[open_] for x in (line, a, b, n, m, diagonal, most, start, goal, far))
     return edits
 
 
-def anchored(a: np.ndarray, b: np.ndarray, reach: int) -> int:
+class Sorted:
+    """The labelled words and k-mers of texts in the order of their hashes, worked out once for each array of words."""
+
+    def __init__(self) -> None:
+        self.found: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+    def kmers(self, words: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the labelled k-mers, smallest first, and their places. Texts of fewer than k words have none."""
+        kept = self.found.get((id(words), k))
+        if kept is None:
+            with np.errstate(over="ignore"):
+                h = labelled_kmers(words, k) if len(words) >= k else np.zeros(0, np.uint64)
+            places = np.argsort(h)
+            # The array stays with its id, so that no other one can take that.
+            kept = self.found[id(words), k] = (h[places], places, words)
+        return kept[:2]
+
+    def both(self, a: np.ndarray, b: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The places of the k-mers that both have, in each."""
+        (x, at_x), (y, at_y) = self.kmers(a, k), self.kmers(b, k)
+        if not len(x):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = np.searchsorted(x, y)
+        at[at == len(x)] = 0
+        same = x[at] == y
+        return at_x[at[same]], at_y[same]
+
+
+def anchored(a: np.ndarray, b: np.ndarray, reach: int, known: Sorted) -> int:
     """Edits of the alignment through the k-mers that both have, in order and on diagonals within reach:
     no fewer than the fewest possible."""
     if min(len(a), len(b)) < ANCHOR:
         return max(len(a), len(b))
-    with np.errstate(over="ignore"):
-        _, at_a, at_b = np.intersect1d(labelled_kmers(a, ANCHOR), labelled_kmers(b, ANCHOR), assume_unique=True, return_indices=True)
+    at_a, at_b = known.both(a, b, ANCHOR)
     order = np.argsort(at_a)
     at_a, at_b = at_a[order], at_b[order]
     near = np.abs(at_b - at_a) <= reach
@@ -158,8 +217,9 @@ def anchored(a: np.ndarray, b: np.ndarray, reach: int) -> int:
     return int(between.sum() + ends)
 
 
-def linked(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float) -> np.ndarray:
+def linked(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float, known: Sorted | None = None) -> np.ndarray:
     """Whether the words of each pair align with at most (1 - similarity) edits per word of the longer one."""
+    known = known or Sorted()
     longest = np.array([max(len(a), len(b)) for a, b in pairs])
     budget = ((1 - similarity) * longest + 1e-9).astype(np.int64)
     found = np.zeros(len(pairs), bool)
@@ -167,9 +227,9 @@ def linked(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float) -> np.
     for i, (a, b) in enumerate(pairs):
         if abs(len(a) - len(b)) > budget[i]:
             continue
-        if sum((Counter(a.tolist()) & Counter(b.tolist())).values()) < longest[i] - budget[i]:
+        if len(known.both(a, b, 1)[0]) < longest[i] - budget[i]:
             continue  # words in common are too few, whatever their order
-        if anchored(a, b, int(budget[i])) <= budget[i]:
+        if anchored(a, b, int(budget[i]), known) <= budget[i]:
             found[i] = True
             continue
         same = min(len(a), len(b))
@@ -180,22 +240,15 @@ def linked(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float) -> np.
         differ = np.flatnonzero(a[::-1][:same] != b[::-1][:same])
         tail = int(differ[0]) if len(differ) else same
         open_pairs[i] = (a[: len(a) - tail], b[: len(b) - tail])
-    reach = 8
-    while open_pairs:
-        order = sorted(open_pairs, key=lambda i: len(open_pairs[i][0]))
-        left = {}
-        while order:
-            part = [order.pop()]
-            cells = (2 * reach + 1) * 4
-            while order and (len(part) + 1) * cells <= CELLS // 4 and len(open_pairs[order[-1]][0]) * 2 >= len(open_pairs[part[0]][0]):
-                part.append(order.pop())
-            edits = aligned([open_pairs[i] for i in part], reach)
-            for i, e in zip(part, edits, strict=True):
-                if e <= min(reach, budget[i]):
-                    found[i] = True
-                elif reach < budget[i]:
-                    left[i] = open_pairs[i]
-        open_pairs, reach = left, reach * 4
+    # Pairs with as good as the same budget are aligned together.
+    order = sorted(open_pairs, key=lambda i: (budget[i], len(open_pairs[i][0])))
+    while order:
+        part = [order.pop()]
+        reach = int(budget[part[0]])
+        cells = 4 * (reach + RUN) + 2 * len(open_pairs[part[0]][0])
+        while order and (len(part) + 1) * cells <= CELLS // 4 and budget[order[-1]] * 1.25 >= reach:
+            part.append(order.pop())
+        found[part] = aligned([open_pairs[i] for i in part], reach) <= budget[part]
     return found
 
 
@@ -204,20 +257,20 @@ def _noded(documents: DataFrame) -> DataFrame:
 
 
 def sketch_rows(noded: DataFrame, k: int, sketches: int, kept: int) -> DataFrame:
-    """omh_node, keys: the bucket of each different text in each sketch."""
+    """omh_node, words, keys: of each different text the number of words and the bucket in each sketch."""
 
     def sketched(batches):
         hashes = WordHashes()
         for batch in batches:
-            nodes, keys = [], []
+            nodes, sizes, keys = [], [], []
             for node, text in zip(batch["omh_node"], batch["text"], strict=True):
-                if words := words_of(text):
-                    ids = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+                if len(ids := word_ids(text, hashes)):
                     nodes.append(node)
+                    sizes.append(len(ids))
                     keys.append(sketch_keys(ids, k, sketches, kept).view(np.int64))
-            yield pd.DataFrame({"omh_node": np.array(nodes, np.int64), "keys": pd.Series(keys, dtype=object)})
+            yield pd.DataFrame({"omh_node": np.array(nodes, np.int64), "words": np.array(sizes, np.int64), "keys": pd.Series(keys, dtype=object)})
 
-    rows = noded.select("omh_node", "text").mapInPandas(sketched, "omh_node long, keys array<long>")
+    rows = noded.select("omh_node", "text").mapInPandas(sketched, "omh_node long, words long, keys array<long>")
     return cut(rows.dropDuplicates(["omh_node"]))
 
 
@@ -237,11 +290,16 @@ def confirmed(texts: DataFrame, pairs: DataFrame, similarity: float) -> DataFram
 
     def verified(batches):
         hashes = WordHashes()
-        ids = lambda text: np.fromiter(map(hashes.__getitem__, w), np.uint64, len(w)) if (w := words_of(text)) else np.zeros(0, np.uint64)
         for batch in batches:
             for at in range(0, len(batch), 500):
                 part = batch.iloc[at : at + 500]
-                pairs = [(ids(x), ids(y)) for x, y in zip(part["text_a"], part["text_b"], strict=True)]
+                # A head meets many texts; its words are looked up once.
+                ids: dict[int, np.ndarray] = {}
+                for node, text in ("a", "text_a"), ("b", "text_b"):
+                    for n, t in zip(part[node], part[text], strict=True):
+                        if n not in ids:
+                            ids[n] = word_ids(t, hashes)
+                pairs = [(ids[x], ids[y]) for x, y in zip(part["a"], part["b"], strict=True)]
                 yield part.loc[linked(pairs, similarity), ["a", "b"]]
 
     return both.select("a", "b", "text_a", "text_b").mapInPandas(verified, "a long, b long")
@@ -278,27 +336,35 @@ def alike(own: np.ndarray, others: np.ndarray, words: int, sizes: np.ndarray, si
 
 
 def signatures(texts: DataFrame) -> DataFrame:
-    """node, words (their number) and signature of each text."""
+    """node, text and signature of each text."""
 
     def signed(batches):
         hashes = WordHashes()
         for batch in batches:
-            sizes, found = [], []
-            for text in batch["text"]:
-                words = words_of(text)
-                sizes.append(len(words))
-                found.append(signature(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))).tobytes())
-            yield pd.DataFrame({"node": batch["node"], "words": np.array(sizes, np.int64), "signature": pd.Series(found, dtype=object)})
+            found = [signature(word_ids(text, hashes)).tobytes() for text in batch["text"]]
+            yield batch.assign(signature=pd.Series(found, index=batch.index, dtype=object))
 
-    return texts.select("node", "text").mapInPandas(signed, "node long, words long, signature binary")
+    return texts.select("node", "text").mapInPandas(signed, "node long, text string, signature binary")
 
 
-def candidates_within(rows: pd.DataFrame, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """rows: node, component, part, words, signature and keys of one bucket, or of two parts of it, and its number among the sketches. Pairs of
-    nodes of different components, of different parts where there are two, that meet in no bucket of a sketch before and whose signatures are alike, and how alike."""
+class TextIds(dict):
+    """Nodes to the words of their texts, looked up for those that are asked for."""
+
+    def __init__(self, nodes: pd.Series, texts: pd.Series, hashes: WordHashes) -> None:
+        self.texts, self.hashes = dict(zip(nodes, texts, strict=True)), hashes
+
+    def __missing__(self, node: int) -> np.ndarray:
+        found = self[node] = word_ids(self.texts[node], self.hashes)
+        return found
+
+
+def links_within(rows: pd.DataFrame, ids: TextIds, similarity: float, known: Sorted) -> np.ndarray:
+    """rows: node, component, part, words (their number), signature and keys of one bucket, or of two parts of it, and its number among the sketches.
+    Links between nodes of different components, of different parts where there are two, that meet in no bucket of a sketch before. Once two
+    components are linked, no more pairs of theirs are aligned; the most alike ones come first."""
     node, component, part = (rows[c].to_numpy() for c in ("node", "component", "part"))
     before = np.stack(rows["keys"].to_list())[:, : int(rows["sketch"].iloc[0])]
-    words, signs = rows["words"].to_numpy(), np.frombuffer(b"".join(rows["signature"]), np.uint8).reshape(-1, BINS)
+    words, signed = rows["words"].to_numpy(), np.frombuffer(b"".join(rows["signature"]), np.uint8).reshape(-1, BINS)
     found, shares, parts = [np.zeros((0, 2), np.int64)], [np.zeros(0)], part.min() != part.max()
     for i in range(len(rows) - 1):
         open_ = component[i + 1 :] != component[i]
@@ -307,51 +373,61 @@ def candidates_within(rows: pd.DataFrame, similarity: float) -> tuple[np.ndarray
         others = np.flatnonzero(open_) + i + 1
         if len(others):
             others = others[~(before[others] == before[i]).any(axis=1)]
-            kept, share = alike(signs[i], signs[others], words[i], words[others], similarity)
+            kept, share = alike(signed[i], signed[others], words[i], words[others], similarity)
             near = others[kept]
-            found.append(np.stack([np.full(len(near), node[i]), node[near]], axis=1))
+            found.append(np.stack([np.full(len(near), i), near], axis=1))
             shares.append(share[kept])
-    return np.concatenate(found), np.concatenate(shares)
+    if not any(map(len, found)):
+        return found[0]
+    pairs = np.concatenate(found)[np.argsort(-np.concatenate(shares), kind="stable")]
+    ends = np.sort(component[pairs], axis=1)
+    between = np.unique(ends, axis=0, return_inverse=True)[1].reshape(-1)
+    links, step = [np.zeros((0, 2), np.int64)], 1
+    while len(pairs):
+        # The next `step` pairs of each two components.
+        order = np.argsort(between, kind="stable")
+        first = np.flatnonzero(np.diff(between[order], prepend=-1))
+        place = np.empty(len(pairs), np.int64)
+        place[order] = np.arange(len(pairs)) - np.repeat(first, np.diff(np.append(first, len(pairs))))
+        now = np.flatnonzero(place < step)
+        is_link = np.concatenate([linked([(ids[node[i]], ids[node[j]]) for i, j in pairs[part]], similarity, known) for part in np.split(now, range(500, len(now), 500))])
+        # One link of two components is enough.
+        done, at = np.unique(between[now[is_link]], return_index=True)
+        links.append(node[pairs[now[is_link][at]]])
+        left = (place >= step) & ~np.isin(between, done)
+        pairs, between, step = pairs[left], between[left], step * 2
+    return np.concatenate(links)
 
 
 def open_pairs(shared: DataFrame, joined: DataFrame, texts: DataFrame, sketched: DataFrame, similarity: float) -> DataFrame:
-    """a, b, share: candidates among the texts of buckets that still hold several components, of different components.
-
-    A bucket of more than GROUP texts is dealt out in parts, and each two parts meet in one group."""
-    members = _labelled(shared.select("key", "sketch", "node"), joined, "node", "component")
-    several = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low <> high")
-    rows = cut(members.join(several.select("key", F.ceil(F.col("n") / GROUP).alias("parts")), "key"))
-    signed = signatures(texts.join(rows.select("node").distinct(), "node", "left_semi")).join(sketched.withColumnRenamed("omh_node", "node"), "node")
+    """a, b: links between different components among the texts of buckets that still hold several of them.
+
+    A bucket of more than GROUP texts, or GROUP_WORDS words, is dealt out in parts, and each two parts meet in one group."""
+    sketched = sketched.withColumnRenamed("omh_node", "node")
+    members = _labelled(shared.select("key", "sketch", "node"), joined, "node", "component").join(sketched.select("node", "words"), "node")
+    several = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"), F.sum("words").alias("all_words")).where("low <> high")
+    parts = F.greatest(F.ceil(F.col("n") / GROUP), F.ceil(F.col("all_words") / GROUP_WORDS))
+    rows = members.join(several.select("key", F.least(parts, "n").alias("parts")), "key")
     part = F.pmod(F.xxhash64("node"), F.col("parts"))
     met = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
-    placed = rows.select("key", "sketch", "node", "component", part.alias("part"), met.alias("met"))
-    placed = placed.select("key", "sketch", "node", "component", "part", F.least("part", "met").alias("low"), F.greatest("part", "met").alias("high"))
+    placed = rows.select("key", "sketch", "node", "component", "words", part.alias("part"), met.alias("met"))
+    placed = cut(placed.select("key", "sketch", "node", "component", "words", "part", F.least("part", "met").alias("low"), F.greatest("part", "met").alias("high")))
     # Many small buckets share a task's group; a large one has as good as its own.
-    groups = max(1, placed.count() // GROUP)
+    n, words = placed.agg(F.count("*"), F.coalesce(F.sum("words"), F.lit(0))).first()
+    groups = max(1, n // GROUP, words // GROUP_WORDS)
+    signed = signatures(texts.join(placed.select("node").distinct(), "node", "left_semi")).join(sketched.select("node", "keys"), "node")
     dealt = placed.withColumn("dealt", F.pmod(F.xxhash64("key", "low", "high"), F.lit(groups))).join(signed, "node")
+    hashes = WordHashes()
 
     def compared(rows: pd.DataFrame) -> pd.DataFrame:
-        found = [candidates_within(one, similarity) for _, one in rows.groupby(["key", "low", "high"]) if len(one) > 1]
-        pairs = np.concatenate([f[0] for f in found]) if found else np.zeros((0, 2), np.int64)
-        shares = np.concatenate([f[1] for f in found]) if found else np.zeros(0)
-        ends = pairs.max(axis=1, initial=np.iinfo(np.int64).min), pairs.min(axis=1, initial=np.iinfo(np.int64).max)
-        return pd.DataFrame({"a": ends[0], "b": ends[1], "share": shares})
-
-    found = dealt.groupBy("dealt").applyInPandas(compared, "a long, b long, share double")
-    return found.groupBy("a", "b").agg(F.max("share").alias("share"))
-
-
-def _between(pairs: DataFrame, joined: DataFrame) -> DataFrame:
-    """The pairs of different components, with these."""
-    return _labelled(_labelled(pairs, joined, "a", "in_a"), joined, "b", "in_b").where("in_a <> in_b")
-
+        ids, known = TextIds(rows["node"], rows["text"], hashes), Sorted()
+        found = [np.zeros((0, 2), np.int64)]
+        found += [links_within(one, ids, similarity, known) for _, one in rows.groupby(["key", "low", "high"]) if len(one) > 1]
+        pairs = np.concatenate(found)
+        return pd.DataFrame({"a": pairs.max(axis=1, initial=np.iinfo(np.int64).min), "b": pairs.min(axis=1, initial=np.iinfo(np.int64).max)})
 
-def most_alike(pairs: DataFrame, joined: DataFrame) -> DataFrame:
-    """a, b: of each component the pair that is most alike of those that lead out of it."""
-    between = _between(pairs, joined)
-    ends = [between.select(F.col(c).alias("component"), "a", "b", "share") for c in ("in_a", "in_b")]
-    first = F.max(F.struct("share", "a", "b")).alias("first")
-    return ends[0].unionByName(ends[1]).groupBy("component").agg(first).select("first.a", "first.b").distinct()
+    # A group is work enough for a task, however few bytes it has.
+    return dealt.repartition(groups, "dealt").groupBy("dealt").applyInPandas(compared, "a long, b long")
 
 
 def links(noded: DataFrame, sketched: DataFrame, similarity: float) -> DataFrame:
@@ -359,21 +435,19 @@ def links(noded: DataFrame, sketched: DataFrame, similarity: float) -> DataFrame
 
     Each text of a bucket meets the bucket's head, the text that shares most buckets with others. Then whatever
     that has not joined is compared, so that no link depends on which text was a head."""
-    rows = sketched.select("omh_node", F.posexplode("keys").alias("sketch", "key"))
+    rows = sketched.select("omh_node", "words", F.posexplode("keys").alias("sketch", "key"))
     sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = cut(rows.join(sizes, "key").select("key", "sketch", F.col("omh_node").alias("node"), "n"))
+    shared = cut(rows.join(sizes, "key").select("key", "sketch", F.col("omh_node").alias("node"), "words", "n"))
     degrees = shared.groupBy("node").agg((-F.sum("n")).alias("order"))
     texts = texts_of(noded, degrees)
-    heads = shared.join(degrees, "node").groupBy("key").agg(F.min(F.struct("order", "node"))["node"].alias("b"))
-    pairs = shared.join(heads, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    heads = shared.join(degrees, "node").groupBy("key").agg(F.min(F.struct("order", "node", "words")).alias("head"))
+    pairs = shared.join(heads, "key").where(F.col("node") != F.col("head.node"))
+    # Texts of too different lengths are not sent.
+    longest, apart = F.greatest("words", "head.words"), F.abs(F.col("words") - F.col("head.words"))
+    pairs = pairs.where(apart <= F.floor(F.lit(1 - similarity) * longest + F.lit(1e-9)))
+    pairs = pairs.select(F.col("node").alias("a"), F.col("head.node").alias("b")).distinct()
     joined = components(confirmed(texts, cut(pairs), similarity))
-    rest = cut(open_pairs(shared, joined, texts, sketched, similarity))
-    # Most pairs of a family need not be compared once the most alike ones have joined it.
-    for _ in range(ROUNDS):
-        best = cut(most_alike(rest, joined))
-        joined = components(_as_links(joined).unionByName(confirmed(texts, best, similarity)))
-        rest = cut(_between(rest.join(best, ["a", "b"], "left_anti"), joined).select("a", "b", "share"))
-    return _as_links(joined).unionByName(confirmed(texts, rest.select("a", "b"), similarity))
+    return _as_links(joined).unionByName(open_pairs(shared, joined, texts, sketched, similarity))
 
 
 def _as_links(joined: DataFrame) -> DataFrame:

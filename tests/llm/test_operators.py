@@ -509,6 +509,35 @@ def test_a_family_off_an_absent_text_meets_in_far_fewer_than_all_pairs(spark, mo
     assert {(x.a, x.b) for x in order_minhash.open_pairs(shared, alone, nodes, rows, 0.8).collect()} == found
 
 
+def test_alignments_against_edit_distance():
+    r = random.Random(5)
+    for _ in range(60):
+        stock, reach, pairs = r.choice([1, 2, 9]), r.choice([0, 1, 5, 20, 100]), []
+        for _ in range(6):
+            a = [r.randrange(stock) for _ in range(r.randrange(50))]
+            pairs.append((a, [x for x in a if r.random() > 0.15] if r.random() < 0.5 else [r.randrange(stock) for _ in range(r.randrange(50))]))
+        found = order_minhash.aligned([(np.array(a, np.uint64), np.array(b, np.uint64)) for a, b in pairs], reach)
+        for (a, b), edits in zip(pairs, found, strict=True):
+            assert edits == distance(a, b) or min(edits, distance(a, b)) > reach
+
+
+def test_only_links_leave_a_family_beyond_the_budget(spark):
+    """Texts with the same words in another order in their last quarter: their words don't tell them apart, and none is linked but one pair."""
+    r = random.Random(17)
+    base = prose(901, 200).split()
+    texts = [" ".join(base[:140] + r.sample([f"w{i}" for i in range(60)], 60)) for _ in range(80)]
+    texts.append(" ".join([*texts[7].split()[:-1], "last"]))
+    noded = order_minhash._noded(documents(spark, texts).select("doc_id", "text"))
+    rows = order_minhash.sketch_rows(noded, order_minhash.K, order_minhash.SKETCHES, order_minhash.KEPT)
+    shared = rows.select(F.col("omh_node").alias("node"), F.posexplode("keys").alias("sketch", "key"))
+    nodes = noded.select(F.col("omh_node").alias("node"), "text")
+    alone = noded.select(F.col("omh_node").alias("node"), F.col("omh_node").alias("component"))
+    found = order_minhash.open_pairs(shared, alone, nodes, rows, 0.8).collect()
+    by_node = {x.node: x.text.split() for x in nodes.collect()}
+    assert all(distance(by_node[x.a], by_node[x.b]) <= 40 for x in found)
+    assert 1 <= len(found) < 300
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40) if i != 20], "a long, b long")
     found = {r.node: r.component for r in components(links).collect()}
